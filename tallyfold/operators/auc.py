@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.predicates import finite
-from tallyfold.scale import PART, choose, col, cols, prefix_sums, slices
+from tallyfold.scale import attach, choose, col, cols, PART, prefix_sums, slices
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -145,7 +145,7 @@ def case_burden(scored: DataFrame, keys: Sequence[str] = ("target",), *, strateg
     hist = score_histogram(rows, keys)
     below = prefix_sums(hist, keys, [F.col("score")], ["pos", "neg"], strategy=strategy)
     totals = hist.groupBy(*cols(keys)).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    table = below.join(totals, keys) if keys else below.crossJoin(F.broadcast(totals))  # one row
+    table = below.join(totals, keys) if keys else attach(below, totals)
     lost_pos = F.col("__N") - F.col("neg_before") - F.col("neg") / F.lit(2.0)
     lost_neg = F.col("pos_before") + F.col("pos") / F.lit(2.0)
     table = table.select(

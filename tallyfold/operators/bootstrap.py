@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.hashing import uniform32
 from tallyfold.operators.auc import target_auc
-from tallyfold.scale import col, cols, ordinal_rank
+from tallyfold.scale import attach, col, cols, ordinal_rank
 
 
 def index_units(units: DataFrame, unit: str, strata: Sequence[str] = (), *, strategy: str = "auto") -> DataFrame:
@@ -25,7 +25,7 @@ def index_units(units: DataFrame, unit: str, strata: Sequence[str] = (), *, stra
     distinct = units.select(*cols([*strata, unit])).distinct()
     ranked = ordinal_rank(distinct, strata, [col(unit)], "idx", strategy=strategy).withColumn("idx", F.col("idx") - 1)
     sizes = ranked.groupBy(*cols(strata)).agg(F.count(F.lit(1)).alias("n"))
-    return ranked.join(sizes, strata) if strata else ranked.crossJoin(F.broadcast(sizes))  # one row
+    return ranked.join(sizes, strata) if strata else attach(ranked, sizes)
 
 
 def replicate_weights(indexed: DataFrame, unit: str, n_boot: int, seed: int, strata: Sequence[str] = ()) -> DataFrame:
@@ -83,7 +83,7 @@ def paired_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed
     sizes = indexed.groupBy(*cols(strata)).agg(F.count(F.lit(1)).alias("n_paired"))
     out = point
     for side in (ci, sizes):
-        out = out.join(side, strata, "left") if strata else out.crossJoin(F.broadcast(side))  # one row each
+        out = out.join(side, strata, "left") if strata else attach(out, side)
     return out.select(
         *cols(strata), "delta", F.col("low").alias("ci_low"), F.col("high").alias("ci_high"),
         F.round("delta", 5).alias("delta_5"), F.round("low", 5).alias("ci_low_5"), F.round("high", 5).alias("ci_high_5"),
@@ -116,7 +116,7 @@ def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2
     deltas = pairs.groupBy("b").agg(
         F.avg(F.col("__new") - F.col("__old")).alias("delta"),
         F.count(F.col("__new") - F.col("__old")).alias("defined"))
-    kept = deltas.crossJoin(F.broadcast(strata)).where(F.col("defined") == F.col("n_strata"))  # one row
+    kept = attach(deltas, strata).where(F.col("defined") == F.col("n_strata"))
     return interval(kept, [], "delta")
 
 

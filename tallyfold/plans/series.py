@@ -1,0 +1,5 @@
+"""Series jobs: the cache plan and slice values."""
+
+from tallyfold.operators.series import series_plan, slice_values
+
+__all__ = ["series_plan", "slice_values"]

@@ -51,6 +51,13 @@ def choose(df: DataFrame, strategy: str, expansion: float = 1.0) -> str:
     return "window" if size is not None and size * expansion <= SMALL_INPUT_BYTES else "range"
 
 
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row aggregate to every row, as a scalar subquery."""
+    packed = one_row.select(F.struct(*cols(one_row.columns)).alias("s")).scalar()
+    return df.withColumn("__one", packed).select(
+        *cols(df.columns), *[F.col("__one").getField(c).alias(c) for c in one_row.columns])
+
+
 def checkpoint_root(spark) -> str:
     """The shared folder named by the session; a scratch folder only in local mode."""
     sc = spark.sparkContext
@@ -144,7 +151,7 @@ def exact_quantiles(
     hist = df.where(col(value).isNotNull()).groupBy(*cols(group), col(value)).agg(F.count(F.lit(1)).alias("__c"))
     ranked = prefix_sums(hist, group, [col(value)], ["__c"], strategy=strategy)
     totals = hist.groupBy(*cols(group)).agg(F.sum("__c").alias("__n"))
-    joined = ranked.join(totals, group) if group else ranked.crossJoin(F.broadcast(totals))  # totals is one row
+    joined = ranked.join(totals, group) if group else attach(ranked, totals)
     aggs = []
     for name, q in probs.items():
         pos = (F.col("__n") - 1) * F.lit(float(q))
