@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.hashing import uniform32
 from tallyfold.operators.auc import target_auc
-from tallyfold.scale import attach, col, cols, ordinal_rank
+from tallyfold.scale import attach, col, cols, ordinal_rank, pin
 
 
 def index_units(units: DataFrame, unit: str, strata: Sequence[str] = (), *, strategy: str = "auto") -> DataFrame:
@@ -57,6 +57,7 @@ def interval(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, strategy: str = "auto") -> DataFrame:
     """Study bootstrap of the macro AUC of one model: (uid, target, y, p) -> mean, low, high, n_boot."""
+    scored = pin(scored.select("uid", "target", "y", "p"))
     rows = scored.where(col("y").isNotNull())
     indexed = index_units(scored, "uid", strategy=strategy)
     weights = replicate_weights(indexed, "uid", n_boot, seed)
@@ -72,7 +73,7 @@ def paired_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed
     Returns delta, ci_low, ci_high, the three rounded to 5 digits, n_boot and n_paired.
     """
     strata = list(strata)
-    both = scored.where(col("model").isin(new, old))
+    both = pin(scored.where(col("model").isin(new, old)).select(*cols(strata), "uid", "target", "y", "model", "p"))
     point = _macro_delta(target_auc(both, [*strata, "model", "target"], strategy=strategy), strata, new, old)
     indexed = index_units(both, "uid", strata, strategy=strategy)
     weights = replicate_weights(indexed, "uid", n_boot, seed, strata)
@@ -105,7 +106,8 @@ def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2
     when every (fold, target) keeps both classes. ``groups`` is the (fold, group_id)
     universe to draw from, by default the groups of the scored rows.
     """
-    both = scored.where(col("model").isin(new, old) & col("y").isin(0.0, 1.0))
+    both = pin(scored.where(col("model").isin(new, old) & col("y").isin(0.0, 1.0)).select(
+        "fold", "group_id", "target", "y", "model", "p"))
     indexed = index_units(both if groups is None else groups, "group_id", ["fold"], strategy=strategy)
     weights = replicate_weights(indexed, "group_id", n_boot, seed, ["fold"])
     per = replicate_auc(both, weights, ["fold", "group_id"], ["fold", "target", "model"], n_boot, strategy=strategy)
@@ -122,7 +124,7 @@ def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2
 
 def group_bootstrap_auc(scored: DataFrame, n_boot: int = 2000, seed: int = 2026, *, strategy: str = "auto") -> DataFrame:
     """Per target: interval of the AUC when whole groups are resampled."""
-    rows = scored.where(col("y").isin(0.0, 1.0))
+    rows = pin(scored.where(col("y").isin(0.0, 1.0)).select("target", "group_id", "y", "p"))
     indexed = index_units(rows, "group_id", ["target"], strategy=strategy)
     weights = replicate_weights(indexed, "group_id", n_boot, seed, ["target"])
     per = replicate_auc(rows, weights, ["target", "group_id"], ["target"], n_boot, strategy=strategy)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators.auc import histogram_auc
-from tallyfold.scale import col, cols, prefix_sums
+from tallyfold.scale import col, cols, pin, prefix_sums
 
 WRONG, RIGHT = "wrong", "right"
 
@@ -49,36 +49,42 @@ def _split_bits(code: str, width: str, positive: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), col(width) - 1), lambda b: F.getbit(col(code), b) == want)
 
 
-def count_pairs(coded: DataFrame, keys: Sequence[str], verdicts: dict[str, str], *, strategy: str = "auto") -> DataFrame:
-    """(keys, pairs): positive-negative pairs where every named scorer has the given verdict.
+def count_pairs(coded: DataFrame, keys: Sequence[str], questions: dict[str, dict[str, str]], *,
+                strategy: str = "auto") -> DataFrame:
+    """(keys, question, pairs): positive-negative pairs where every scorer named by the question has its verdict.
 
-    ``wrong`` means the positive does not score higher, ``right`` that it does.
+    ``wrong`` means the positive does not score higher, ``right`` that it does. Questions of
+    one call name equally many scorers and are counted together in one pass.
     """
     keys = list(keys)
+    n_dims = {len(q) for q in questions.values()}
+    if len(n_dims) != 1:
+        raise ValueError("questions of one call must name equally many scorers")
+    d = n_dims.pop()
     positive = F.col("y") == 1
-    rows = coded.where(col("y").isin(0.0, 1.0))
-    dims, widths = [], []
-    for i, (s, verdict) in enumerate(verdicts.items()):
-        a, b = _sides(s, verdict)
-        top = col(f"__top_{s}")
-        rows = rows.withColumn(f"__d{i}", F.when(positive, a).otherwise(b)).withColumn(
-            f"__w{i}", F.ceil(F.log2(top * 2 + 2)).cast("int"))
-        dims.append(f"__d{i}")
-        widths.append(f"__w{i}")
-    nodes = list(keys)
-    rows = rows.select(*cols(keys), "y", *cols(dims), *cols(widths))
-    for d, w in list(zip(dims, widths, strict=True))[:-1]:
-        level = f"{d}_bit"
-        rows = rows.withColumn(level, F.explode(_split_bits(d, w, positive))).withColumn(
-            d, F.call_function("shiftright", col(d), col(level) + 1))
-        nodes += [level, d]
+    asked = []
+    for name, verdicts in questions.items():
+        fields = [F.lit(name).alias("question")]
+        for i, (s, verdict) in enumerate(verdicts.items()):
+            a, b = _sides(s, verdict)
+            fields += [F.when(positive, a).otherwise(b).alias(f"__d{i}"),
+                       F.ceil(F.log2(col(f"__top_{s}") * 2 + 2)).cast("int").alias(f"__w{i}")]
+        asked.append(F.struct(*fields))
+    rows = coded.where(col("y").isin(0.0, 1.0)).select(*cols(keys), "y", F.explode(F.array(*asked)).alias("q")).select(
+        *cols(keys), "y", "q.*")
+    nodes = [*keys, "question"]
+    for i in range(d - 1):
+        level = f"__d{i}_bit"
+        rows = rows.withColumn(level, F.explode(_split_bits(f"__d{i}", f"__w{i}", positive))).withColumn(
+            f"__d{i}", F.call_function("shiftright", col(f"__d{i}"), col(level) + 1))
+        nodes += [level, f"__d{i}"]
     # "positive code < negative code" is "negative below positive" after a sign flip; at equal codes the
     # negative is put above, so an equality counts nothing
-    score = -col(dims[-1]) * 2 + F.when(positive, 0).otherwise(1)
+    score = -col(f"__d{d - 1}") * 2 + F.when(positive, 0).otherwise(1)
     hist = rows.groupBy(*cols(nodes), score.alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"), F.count(F.lit(1)).alias("n"))
-    wins = histogram_auc(hist, nodes, strategy=strategy, expansion=24.0 ** (len(dims) - 1))
-    return wins.groupBy(*cols(keys)).agg(F.sum("wins").cast("long").alias("pairs"))
+    wins = histogram_auc(hist, nodes, strategy=strategy, expansion=len(questions) * 24.0 ** (d - 1))
+    return wins.groupBy(*cols(keys), "question").agg(F.sum("wins").cast("long").alias("pairs"))
 
 
 def component_comparison(wide: DataFrame, keys: Sequence[str], reference: str, components: Sequence[str], *,
@@ -88,21 +94,22 @@ def component_comparison(wide: DataFrame, keys: Sequence[str], reference: str, c
     The row named ``*`` counts the pairs every component gets wrong.
     """
     keys = list(keys)
-    coded = dense_codes(wide, keys, [reference, *components], strategy=strategy)
-    parts = []
-    for c in components:
-        fixed = count_pairs(coded, keys, {reference: WRONG, c: RIGHT}, strategy=strategy)
-        broken = count_pairs(coded, keys, {reference: RIGHT, c: WRONG}, strategy=strategy)
-        parts.append(fixed.withColumnRenamed("pairs", "corrected").join(
-            broken.withColumnRenamed("pairs", "broken"), keys, "full").withColumn("component", F.lit(c))
-            .withColumn("all_wrong", F.lit(None).cast("long")))
-    every = count_pairs(coded, keys, {c: WRONG for c in components}, strategy=strategy)
-    out = every.select(*cols(keys), F.lit(None).cast("long").alias("corrected"), F.lit(None).cast("long").alias("broken"),
-                       F.lit("*").alias("component"), F.col("pairs").alias("all_wrong"))
-    for p in parts:
-        out = out.unionByName(p)
+    rows = wide.select(*cols(keys), "y", *cols([reference, *components])).where(col("y").isin(0.0, 1.0))
+    coded = pin(dense_codes(rows, keys, [reference, *components], strategy=strategy))  # read by both counts below
+    two = {f"{kind}:{c}": {reference: ref, c: own} for c in components
+           for kind, ref, own in (("corrected", WRONG, RIGHT), ("broken", RIGHT, WRONG))}
+    pairs = count_pairs(coded, keys, two, strategy=strategy)
+    kind, name = F.split_part("question", F.lit(":"), F.lit(1)), F.split_part("question", F.lit(":"), F.lit(2))
+    each = pairs.groupBy(*cols(keys), name.alias("component")).agg(
+        F.coalesce(F.sum(F.when(kind == "corrected", F.col("pairs"))), F.lit(0)).alias("corrected"),
+        F.coalesce(F.sum(F.when(kind == "broken", F.col("pairs"))), F.lit(0)).alias("broken"))
+    every = count_pairs(coded, keys, {"*": {c: WRONG for c in components}}, strategy=strategy)
+    grid = coded.select(*cols(keys)).distinct().withColumn(
+        "component", F.explode(F.array(*[F.lit(c) for c in [*components, "*"]])))
+    zero = F.lit(0).cast("long")
+    out = grid.join(each, [*keys, "component"], "left").join(
+        every.select(*cols(keys), F.col("question").alias("component"), F.col("pairs").alias("all_wrong")), [*keys, "component"], "left")
+    star = col("component") == "*"
     return out.select(
-        *cols(keys), "component",
-        F.when(col("component") != "*", F.coalesce("corrected", F.lit(0))).alias("corrected"),
-        F.when(col("component") != "*", F.coalesce("broken", F.lit(0))).alias("broken"),
-        F.when(col("component") == "*", F.coalesce("all_wrong", F.lit(0))).alias("all_wrong"))
+        *cols(keys), "component", F.when(~star, F.coalesce("corrected", zero)).alias("corrected"),
+        F.when(~star, F.coalesce("broken", zero)).alias("broken"), F.when(star, F.coalesce("all_wrong", zero)).alias("all_wrong"))

@@ -33,11 +33,23 @@ def cols(names: Sequence[str]) -> list[Column]:
     return [col(n) for n in names]
 
 
+def _leaf_bytes(df: DataFrame, leaf) -> int:
+    """Reported size of one plan leaf; a checkpointed leaf is measured on disk."""
+    if leaf.nodeName().startswith("LogicalRDD") or "ExistingRDD" in leaf.nodeName():
+        stored = leaf.rdd().getCheckpointFile()
+        if stored.isDefined():
+            jvm = df.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(stored.get())
+            fs = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+            return int(fs.getContentSummary(path).getLength())
+    return int(str(leaf.stats().sizeInBytes()))
+
+
 def input_bytes(df: DataFrame) -> int | None:
-    """Sum of the sizes reported by the plan's leaves, or None when unknown."""
+    """Sum of the sizes of the plan's leaves, or None when unknown."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return sum(_leaf_bytes(df, leaves.apply(i)) for i in range(leaves.size()))
     except Exception:  # a client without JVM access reports nothing; treat as large
         return None
 
