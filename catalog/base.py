@@ -92,10 +92,10 @@ series AS (
     l_quantity::INT AS n FROM lineitem),
 headers AS (
   SELECT 's' || l_orderkey AS study, 'o' || l_orderkey AS series,
-    'f' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || l_extendedprice::BIGINT AS path,
+    'f' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || floor(l_extendedprice)::BIGINT AS path,
     {sql_h("'tilt:' || l_orderkey || ':' || l_partkey || ':' || l_linenumber")} % 40 AS tilt,
     {sql_h("'mode:' || l_orderkey")} % 6 AS om, l_linenumber AS instance,
-    (l_extendedprice * 100)::BIGINT % 1000 AS z, 'u' || l_partkey || '-' || l_suppkey AS sop FROM lineitem)
+    floor(l_extendedprice * 100)::BIGINT % 1000 AS z, 'u' || l_partkey || '-' || l_suppkey AS sop FROM lineitem)
 """
 
 
@@ -190,12 +190,12 @@ class Tables:
         ok, pk, sk, ln = [F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
         tilt = h("tilt", ok, pk, ln) % 40
         om = h("mode", ok) % 6
-        z = F.round(F.col("l_extendedprice") * 100).cast("long") % 1000
+        z = F.floor(F.col("l_extendedprice") * 100) % 1000
         flat = F.array(*[F.lit(float(x)) for x in (1, 0, 0, 0, 1, 0)])
         tilted = F.array(*[F.lit(float(x)) for x in (1, 0, 0, 0, 0.6, 0.8)])
         return li.select(
             F.concat(F.lit("s"), ok).alias("study"), F.concat(F.lit("o"), ok).alias("series"),
-            F.concat(F.lit("f"), F.concat_ws("-", pk, sk, ln, F.round("l_extendedprice").cast("long").cast("string"))).alias("path"),
+            F.concat(F.lit("f"), F.concat_ws("-", pk, sk, ln, F.floor("l_extendedprice").cast("string"))).alias("path"),
             F.when(om != 0, F.when(tilt == 0, tilted).otherwise(flat)).alias("iop"),
             F.array(F.lit(0.0), F.lit(0.0), z.cast("double")).alias("ipp"),
             F.when((om != 0) | (h("inst", ok) % 2 == 0), F.col("l_linenumber")).alias("instance"),

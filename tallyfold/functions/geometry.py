@@ -28,9 +28,9 @@ def dot3(a: Column, b: Column) -> Column:
     return sum((F.get(a, F.lit(i)) * F.get(b, F.lit(i)) for i in (1, 2)), F.get(a, F.lit(0)) * F.get(b, F.lit(0)))
 
 
-def projection(iop: Column, ipp: Column) -> Column:
+def projection(normal: Column, ipp: Column) -> Column:
     """Position of a slice along its own normal."""
-    return F.when(F.size(ipp) >= 3, dot3(slice_normal(iop), ipp))
+    return F.when(F.size(ipp) >= 3, dot3(normal, ipp))
 
 
 def dominant_plane(normal: Column) -> Column:

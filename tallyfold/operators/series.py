@@ -20,7 +20,7 @@ from tallyfold.functions.arrays import (
 )
 from tallyfold.functions.geometry import PLANES, dominant_plane, dot3, projection, slice_normal
 from tallyfold.operators.extraction import first_rows
-from tallyfold.scale import cols, exact_quantiles, ordinal_rank
+from tallyfold.scale import cols, exact_quantiles, ordinal_rank, pin
 
 KEY = ("study", "series")
 
@@ -71,10 +71,14 @@ def slot_candidates(series: DataFrame, *, strategy: str = "auto") -> DataFrame:
     return ranked.withColumn("position", F.col("position") - 1)
 
 
+def with_projection(headers: DataFrame) -> DataFrame:
+    """Add the slice normal and the slice position along it."""
+    return headers.withColumn("normal", slice_normal(F.col("iop"))).withColumn("proj", projection(F.col("normal"), F.col("ipp")))
+
+
 def slice_modes(headers: DataFrame) -> DataFrame:
     """Per series: slice count, first usable normal and the ordering mode its headers allow."""
-    h = headers.select(*KEY, "path", "instance", slice_normal(F.col("iop")).alias("normal"),
-                       projection(F.col("iop"), F.col("ipp")).alias("proj"))
+    h = with_projection(headers.select(*KEY, "path", "instance", "iop", "ipp")).drop("iop", "ipp")
     base = h.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n"), F.count("proj").alias("n_proj"), F.count("instance").alias("n_inst"),
         F.min_by("normal", F.when(F.col("normal").isNotNull(), F.col("path"))).alias("ref"))
@@ -91,7 +95,7 @@ def slice_modes(headers: DataFrame) -> DataFrame:
 def order_slices(headers: DataFrame, modes: DataFrame | None = None, *, strategy: str = "auto") -> DataFrame:
     """Add mode, projection and the 0-based position of every slice in its series."""
     modes = slice_modes(headers) if modes is None else modes
-    rows = headers.join(modes.select(*KEY, "mode"), list(KEY)).withColumn("proj", projection(F.col("iop"), F.col("ipp")))
+    rows = with_projection(headers).drop("normal").join(modes.select(*KEY, "mode"), list(KEY))
     key = F.when(F.col("mode") == "iop_ipp", F.col("proj")).when(
         F.col("mode") == "instance_number_fallback", F.col("instance").cast("double")).otherwise(F.lit(0.0))
     ranked = ordinal_rank(rows.withColumn("__key", key), list(KEY), [F.col("__key"), F.col("path")], "position", strategy=strategy)
@@ -109,6 +113,7 @@ def consecutive(ordered: DataFrame, group: Sequence[str], position: str, value:
 def through_plane_geometry(ordered: DataFrame, *, strategy: str = "auto") -> DataFrame:
     """Per series: median and largest gap and the extent; null when a projection is missing or n < 2."""
     g = list(KEY)
+    ordered = pin(ordered.select(*g, "position", "proj"))  # read three times below
     base = ordered.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n"), F.count("proj").alias("n_proj"),
         (F.max_by("proj", "position") - F.min_by("proj", "position")).alias("extent"))
