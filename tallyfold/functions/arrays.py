@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,16 @@ from tallyfold.functions.hashing import uniform32
 from tallyfold.functions.predicates import clip, sigmoid
 
 
+def let(bindings: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """Evaluate the bindings once per row and hand them to ``body`` as struct fields.
+
+    A lambda over an array evaluates whatever it captures once per element; a sorted copy or
+    a maximum of the whole array must not be recomputed for each of its elements.
+    """
+    packed = F.array(F.struct(*[v.alias(k) for k, v in bindings.items()]))
+    return F.get(F.transform(packed, body), F.lit(0))
+
+
 def _steps(lo: Column, hi: Column, k: int) -> Column:
     """k evenly spaced doubles from lo to hi inclusive."""
     if k == 1:
@@ -62,35 +74,44 @@ def rescale(values: Column, slope: Column, intercept: Column) -> Column:
 def invert_monochrome(values: Column, photometric: Column) -> Column:
     """Flip values around their maximum for the MONOCHROME1 interpretation."""
     flip = F.coalesce(F.upper(photometric) == "MONOCHROME1", F.lit(False))
-    top = F.array_max(values)
-    return F.when(flip, F.transform(values, lambda v: top - v)).otherwise(values)
+    return let({"v": values, "flip": flip}, lambda s: F.when(s["flip"], let(
+        {"v": s["v"], "top": F.array_max(s["v"])}, lambda t: F.transform(t["v"], lambda x: t["top"] - x))).otherwise(s["v"]))
 
 
-def array_quantile(values: Column, q: float) -> Column:
-    """Linear-interpolation quantile of one array cell."""
-    ordered = F.sort_array(values)
-    pos = (F.size(values) - 1) * F.lit(float(q))
-    lo = F.floor(pos).cast("int")
-    hi = F.ceil(pos).cast("int")
+def _at(ordered: Column, q: float) -> Column:
+    """Linear interpolation at quantile q of a sorted array."""
+    pos = (F.size(ordered) - 1) * F.lit(float(q))
+    lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
     a, b = F.get(ordered, lo), F.get(ordered, hi)
     return a + (b - a) * (pos - lo)
 
 
-def _window_or_range(lo: Column, hi: Column, low: Column, high: Column) -> tuple[Column, Column]:
-    flat = F.coalesce(hi <= lo, F.lit(True))
-    return F.when(flat, low).otherwise(lo), F.when(flat, high + F.lit(1e-6)).otherwise(hi)
+def array_quantile(values: Column, q: float) -> Column:
+    """Linear-interpolation quantile of one array cell."""
+    return let({"o": F.sort_array(values)}, lambda s: _at(s["o"], q))
 
 
 def percentile_clip(values: Column, low: float = 0.5, high: float = 99.5) -> Column:
-    lo, hi = _window_or_range(array_quantile(values, low / 100), array_quantile(values, high / 100),
-                              F.array_min(values), F.array_max(values))
-    return F.transform(values, lambda v: F.least(hi, F.greatest(lo, v)))
+    """Clip to two percentiles; to the full range when they coincide."""
+    def ends(s: Column) -> Column:
+        return let({"v": s["v"], "lo": _at(s["o"], low / 100), "hi": _at(s["o"], high / 100),
+                    "mn": F.get(s["o"], F.lit(0)), "mx": F.get(s["o"], F.size(s["o"]) - 1)}, window)
+
+    def window(s: Column) -> Column:
+        flat = F.coalesce(s["hi"] <= s["lo"], F.lit(True))
+        return let({"v": s["v"], "lo": F.when(flat, s["mn"]).otherwise(s["lo"]),
+                    "hi": F.when(flat, s["mx"] + F.lit(1e-6)).otherwise(s["hi"])},
+                   lambda t: F.transform(t["v"], lambda x: F.least(t["hi"], F.greatest(t["lo"], x))))
+
+    return let({"v": values, "o": F.sort_array(values)}, ends)
 
 
 def to_unit(values: Column) -> Column:
     """Scale an array to [0, 1]; a constant array becomes zeros."""
-    lo, hi = F.array_min(values), F.array_max(values)
-    return F.transform(values, lambda v: F.when(hi <= lo, F.lit(0.0)).otherwise(F.try_divide(v - lo, hi - lo)))
+    return let({"v": values}, lambda s: let(
+        {"v": s["v"], "lo": F.array_min(s["v"]), "hi": F.array_max(s["v"])},
+        lambda t: F.transform(t["v"], lambda x: F.when(t["hi"] <= t["lo"], F.lit(0.0)).otherwise(
+            F.try_divide(x - t["lo"], t["hi"] - t["lo"])))))
 
 
 def with_window(values: Column, lo: Column, hi: Column) -> Column:

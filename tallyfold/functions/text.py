@@ -20,10 +20,12 @@ def unfence(content: Column) -> Column:
 
 def json_object_error(text: Column) -> Column:
     """Null for one non-empty JSON object, else ``invalid_json`` or ``empty_or_non_object``."""
-    as_variant = F.try_parse_json(text)
-    kind = F.schema_of_variant(as_variant)
+    kind = F.schema_of_variant(F.try_parse_json(text))
+    # the parser stops after the first value; inside either bracket, trailing text is a syntax error
+    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNull() | F.try_parse_json(
+        F.concat(F.lit('{"x":'), text, F.lit("}"))).isNull()
     return (
-        F.when(text.isNull() | as_variant.isNull(), F.lit("invalid_json"))
+        F.when(text.isNull() | kind.isNull() | boxed, F.lit("invalid_json"))
         .when(~kind.startswith("OBJECT<") | (kind == "OBJECT<>"), F.lit("empty_or_non_object"))
     )
 
