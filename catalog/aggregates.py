@@ -255,7 +255,7 @@ SELECT a.target, a.source AS source_a, b.source AS source_b, count(*) AS n,
   CASE WHEN stddev_pop(a.p) * stddev_pop(b.p) > 0 THEN round(covar_pop(a.p, b.p) / (stddev_pop(a.p) * stddev_pop(b.p)), 3) END AS r
 FROM sources a JOIN sources b ON a.uid = b.uid AND a.target = b.target AND a.source < b.source WHERE a.p IS NOT NULL AND b.p IS NOT NULL GROUP BY 1, 2, 3""")
 def d20(spark, d):
-    return agreement.pairwise_pearson(Tables(spark, d).sources.where("p IS NOT NULL"))
+    return agreement.pairwise_pearson(Tables(spark, d).sources)
 
 
 @query("d21_spearman", BASE + """

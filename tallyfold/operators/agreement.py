@@ -20,7 +20,9 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Correlation from centred moments; null instead of an error when a side does not vary."""
+    """Correlation from moments over rows where both sides are present; null when a side does not vary."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0)))
 
 
@@ -32,7 +34,7 @@ def source_pairs(sources: DataFrame, keys: Sequence[str] = ("uid", "target")) ->
 
 
 def pairwise_pearson(sources: DataFrame, digits: int = 3) -> DataFrame:
-    return source_pairs(sources).groupBy("target", "source_a", "source_b").agg(
+    return source_pairs(sources.where(F.col("p").isNotNull())).groupBy("target", "source_a", "source_b").agg(
         F.round(pearson(F.col("pa"), F.col("pb")), digits).alias("r"), F.count(F.lit(1)).alias("n"))
 
 
