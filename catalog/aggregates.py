@@ -158,6 +158,12 @@ def d12(spark, d):
     return out.select("split", *[r9(c).alias(c) for c in ("delta", "ci_low", "ci_high")], "n_boot", "n_paired")
 
 
+@query("d12_paired_delta_poisson")
+def d12_poisson(spark, d):
+    """Independent Poisson weights per study: no SQL twin, checked against brute force in the tests."""
+    return bootstrap.paired_delta(Tables(spark, d).scored, "m1", "m2", 60, SEED, ["split"], method="poisson")
+
+
 @query("d13_pair_summary", BASE + """
 , one AS (SELECT * FROM scored WHERE model = 'm1' AND split = 'gold')
 SELECT a.target, count(*) AS n_pairs, sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE AS misordered,
@@ -479,23 +485,21 @@ dt AS (SELECT uid, slot, present, fallback, CASE WHEN present THEN n_slices END
 
 
 def manifest_rows(t):
-    key = F.col("o_orderkey").cast("string")
-
-    def one(slot):
-        def hh(tag):
-            return h(tag, key, F.lit(str(slot)))
-
-        present, e = hh("pres") % 10 > 0, hh("err") % 3
-        n = (hh("n") % 40 + 3).cast("int")
-        return F.struct(
-            present.alias("present"), (hh("fall") % 4 == 0).alias("fallback"), F.when(present, n).alias("n_slices"),
-            F.when(present, n).alias("n_decoded_slices"), F.when(present, (hh("n") % 40 % 13).cast("int")).alias("duplicate_centers"),
-            F.when(present & (e > 0), (hh("sp") % 500).cast("double") / 100).alias("slice_spacing_mm_median"),
-            F.when(~present, F.when(e == 0, "missing_plane_metadata").when(e == 1, "no_dicom_files")).alias("error"),
-            F.when(present, F.when(e == 0, "instance_number_fallback").otherwise("iop_ipp")).alias("order"))
-
-    rows = t.raw("orders").select(F.concat(F.lit("s"), key).alias("uid"), F.array(*[one(i) for i in range(5)]).alias("series_details"))
-    return rows.withColumn("slot_mask", F.transform("series_details", lambda x: x["present"].cast("double")))
+    """One row per order with five nested slots; each hash is taken once per (order, slot)."""
+    key, slot = F.col("o_orderkey").cast("string"), F.col("slot").cast("string")
+    rows = t.raw("orders").select("o_orderkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("slot"))
+    rows = rows.select("o_orderkey", "slot", *[h(tag, key, slot).alias(tag) for tag in ("pres", "fall", "n", "sp", "err")])
+    present, e = F.col("pres") % 10 > 0, F.col("err") % 3
+    n = (F.col("n") % 40 + 3).cast("int")
+    detail = F.struct(
+        "slot", present.alias("present"), (F.col("fall") % 4 == 0).alias("fallback"), F.when(present, n).alias("n_slices"),
+        F.when(present, n).alias("n_decoded_slices"), F.when(present, (F.col("n") % 40 % 13).cast("int")).alias("duplicate_centers"),
+        F.when(present & (e > 0), (F.col("sp") % 500).cast("double") / 100).alias("slice_spacing_mm_median"),
+        F.when(~present, F.when(e == 0, "missing_plane_metadata").when(e == 1, "no_dicom_files")).alias("error"),
+        F.when(present, F.when(e == 0, "instance_number_fallback").otherwise("iop_ipp")).alias("order"))
+    per = rows.groupBy("o_orderkey").agg(F.sort_array(F.collect_list(detail)).alias("d"))  # five slots
+    return per.select(F.concat(F.lit("s"), key).alias("uid"), F.transform("d", lambda x: x.dropFields("slot")).alias("series_details"),
+                      F.transform("d", lambda x: x["present"].cast("double")).alias("slot_mask"))
 
 
 @query("d35_slot_coverage", BASE + f", {DETAIL_SQL} " + """

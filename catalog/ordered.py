@@ -8,6 +8,7 @@ from tallyfold.functions import arrays
 from tallyfold.functions.hashing import id_list_fingerprint
 from tallyfold.operators import auc, configdiff, extraction, folds, manifest, ranks, selection, series
 from tallyfold.plans import folds as fold_plans
+from tallyfold.scale import pin
 
 
 @query("e1_rank_mean", BASE + """
@@ -103,7 +104,7 @@ ord AS (SELECT *, row_number() OVER (PARTITION BY study, series ORDER BY CASE mo
 
 def unique_headers(t):
     """The driver table repeats some (order, part, supplier, line) rows; slices need a unique path."""
-    return t.headers.dropDuplicates(["study", "series", "path"])
+    return pin(t.headers.dropDuplicates(["study", "series", "path"]))  # stands for a stored header table
 
 
 UNIQ = "headers AS (SELECT DISTINCT ON (study, series, path) * FROM headers0)"

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.hashing import uniform32
+from tallyfold.operators import poisson
 from tallyfold.operators.auc import target_auc
 from tallyfold.scale import attach, col, cols, ordinal_rank, pin
 
@@ -55,8 +56,15 @@ def interval(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_boot"))
 
 
-def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, strategy: str = "auto") -> DataFrame:
-    """Study bootstrap of the macro AUC of one model: (uid, target, y, p) -> mean, low, high, n_boot."""
+def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, method: str = "multinomial",
+                    strategy: str = "auto") -> DataFrame:
+    """Study bootstrap of the macro AUC of one model: (uid, target, y, p) -> mean, low, high, n_boot.
+
+    ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
+    """
+    if method == "poisson":
+        per = poisson.replicate_auc(scored, ["target"], n_boot, seed)
+        return interval(per.groupBy("b").agg(F.avg("auc").alias("macro")), [], "macro")
     scored = pin(scored.select("uid", "target", "y", "p"))
     rows = scored.where(col("y").isNotNull())
     indexed = index_units(scored, "uid", strategy=strategy)
@@ -66,9 +74,11 @@ def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, stra
 
 
 def paired_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed: int = 2026,
-                 strata: Sequence[str] = (), *, strategy: str = "auto") -> DataFrame:
+                 strata: Sequence[str] = (), *, method: str = "multinomial", strategy: str = "auto") -> DataFrame:
     """Macro AUC difference of two models on the same draws, per stratum.
 
+    ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
+
     ``scored`` is (strata, uid, target, y, model, p) with a row for both models.
     Returns delta, ci_low, ci_high, the three rounded to 5 digits, n_boot and n_paired.
     """
@@ -76,9 +86,12 @@ def paired_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed
     both = pin(scored.where(col("model").isin(new, old)).select(*cols(strata), "uid", "target", "y", "model", "p"))
     point = _macro_delta(target_auc(both, [*strata, "model", "target"], strategy=strategy), strata, new, old)
     indexed = index_units(both, "uid", strata, strategy=strategy)
-    weights = replicate_weights(indexed, "uid", n_boot, seed, strata)
-    per = replicate_auc(both.where(col("y").isNotNull()), weights, [*strata, "uid"], [*strata, "model", "target"],
-                        n_boot, strategy=strategy)
+    if method == "poisson":
+        per = poisson.replicate_auc(both, [*strata, "model", "target"], n_boot, seed)
+    else:
+        weights = replicate_weights(indexed, "uid", n_boot, seed, strata)
+        per = replicate_auc(both.where(col("y").isNotNull()), weights, [*strata, "uid"], [*strata, "model", "target"],
+                            n_boot, strategy=strategy)
     deltas = _macro_delta(per, [*strata, "b"], new, old)
     ci = interval(deltas, strata, "delta").drop("mean")
     sizes = indexed.groupBy(*cols(strata)).agg(F.count(F.lit(1)).alias("n_paired"))

@@ -142,8 +142,8 @@ def series_qc(headers: DataFrame, planes: DataFrame, *, strategy: str = "auto")
         F.first("r").alias("r"),
         F.bool_or(dot3(F.col("r.normal"), F.col("normal")) < 0.95).alias("incoherent"),
         F.bool_or(~near).alias("in_plane"), F.count_distinct("sop").alias("n_sop"))
-    ordered = order_slices(headers, modes, strategy=strategy)
-    tight = consecutive(ordered.where(F.col("mode") == "iop_ipp"), g, "position", "proj").groupBy(*g).agg(
+    ordered = order_slices(headers, modes, strategy=strategy).where(F.col("mode") == "iop_ipp").select(*g, "position", "proj")
+    tight = consecutive(pin(ordered), g, "position", "proj").groupBy(*g).agg(
         F.bool_or(F.abs(F.col("gap")) < 1e-5).alias("tight"))
     names = F.array(*[F.lit(p) for p in PLANES])
     reason = (
