@@ -130,14 +130,14 @@ draws AS (SELECT {s}b, {sql_h(f"'{seed}:' {tag} || b || ':' || i")} % n AS i, co
 w AS (SELECT {pick}x.{unit}, d.b, d.w FROM draws d JOIN idx x ON {on}d.i = x.i)"""
 
 
-GOLD_ONE = "one AS (SELECT uid, target, y, p FROM scored WHERE model = 'm1' AND split = 'gold')"
+ONE = "one AS (SELECT uid, target, y, p FROM scored WHERE model = 'm1')"
 
 
-@query("d11_bootstrap_macro", BASE + f", {GOLD_ONE}," + draws_sql("one", 100, seed=7) + ", rows AS (SELECT b, target, y, p, w FROM one JOIN w USING (uid))," + auc_sql("b, target", "rows", "w") + """
+@query("d11_bootstrap_macro", BASE + f", {ONE}," + draws_sql("one", 100, seed=7) + ", rows AS (SELECT b, target, y, p, w FROM one JOIN w USING (uid))," + auc_sql("b, target", "rows", "w") + """
 , m AS (SELECT b, avg(auc) AS m FROM aucs GROUP BY 1)
 SELECT round(avg(m), 9) AS mean, round(quantile_cont(m, 0.025), 9) AS low, round(quantile_cont(m, 0.975), 9) AS high, count(m) AS n_boot FROM m""")
 def d11(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1' AND split = 'gold'")
+    rows = Tables(spark, d).scored.where("model = 'm1'")
     out = bootstrap.bootstrap_macro(rows, 100, 7)
     return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
@@ -165,26 +165,26 @@ def d12_poisson(spark, d):
 
 
 @query("d13_pair_summary", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm1' AND split = 'gold')
+, one AS (SELECT * FROM scored WHERE model = 'm1')
 SELECT a.target, count(*) AS n_pairs, sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE AS misordered,
   round(1 - sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE / count(*), 9) AS identity_auc,
   count(DISTINCT a.uid) AS n_pos, count(DISTINCT b.uid) AS n_neg
 FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0 GROUP BY 1""")
 def d13(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1' AND split = 'gold'")
+    rows = Tables(spark, d).scored.where("model = 'm1'")
     return auc.pair_summary(rows).withColumn("identity_auc", r9("identity_auc"))
 
 
 @query("d14_component_comparison", BASE + """
 , wide AS (SELECT uid, target, y, max(p) FILTER (model = 'm1') AS r, max(p) FILTER (model = 'm2') AS c2, max(p) FILTER (model = 'm3') AS c3, max(p) FILTER (model = 'm4') AS c4
-  FROM scored WHERE split = 'gold' GROUP BY 1, 2, 3),
+  FROM scored GROUP BY 1, 2, 3),
 pairs AS (SELECT a.target, a.r <= b.r AS rw, a.c2 <= b.c2 AS w2, a.c3 <= b.c3 AS w3, a.c4 <= b.c4 AS w4 FROM wide a JOIN wide b ON a.target = b.target AND a.y = 1 AND b.y = 0)
 SELECT target, 'm2' AS component, count(*) FILTER (rw AND NOT w2) AS corrected, count(*) FILTER (NOT rw AND w2) AS broken, NULL::BIGINT AS all_wrong FROM pairs GROUP BY 1
 UNION ALL SELECT target, 'm3', count(*) FILTER (rw AND NOT w3), count(*) FILTER (NOT rw AND w3), NULL FROM pairs GROUP BY 1
 UNION ALL SELECT target, 'm4', count(*) FILTER (rw AND NOT w4), count(*) FILTER (NOT rw AND w4), NULL FROM pairs GROUP BY 1
 UNION ALL SELECT target, '*', NULL, NULL, count(*) FILTER (w2 AND w3 AND w4) FROM pairs GROUP BY 1""")
 def d14(spark, d):
-    wide = Tables(spark, d).scored.where("split = 'gold'").groupBy("uid", "target", "y").pivot("model", ["m1", "m2", "m3", "m4"]).agg(F.first("p"))
+    wide = Tables(spark, d).scored.groupBy("uid", "target", "y").pivot("model", ["m1", "m2", "m3", "m4"]).agg(F.first("p"))
     return dominance.component_comparison(wide, ["target"], "m1", ["m2", "m3", "m4"])
 
 
@@ -208,13 +208,13 @@ def d15(spark, d):
     return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
-@query("d15_group_bootstrap_auc", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid) WHERE s.split = 'gold' AND s.model = 'm1')," + draws_sql("one", 40, "target", unit="group_id") + """
+@query("d15_group_bootstrap_auc", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid) WHERE s.model = 'm1')," + draws_sql("one", 40, "target", unit="group_id") + """
 , rows AS (SELECT one.target, b, y, p, w FROM one JOIN w ON one.group_id = w.group_id AND one.target = w.target),
 """ + auc_sql("b, target", "rows", "w") + """
 SELECT target, round(avg(auc), 9) AS mean, round(quantile_cont(auc, 0.025), 9) AS low, round(quantile_cont(auc, 0.975), 9) AS high, count(auc) AS n_boot FROM aucs WHERE auc IS NOT NULL GROUP BY 1""")
 def d15_auc(spark, d):
     t = Tables(spark, d)
-    rows = t.scored.where("split = 'gold' AND model = 'm1'").join(t.folds.select("uid", "group_id"), "uid")
+    rows = t.scored.where("model = 'm1'").join(t.folds.select("uid", "group_id"), "uid")
     out = bootstrap.group_bootstrap_auc(rows, 40, SEED)
     return out.select("target", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
@@ -240,11 +240,11 @@ def d17(spark, d):
 
 
 @query("d18_case_burden", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm1' AND split = 'gold'),
+, one AS (SELECT * FROM scored WHERE model = 'm1'),
 c AS (SELECT a.target, a.uid AS pu, b.uid AS nu, CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END::DOUBLE AS e FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0)
 SELECT target, pu AS uid, 1 AS y, round(avg(e), 9) AS burden FROM c GROUP BY 1, 2 UNION ALL SELECT target, nu, 0, round(avg(e), 9) FROM c GROUP BY 1, 2""")
 def d18(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1' AND split = 'gold'")
+    rows = Tables(spark, d).scored.where("model = 'm1'")
     return auc.case_burden(rows).select("target", "uid", F.col("y").cast("int").alias("y"), r9("burden").alias("burden"))
 
 

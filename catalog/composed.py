@@ -125,7 +125,7 @@ def p9_policies(spark, d):
 
 
 @query("p10_ranking_cases", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm1' AND split = 'gold' AND y IN (0, 1)),
+, one AS (SELECT * FROM scored WHERE model = 'm1' AND y IN (0, 1)),
 c AS (SELECT a.target, a.uid AS pu, b.uid AS nu, CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END::DOUBLE AS e FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0),
 u AS (SELECT target, pu AS uid, avg(e) AS burden FROM c GROUP BY 1, 2 UNION ALL SELECT target, nu, avg(e) FROM c GROUP BY 1, 2),
 r AS (SELECT target, uid, (rank() OVER (PARTITION BY target ORDER BY p) + (count(*) OVER (PARTITION BY target, p) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY target) AS rr FROM one)
@@ -133,7 +133,7 @@ SELECT target, uid, round(burden, 9) AS burden, round(rr, 9) AS reference_rank,
 def p10(spark, d):
     t = Tables(spark, d)
     quality = t.train.select("uid", (F.col("n_chars") > 2000).alias("long_report"))
-    out = review.ranking_diagnostic(t.preds.where("split = 'gold'"), t.cells, "m1", ["m2", "m3"], {"quality": "toxic", "toxic": "quality"}, quality)["cases"]
+    out = review.ranking_diagnostic(t.preds, t.cells, "m1", ["m2", "m3"], {"quality": "toxic", "toxic": "quality"}, quality)["cases"]
     return out.select("target", "uid", r9("burden").alias("burden"), r9("reference_rank").alias("reference_rank"), "long_report")
 
 

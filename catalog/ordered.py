@@ -212,13 +212,13 @@ def e18(spark, d):
 
 
 @query("e19_first_decisive", f"""
-WITH c AS (SELECT conv_id AS uid, turn AS chunk, role AS target, ['criterion_positive', 'explicit_negative', 'uncertain', 'not_mentioned', 'not_mentioned', 'not_mentioned', ''][{sql_h("'dec:' || conv_id || ':' || turn")} % 7 + 1] AS state, substr(text, 1, 20) AS span FROM conversations)
+WITH c AS (SELECT conv_id AS uid, turn AS chunk, role AS target, ['criterion_positive', 'explicit_negative', 'uncertain', 'not_mentioned', 'not_mentioned', 'not_mentioned', ''][{sql_h("'dec:' || conv_id || ':' || turn")} % 7 + 1] AS state, text AS span FROM conversations)
 SELECT uid, target, coalesce(arg_min(state, chunk) FILTER (state NOT IN ('', 'not_mentioned')), 'not_mentioned') AS state, coalesce(arg_min(span, chunk) FILTER (state NOT IN ('', 'not_mentioned')), '') AS span FROM c GROUP BY 1, 2""")
 def e19(spark, d):
     states = F.array(*[F.lit(s) for s in ("criterion_positive", "explicit_negative", "uncertain", "not_mentioned", "not_mentioned", "not_mentioned", "")])
     k = (h("dec", F.col("conv_id").cast("string"), F.col("turn").cast("string")) % 7).cast("int")
     rows = Tables(spark, d).raw("conversations").select(F.col("conv_id").alias("uid"), F.col("turn").alias("chunk"), F.col("role").alias("target"),
-                                                        F.get(states, k).alias("state"), F.substring("text", 1, 20).alias("span"))
+                                                        F.get(states, k).alias("state"), F.col("text").alias("span"))
     return extraction.first_decisive(rows)
 
 
@@ -258,12 +258,12 @@ def e22(spark, d):
 
 
 @query("e23_hardest_cases", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm1' AND split = 'gold'),
+, one AS (SELECT * FROM scored WHERE model = 'm1'),
 c AS (SELECT a.target, a.uid AS pu, b.uid AS nu, CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END::DOUBLE AS e FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0),
 u AS (SELECT target, pu AS uid, round(avg(e), 9) AS burden FROM c GROUP BY 1, 2 UNION ALL SELECT target, nu, round(avg(e), 9) FROM c GROUP BY 1, 2)
 SELECT * FROM u ORDER BY target, burden DESC, uid LIMIT 40""")
 def e23(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1' AND split = 'gold'")
+    rows = Tables(spark, d).scored.where("model = 'm1'")
     burden = auc.case_burden(rows).select("target", "uid", r9("burden").alias("burden"))
     return auc.hardest_cases(burden, 40)
 

@@ -40,12 +40,12 @@ def i1(spark, d):
 
 
 @query("i1_heartbeat_state", """
-WITH l AS (SELECT user_id, max(ts) AS last_beat FROM events WHERE event_type = 'view' GROUP BY 1), j AS (SELECT DISTINCT user_id FROM events UNION SELECT c_custkey FROM customer WHERE c_custkey < 200)
+WITH l AS (SELECT user_id, max(ts) AS last_beat FROM events WHERE event_type = 'view' GROUP BY 1), j AS (SELECT DISTINCT user_id FROM events UNION SELECT c_custkey FROM customer)
 SELECT user_id, strftime(last_beat, '%Y-%m-%d %H:%M:%S.%f') AS last_beat, coalesce(epoch(TIMESTAMP '2024-01-30 12:00:00') - epoch(last_beat) > 86400, true) AS stale FROM j LEFT JOIN l USING (user_id)""")
 def i1_batch(spark, d):
     t = Tables(spark, d)
     e = t.raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
-    jobs = e.select("user_id").union(t.raw("customer").where("c_custkey < 200").select("c_custkey"))
+    jobs = e.select("user_id").union(t.raw("customer").select("c_custkey"))
     now = F.lit("2024-01-30 12:00:00").cast("timestamp")
     out = monitor.heartbeat_state(jobs, e.where("event_type = 'view'"), ["user_id"], now, 86400)
     return out.select("user_id", text_time("last_beat"), "stale")
