@@ -4,11 +4,9 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.base import BASE, SEED, TARGETS, Tables, h, r9, sql_h, sql_nonempty
-from tallyfold.functions.predicates import all_nonempty, nonempty
 from tallyfold.operators import agreement, auc, bootstrap, calibration, dominance, extraction, folds, labels, manifest, softlabels
 from tallyfold.plans import labels as label_plans
 from tallyfold.plans import review
-from tallyfold.scale import attach
 
 # Mann-Whitney by window over the distinct scores of each key
 AUC_SQL = """
