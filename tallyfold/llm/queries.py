@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import packing, simhash
+from tallyfold.llm import packing, pii, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.found_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.spans_text().alias("spans"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER, public_tokenizers.PATTERN))
@@ -33,3 +39,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = rules.judged(docs, rules.fitted(docs, table(spark, sf_dir, "labels")))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (F.col("rule") == 0)).alias("kept"), "rule")
