@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import packing, pii, rules, simhash
+from tallyfold.llm import language, packing, pii, quality, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(quality.sample(docs, table(spark, sf_dir, "labels")))
+    found = quality.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.round("expected_grade", 9).alias("expected_grade"), F.round("p_top", 9).alias("p_top"), "accepted")
+
+
 @query
 def op4_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.found_spans(table(spark, sf_dir, "documents"))
@@ -41,6 +49,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op8_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
