@@ -96,15 +96,15 @@ class Model:
     thresholds: list[float]
 
 
-def fit(rows: list[tuple[int, list[int]]]) -> Model | None:
-    """rows: grade and features."""
-    rows = sorted((g, tuple(f)) for g, f in rows)
+def fit(rows: list[tuple[int, bytes]]) -> Model | None:
+    """rows: grade and features (32-bit integers as bytes). They are put in one order first, so that the fit doesn't depend on theirs."""
+    rows = sorted(rows)
     y = np.array([g for g, _ in rows], np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    size = np.array([len(f) for _, f in rows], np.int64)
-    every = np.fromiter((j for _, f in rows for j in f), np.int64, int(size.sum()))
-    row = np.repeat(np.arange(len(rows)), size)
+    size = np.array([len(f) // 4 for _, f in rows], np.int64)
+    every = np.frombuffer(b"".join(f for _, f in rows), "<i4")
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), size)
     names, at, seen = np.unique(every, return_inverse=True, return_counts=True)
     mean = np.bincount(at, weights=y[row].astype(float)) / seen
     often = (seen >= min(MIN_ROWS, max(1, len(rows) // 20))) & (np.abs(mean - y.mean()) * np.sqrt(seen) >= SCREEN * y.std())
@@ -149,7 +149,7 @@ def fit(rows: list[tuple[int, list[int]]]) -> Model | None:
     return Model({int(names[j]): float(w[j]) for j in kept}, thresholds)
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, list[int]]]:
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[int, bytes]]:
     """Grade and features of at most ``rows`` labelled documents: those of the smallest hashes of doc_id, whatever the table's size."""
     graded = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg((F.min("quality") + 1 - F.max("toxic")).cast("int").alias("grade"))
     chosen = graded.where(F.col("grade").between(0, GRADES - 1)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -157,11 +157,12 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            found = [features(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("grade"), pa.array(found, pa.list_(pa.int32()))], ["grade", "features"])
+            found = [features(t or "").astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("grade"), pa.array(found, pa.binary())], ["grade", "features"])
 
     joined = only(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("grade", "text")  # at most SAMPLE_ROWS pairs of numbers
-    return [(r.grade, r.features) for r in joined.mapInArrow(run, "grade int, features array<int>").collect()]
+    table = joined.mapInArrow(run, "grade int, features binary").toArrow()
+    return list(zip(table.column("grade").to_pylist(), table.column("features").to_pylist(), strict=True))
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
