@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import language, packing, pii, quality, rules, simhash
+from tallyfold.llm import counts, decontamination, language, packing, pii, quality, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = found.groupBy("doc_id", "item_id", "item_shingles").agg(F.max("shared").cast("long").alias("shared"))
+    return best.select("doc_id", "item_id", F.col("item_shingles").cast("long").alias("item_shingles"), "shared", (F.col("shared") / F.col("item_shingles")).alias("containment"))
+
+
+ORACLES["op1_benchmark_decontamination"] = decontamination.ORACLE
+
+
 @query
 def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -60,3 +70,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.judged(docs, rules.fitted(docs, table(spark, sf_dir, "labels")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (F.col("rule") == 0)).alias("kept"), "rule")
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.documents_of(*counts.flat_files(table(spark, sf_dir, "documents"), TOKENIZER, public_tokenizers.PATTERN))
