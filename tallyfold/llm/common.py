@@ -49,3 +49,11 @@ def only(df: DataFrame, *names: str) -> DataFrame:
 def byte_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, or a longer one if df has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import only, saved, text_key
+from tallyfold.llm.common import only, saved, text_key, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -87,7 +87,7 @@ def contained(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY)
 def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that contain no item. Columns as in docs."""
     found = saved(contained(docs, items, similarity).select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key")).distinct(), "contaminated")
-    name = "__text_key"
+    name = unused(docs, "__text_key")
     left = docs.withColumn(name, text_key(F.col("text")))
     return left.join(found, [left.doc_id.eqNullSafe(found.c_id), left[name] == found.c_key], "left_anti").drop(name)
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import only, saved, text_key
+from tallyfold.llm.common import only, saved, text_key, unused
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -197,18 +197,19 @@ def cut(text: str | None, base: str | None, added: list[dict] | None) -> str | N
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """docs with sanitised texts; n_chars, if there is such a column, follows the text. Columns as in docs."""
+    own = {n: unused(docs, f"__{n}") for n in ("doc_id", "text_key", "base", "added", "key")}
     marks = found_spans(docs).where((F.col("base") != "") | F.col("added").isNotNull()).select("doc_id", "text_key", "base", "added").dropDuplicates(["doc_id", "text_key"])
-    marks = saved(marks.withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "base": "__base", "added": "__added"}), "marks")
-    keyed = docs.withColumn("__text_key", text_key(F.col("text")))
-    both = keyed.join(marks, [keyed.doc_id.eqNullSafe(marks["__id"]), F.col("__text_key") == F.col("__key")], "left")
+    marks = saved(marks.withColumnsRenamed(own), "marks")
+    keyed = docs.withColumn(own["key"], text_key(F.col("text")))
+    both = keyed.join(marks, [keyed.doc_id.eqNullSafe(marks[own["doc_id"]]), F.col(own["key"]) == F.col(own["text_key"])], "left")
+    names, base, added = docs.columns, own["base"], own["added"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [cut(*x) for x in zip(*[batch.column(n).to_pylist() for n in ("text", "__base", "__added")], strict=True)]
+            texts = [cut(*x) for x in zip(*[batch.column(n).to_pylist() for n in ("text", base, added)], strict=True)]
             yield pa.record_batch([pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names)
 
-    names = docs.columns
-    out = both.select(*[F.col(f"`{n}`") for n in names], "__base", "__added").mapInArrow(run, docs.schema)
+    out = both.select(*[F.col(f"`{n}`") for n in names], base, added).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out

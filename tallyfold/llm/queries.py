@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import counts, decontamination, language, packing, pii, quality, rules, simhash
+from tallyfold.llm import counts, decontamination, language, packing, pages, pii, quality, repeats, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,12 +42,23 @@ def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.round("expected_grade", 9).alias("expected_grade"), F.round("p_top", 9).alias("p_top"), "accepted")
 
 
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages")
+    return pages.extracted(found, pages.fitted(found))
+
+
 @query
 def op4_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.found_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.spans_text().alias("spans"))
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicated(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER, public_tokenizers.PATTERN))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import byte_texts, only, saved, text_key
+from tallyfold.llm.common import byte_texts, only, saved, text_key, unused
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -168,6 +168,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def _with_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    name = "__text_key"
+    name = unused(docs, "__text_key")
     left = docs.withColumn(name, text_key(F.col("text")))
     return left.join(keys, [left.doc_id.eqNullSafe(keys.doc_id), left[name] == keys.text_key], how).drop(name)
