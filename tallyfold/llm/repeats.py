@@ -34,8 +34,8 @@ from tallyfold.llm.common import byte_texts, only, saved, text_key
 
 LENGTH = 200
 GRAM = 64
-#: Stretches of one gram that may meet in one task.
-GROUP = 2_000
+#: Stretches of one gram that may meet in one task: at some 140 strings each, their ranks take at most 25 MB there.
+GROUP = 20_000
 #: Bytes that are ranked at once; positions in them need ``PLACE`` bits.
 CHUNK, PLACE = 900_000, np.uint64(20)
 MIX = np.uint64(0x9E3779B97F4A7C15)
