@@ -36,6 +36,8 @@ OTHER_PARTS = frozenset("head nav aside footer form button select dialog menu te
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset("ul ol dl table select menu".split())
+#: Tags that stand in running text; unknown ones of them weigh little.
+TEXT_TAGS = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 br hr blockquote pre figcaption".split())
 CONTAINERS = ("article", "main")
 #: Words of a class, id or role that tell other parts of a page.
 HINTS = frozenset(
@@ -170,7 +172,7 @@ def region(found: list[Token], weights: dict[str, float]) -> tuple[int, int]:
         elif kind == "link":
             total += link * n
         elif kind == "tag":
-            total += get(text, -0.1 if text.strip("/") in INLINE else unknown)
+            total += get(text, -0.1 if text.strip("/") in TEXT_TAGS else unknown)
         elif kind == "part":
             total += part
         else:

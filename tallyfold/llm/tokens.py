@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable
 
 import numpy as np
 import tiktoken
 
+#: A space inside a run of white space, or at its end when the text ends there: such a run is one piece.
+INSIDE_RUN = re.compile(r" (?<=\s )(?=\s|\Z)")
 #: Memo entries of a worker; the memo starts anew beyond.
 MEMO_ENTRIES = 400_000
 _ENCODERS: dict[str, Callable[[str], np.ndarray]] = {}
@@ -36,8 +39,8 @@ def encoder(json_path: str, pattern: str) -> Callable[[str], np.ndarray]:
     """A function from text to its ids as unsigned 16-bit integers; one per worker.
 
     The vocabulary's rank file gives the ids of the tokenizer's JSON file, several times faster. A piece of the pattern holds a space
-    only as its first character, or in a run of white space; so a text without two spaces in a row may be cut before each space
-    and the parts encoded alone, each different part once. Other texts are encoded whole.
+    only as its first character, or inside a run of white space; so a text without the latter may be cut before each space and the
+    parts encoded alone, each different part once. Other texts are encoded whole.
     """
     if json_path not in _ENCODERS:
         with open(ranks_path(json_path), "rb") as lines:
@@ -46,7 +49,7 @@ def encoder(json_path: str, pattern: str) -> Callable[[str], np.ndarray]:
         memo = _Memo(whole)
 
         def encode(text: str) -> np.ndarray:
-            if "  " in text:
+            if INSIDE_RUN.search(text):
                 return np.array(whole(text), "<u2")
             head, *rest = text.split(" ")
             parts = [head, *[" " + part for part in rest]] if head else [" " + part for part in rest]
