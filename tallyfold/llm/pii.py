@@ -179,11 +179,11 @@ def spans_text() -> F.Column:
     return F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size("added") > 0, extra))
 
 
-def cut(text: str | None, base: str | None, added: list[dict] | None) -> str | None:
+def cut(text: str | None, spans: list[Span], added: list[dict] | None) -> str | None:
     """The text with base spans replaced by their kind, removed terms by nothing and generalised ones by their kind."""
-    if not text or not (base or added):
+    if not text or not (spans or added):
         return text
-    marks = [(int(a), -int(b), f"[{k.upper()}]") for k, a, b in (s.split(":") for s in (base or "").split(",") if s)]
+    marks = [(a, -b, f"[{k.upper()}]") for k, a, b in spans]
     marks += [(x["start"], -x["end"], "" if x["removed"] else "[NUMBER]" if text[x["start"] : x["end"]].isdigit() else "[TERM]") for x in added or []]
     out, end = [], 0
     for a, b, mark in sorted(marks):
@@ -196,20 +196,22 @@ def cut(text: str | None, base: str | None, added: list[dict] | None) -> str | N
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
-    """docs with sanitised texts; n_chars, if there is such a column, follows the text. Columns as in docs."""
-    own = {n: unused(docs, f"__{n}") for n in ("doc_id", "text_key", "base", "added", "key")}
-    marks = found_spans(docs).where((F.col("base") != "") | F.col("added").isNotNull()).select("doc_id", "text_key", "base", "added").dropDuplicates(["doc_id", "text_key"])
+    """docs with sanitised texts; n_chars, if there is such a column, follows the text. Columns as in docs.
+
+    Base spans are found again where the text is, so only the few documents with added spans take part in a join."""
+    own = {n: unused(docs, f"__{n}") for n in ("doc_id", "text_key", "added", "key")}
+    marks = found_spans(docs).where(F.col("added").isNotNull()).select("doc_id", "text_key", "added").dropDuplicates(["doc_id", "text_key"])
     marks = saved(marks.withColumnsRenamed(own), "marks")
     keyed = docs.withColumn(own["key"], text_key(F.col("text")))
     both = keyed.join(marks, [keyed.doc_id.eqNullSafe(marks[own["doc_id"]]), F.col(own["key"]) == F.col(own["text_key"])], "left")
-    names, base, added = docs.columns, own["base"], own["added"]
+    names, added = docs.columns, own["added"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [cut(*x) for x in zip(*[batch.column(n).to_pylist() for n in ("text", base, added)], strict=True)]
+            texts = [cut(t, base_spans(t or ""), x) for t, x in zip(batch.column("text").to_pylist(), batch.column(added).to_pylist(), strict=True)]
             yield pa.record_batch([pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names)
 
-    out = both.select(*[F.col(f"`{n}`") for n in names], base, added).mapInArrow(run, docs.schema)
+    out = both.select(*[F.col(f"`{n}`") for n in names], added).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out
