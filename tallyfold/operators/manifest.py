@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.scale import attach, col, cols, exact_quantiles, prefix_sums
+from tallyfold.scale import attach, col, cols, exact_quantiles, join_on, prefix_sums
 
 
 def slot_details(manifest: DataFrame) -> DataFrame:
@@ -69,11 +69,11 @@ def admit_under_budget(requests: DataFrame, existing: DataFrame, limit: int, ord
 
 
 def size_profile(rows: DataFrame, value: str, keys: Sequence[str] = (), *, strategy: str = "auto") -> DataFrame:
-    """mean, p50, p95 and max per key."""
+    """mean, p50, p95 and max per key; a null key is a key, and a key without values has nulls."""
     keys = list(keys)
     q = exact_quantiles(rows, keys, value, {"p50": 0.5, "p95": 0.95}, strategy=strategy)
     base = rows.groupBy(*cols(keys)).agg(F.avg(col(value)).alias("mean"), F.max(col(value)).alias("max"))
-    return base.join(q, keys) if keys else attach(base, q)
+    return join_on(base, q, keys, "left") if keys else attach(base, q)
 
 
 def project_full(measured: DataFrame, n_full: int, raw_bytes: float) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.scale import attach, choose, col, cols, ordinal_rank, prefix_sums
+from tallyfold.scale import attach, choose, col, cols, join_on, ordinal_rank, prefix_sums
 
 
 def mid_ranks(df: DataFrame, group: Sequence[str], value: str, *, strategy: str = "auto",
@@ -25,11 +25,11 @@ def mid_ranks(df: DataFrame, group: Sequence[str], value: str, *, strategy: str
     hist = df.groupBy(*cols(group), col(value)).agg(F.count(F.lit(1)).alias("ties"))
     ranked = prefix_sums(hist, group, [col(value)], ["ties"], strategy="range")
     sizes = hist.groupBy(*cols(group)).agg(F.sum("ties").alias("n"))
-    table = ranked.join(sizes, group) if group else attach(ranked, sizes)
+    table = join_on(ranked, sizes, group) if group else attach(ranked, sizes)
     table = table.select(*cols([*group, value]), "ties", "n",
                          (F.col("ties_before") + (F.col("ties") + 1) / F.lit(2.0)).alias("rank"))
     # one rank row per (group, value): a heavily tied value is a skewed row side that AQE may split
-    return df.join(table, [*group, value])
+    return join_on(df, table, [*group, value])
 
 
 def normalized_ranks(df: DataFrame, group: Sequence[str], value: str, name: str = "nrank", **kw) -> DataFrame:
@@ -43,7 +43,7 @@ def scaled_ordinal_ranks(df: DataFrame, group: Sequence[str], value: str, tiebre
     group = list(group)
     ranked = ordinal_rank(df, group, [col(value), col(tiebreak)], "__k", **kw)
     sizes = df.groupBy(*cols(group)).agg(F.count(F.lit(1)).alias("__n"))
-    joined = ranked.join(sizes, group) if group else attach(ranked, sizes)
+    joined = join_on(ranked, sizes, group) if group else attach(ranked, sizes)
     scaled = F.coalesce(F.try_divide(F.col("__k") - 1, F.col("__n") - 1), F.lit(0.0))
     return joined.withColumn(name, scaled).drop("__k", "__n")
 

@@ -70,6 +70,14 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
         *cols(df.columns), *[F.col("__one").getField(c).alias(c) for c in one_row.columns])
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same name in which nulls are equal; the result has the left key columns once."""
+    names = {k: f"__on_{i}" for i, k in enumerate(keys)}
+    other = right.select(*[col(c).alias(names.get(c, c)) for c in right.columns])
+    on = [col(k).eqNullSafe(col(n)) for k, n in names.items()]
+    return left.join(other, on, how).drop(*names.values())
+
+
 def checkpoint_root(spark) -> str:
     """The shared folder named by the session; a scratch folder only in local mode."""
     sc = spark.sparkContext
@@ -105,7 +113,7 @@ def prefix_sums(
 ) -> DataFrame:
     """Add ``<value>_before``: the sum over the rows ordered before this one.
 
-    ``order`` must be unique inside a group and group columns must not be null.
+    ``order`` must be unique inside a group; a null group is a group.
     """
     group, order = list(group), list(order)
     before = Window.unboundedPreceding, -1
@@ -123,7 +131,7 @@ def prefix_sums(
     inside = laid.select(
         "*", *[F.coalesce(F.sum(col(v)).over(local), F.lit(0)).alias(f"__l_{v}") for v in values]
     )
-    return inside.join(offsets, keys).select(
+    return join_on(inside, offsets, keys).select(
         *cols(df.columns), *[(col(f"__l_{v}") + col(f"__o_{v}")).alias(f"{v}_before") for v in values]
     )
 
@@ -163,7 +171,7 @@ def exact_quantiles(
     hist = df.where(col(value).isNotNull()).groupBy(*cols(group), col(value)).agg(F.count(F.lit(1)).alias("__c"))
     ranked = prefix_sums(hist, group, [col(value)], ["__c"], strategy=strategy)
     totals = hist.groupBy(*cols(group)).agg(F.sum("__c").alias("__n"))
-    joined = ranked.join(totals, group) if group else attach(ranked, totals)
+    joined = join_on(ranked, totals, group) if group else attach(ranked, totals)
     aggs = []
     for name, q in probs.items():
         pos = (F.col("__n") - 1) * F.lit(float(q))

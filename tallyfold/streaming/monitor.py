@@ -54,9 +54,9 @@ def missing_results(jobs: DataFrame, results: DataFrame) -> DataFrame:
         "job", F.when(F.col("stale"), F.lit("heartbeat_stale")).otherwise(F.lit("missing_result")).alias("status"))
 
 
-def first_write_wins(rows: DataFrame, keys: Sequence[str], ts: str = "ts", lateness: str = "10 minutes") -> DataFrame:
-    """Keep the first row per key; the watermark bounds how long keys are remembered."""
-    return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
+def first_write_wins(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keep the first row per key, for ever: Spark's state holds every key that was seen, without expiry."""
+    return rows.dropDuplicates(list(keys))
 
 
 def throughput(events: DataFrame, ts: str = "ts", window: str = "1 hour", slide: str | None = None,
@@ -70,10 +70,9 @@ def throughput(events: DataFrame, ts: str = "ts", window: str = "1 hour", slide:
                       "quarantined", F.round(F.col("n") / minutes, 2).alias("per_minute"))
 
 
-def terminal_states(updates: DataFrame, key: str, ts: str = "ts", lateness: str = "10 minutes") -> DataFrame:
-    """Each key's first terminal status, once."""
-    done = updates.where(F.col("status").isin(*TERMINAL))
-    return done.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
+def terminal_states(updates: DataFrame, key: str) -> DataFrame:
+    """Each key's first terminal status, once and for ever: a later one is refused however late it comes."""
+    return updates.where(F.col("status").isin(*TERMINAL)).dropDuplicates([key])
 
 
 def breaker_batch(state_path: str, out_path: str, run: Sequence[str] = ("run",), order: str = "attempt",

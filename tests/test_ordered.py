@@ -125,3 +125,17 @@ def test_component_comparison_equals_pairs(spark, strategy):
             assert r.corrected == sum(p[0] and not p[k] for p in pairs)
             assert r.broken == sum(not p[0] and p[k] for p in pairs)
         assert got[(t, "*")].all_wrong == sum(all(p[1:]) for p in pairs)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_null_scores_and_null_groups_stay(spark, strategy):
+    rows = [("a", "u1", 0.5), ("a", "u2", None), ("a", "u3", 0.7), (None, "u4", 0.1), (None, "u5", 0.1), ("b", "u6", None)]
+    df = spark.createDataFrame(rows, "target string, uid string, p double")
+    got = {r.uid: (r["rank"], r.ties, r.n) for r in ranks.mid_ranks(df, ["target"], "p", strategy=strategy).collect()}
+    assert got == {"u1": (2.0, 1, 3), "u2": (1.0, 1, 3), "u3": (3.0, 1, 3), "u4": (1.5, 2, 2), "u5": (1.5, 2, 2), "u6": (1.0, 1, 1)}
+    order = {r.uid: r["rank"] for r in ordinal_rank(df, ["target"], [F.col("p"), F.col("uid")], strategy=strategy).collect()}
+    assert order == {"u2": 1, "u1": 2, "u3": 3, "u4": 1, "u5": 2, "u6": 1}
+    from tallyfold.operators.manifest import size_profile
+
+    profile = {r.target: (r["mean"], r.p50, r["max"]) for r in size_profile(df, "p", ["target"], strategy=strategy).collect()}
+    assert profile["b"] == (None, None, None) and profile[None] == (0.1, 0.1, 0.1) and profile["a"][1] == pytest.approx(0.6)

@@ -110,3 +110,14 @@ def test_sinks_and_readers(spark, tmp_path):
         from tallyfold.operators.contracts import numeric_export
 
         numeric_export(df, ["uid", "report"])
+
+
+def test_keys_are_never_forgotten(spark, tmp_path):
+    schema = "kernel string, status string, ts timestamp"
+    days = [dt.datetime(2024, 1, d, 12) for d in range(1, 8)]
+    batches = [[("k", "COMPLETE" if i == 0 else "ERROR", t), (f"other{i}", "RUNNING", t)] for i, t in enumerate(days)]
+    source = feed(spark, tmp_path, batches, schema)
+    done = drain(monitor.terminal_states(source, "kernel"), tmp_path / "o1")
+    assert [(r.kernel, r.status) for r in done] == [("k", "COMPLETE")]
+    first = drain(monitor.first_write_wins(source, ["kernel"]), tmp_path / "o2")
+    assert sorted(r.kernel for r in first) == sorted(["k", *[f"other{i}" for i in range(7)]])
