@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.base import BASE, SEED, TARGETS, Tables, h, r9, sql_h, sql_nonempty
-from tallyfold.operators import agreement, auc, bootstrap, calibration, dominance, extraction, folds, labels, manifest, softlabels
+from tallyfold.operators import agreement, auc, bootstrap, calibration, dominance, extraction, folds, labels, manifest, poisson, softlabels
 from tallyfold.plans import labels as label_plans
 from tallyfold.plans import review
 
@@ -128,21 +128,37 @@ draws AS (SELECT {s}b, {sql_h(f"'{seed}:' {tag} || b || ':' || i")} % n AS i, co
 w AS (SELECT {pick}x.{unit}, d.b, d.w FROM draws d JOIN idx x ON {on}d.i = x.i)"""
 
 
+def poisson_sql(universe: str, n_boot: int, unit: list[str], seed: int = SEED) -> str:
+    """CTE w(unit, b, w) with the library's Poisson weights: a 64-bit mix of the unit's hash and the replicate."""
+    u = ", ".join(unit)
+    label = " || ':' || ".join(f"{c}::VARCHAR" for c in unit)
+    mod = "18446744073709551616::UHUGEINT"
+    steps = " + ".join(f"(u >= {float(c)!r}e0::DOUBLE)::INT" for c in poisson.CDF)
+    return f"""
+units AS (SELECT {u}, {sql_h(f"'{seed}:' || {label}")} AS h FROM (SELECT DISTINCT {u} FROM {universe})),
+z0 AS (SELECT {u}, b, ((h::UHUGEINT + (b + 1)::UHUGEINT * 11400714819323198485::UHUGEINT) % {mod})::UBIGINT AS z FROM units, (SELECT unnest(range({n_boot})) AS b)),
+z1 AS (SELECT {u}, b, ((xor(z, z >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % {mod})::UBIGINT AS z FROM z0),
+z2 AS (SELECT {u}, b, ((xor(z, z >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % {mod})::UBIGINT AS z FROM z1),
+z3 AS (SELECT {u}, b, (xor(z, z >> 31) >> 11)::DOUBLE * 1.1102230246251565e-16 AS u FROM z2),
+w AS (SELECT {u}, b, {steps} AS w FROM z3)"""
+
+
 ONE = "one AS (SELECT uid, target, y, p FROM scored WHERE model = 'm1')"
 
 
-@query("d11_bootstrap_macro", BASE + f", {ONE}," + draws_sql("one", 100, seed=7) + ", rows AS (SELECT b, target, y, p, w FROM one JOIN w USING (uid))," + auc_sql("b, target", "rows", "w") + """
+@query("d11_bootstrap_macro", BASE + f", {ONE}," + draws_sql("one", 200, seed=7) + ", rows AS (SELECT b, target, y, p, w FROM one JOIN w USING (uid))," + auc_sql("b, target", "rows", "w") + """
 , m AS (SELECT b, avg(auc) AS m FROM aucs GROUP BY 1)
 SELECT round(avg(m), 9) AS mean, round(quantile_cont(m, 0.025), 9) AS low, round(quantile_cont(m, 0.975), 9) AS high, count(m) AS n_boot FROM m""")
 def d11(spark, d):
     rows = Tables(spark, d).scored.where("model = 'm1'")
-    out = bootstrap.bootstrap_macro(rows, 100, 7)
+    out = bootstrap.bootstrap_macro(rows, 200, 7)
     return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
-@query("d12_paired_delta", BASE + ", two AS (SELECT * FROM scored WHERE model IN ('m1', 'm2'))," + draws_sql("two", 60, "split") + """
+PAIRED_ROWS = """
 , rows AS (SELECT two.split, b, model, target, y, p, w FROM two JOIN w ON two.uid = w.uid AND two.split = w.split),
-""" + auc_sql("split, b, model, target", "rows", "w") + """
+""" + auc_sql("split, b, model, target", "rows", "w")
+PAIRED_END = """
 , mm AS (SELECT split, b, avg(auc) FILTER (model = 'm1') - avg(auc) FILTER (model = 'm2') AS delta FROM aucs GROUP BY 1, 2),
 ci AS (SELECT split, quantile_cont(delta, 0.025) AS lo, quantile_cont(delta, 0.975) AS hi, count(delta) AS n_boot FROM mm GROUP BY 1),
 pt AS (SELECT split, avg(auc) FILTER (model = 'm1') - avg(auc) FILTER (model = 'm2') AS delta FROM (
@@ -150,16 +166,22 @@ pt AS (SELECT split, avg(auc) FILTER (model = 'm1') - avg(auc) FILTER (model = '
     WHERE a.split = k.split AND b.split = k.split AND a.model = k.model AND b.model = k.model AND a.target = k.target AND b.target = k.target AND a.y = 1 AND b.y = 0) AS auc
   FROM (SELECT DISTINCT split, model, target FROM two) k) GROUP BY 1)
 SELECT pt.split, round(delta, 9) AS delta, round(lo, 9) AS ci_low, round(hi, 9) AS ci_high, n_boot, (SELECT count(DISTINCT uid) FROM two t WHERE t.split = pt.split) AS n_paired
-FROM pt JOIN ci USING (split)""")
+FROM pt JOIN ci USING (split)"""
+
+
+@query("d12_paired_delta", BASE + ", two AS (SELECT * FROM scored WHERE model IN ('m1', 'm2'))," + draws_sql("two", 60, "split") + PAIRED_ROWS + PAIRED_END)
 def d12(spark, d):
     out = bootstrap.paired_delta(Tables(spark, d).scored, "m1", "m2", 60, SEED, ["split"])
     return out.select("split", *[r9(c).alias(c) for c in ("delta", "ci_low", "ci_high")], "n_boot", "n_paired")
 
 
-@query("d12_paired_delta_poisson")
+@query("d12_paired_delta_poisson", BASE + ", two AS (SELECT * FROM scored WHERE model IN ('m1', 'm2'))," + poisson_sql("two", 2000, ["uid"]) + """
+, rows AS (SELECT two.split, b, model, target, y, p, w FROM two JOIN w USING (uid)),
+""" + auc_sql("split, b, model, target", "rows", "w") + PAIRED_END)
 def d12_poisson(spark, d):
-    """Independent Poisson weights per study: no SQL twin, checked against brute force in the tests."""
-    return bootstrap.paired_delta(Tables(spark, d).scored, "m1", "m2", 60, SEED, ["split"], method="poisson")
+    """Independent Poisson weights per study, the same in every stratum, model and target."""
+    out = bootstrap.paired_delta(Tables(spark, d).scored, "m1", "m2", 2000, SEED, ["split"], method="poisson")
+    return out.select("split", *[r9(c).alias(c) for c in ("delta", "ci_low", "ci_high")], "n_boot", "n_paired")
 
 
 @query("d13_pair_summary", BASE + """
@@ -206,6 +228,17 @@ def d15(spark, d):
     return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
+@query("d15_group_bootstrap_delta_poisson", BASE + f", {GROUPED}," + poisson_sql("two", 2000, ["fold", "group_id"]) + """
+, rows AS (SELECT two.fold, b, model, target, y, p, w FROM two JOIN w ON two.group_id = w.group_id AND two.fold = w.fold),
+""" + auc_sql("fold, b, model, target", "rows", "w") + """
+, dd AS (SELECT b, fold, target, max(auc) FILTER (model = 'm1') - max(auc) FILTER (model = 'm2') AS dl FROM aucs GROUP BY 1, 2, 3),
+kept AS (SELECT b, avg(dl) AS delta FROM dd GROUP BY 1 HAVING count(dl) = (SELECT count(*) FROM (SELECT DISTINCT fold, target FROM two)))
+SELECT round(avg(delta), 9) AS mean, round(quantile_cont(delta, 0.025), 9) AS low, round(quantile_cont(delta, 0.975), 9) AS high, count(*) AS n_boot FROM kept""")
+def d15_poisson(spark, d):
+    out = bootstrap.group_bootstrap_delta(_two_folds(Tables(spark, d)), "m1", "m2", 2000, SEED, method="poisson")
+    return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
+
+
 @query("d15_group_bootstrap_auc", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid) WHERE s.model = 'm1')," + draws_sql("one", 40, "target", unit="group_id") + """
 , rows AS (SELECT one.target, b, y, p, w FROM one JOIN w ON one.group_id = w.group_id AND one.target = w.target),
 """ + auc_sql("b, target", "rows", "w") + """
@@ -217,6 +250,17 @@ def d15_auc(spark, d):
     return out.select("target", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
+@query("d15_group_bootstrap_auc_poisson", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid) WHERE s.model = 'm1')," + poisson_sql("one", 2000, ["target", "group_id"]) + """
+, rows AS (SELECT one.target, b, y, p, w FROM one JOIN w ON one.group_id = w.group_id AND one.target = w.target),
+""" + auc_sql("b, target", "rows", "w") + """
+SELECT target, round(avg(auc), 9) AS mean, round(quantile_cont(auc, 0.025), 9) AS low, round(quantile_cont(auc, 0.975), 9) AS high, count(auc) AS n_boot FROM aucs WHERE auc IS NOT NULL GROUP BY 1""")
+def d15_auc_poisson(spark, d):
+    t = Tables(spark, d)
+    rows = t.scored.where("model = 'm1'").join(t.folds.select("uid", "group_id"), "uid")
+    out = bootstrap.group_bootstrap_auc(rows, 2000, SEED, method="poisson")
+    return out.select("target", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
+
+
 @query("d16_weighted_auc", BASE + ", ww AS (SELECT s.*, CASE WHEN c.weight = 0.15 THEN 3 ELSE 5 END AS w FROM scored s JOIN cells c USING (uid, target))," + auc_sql("model, target", "ww", "w") + """
 SELECT model, target, n, n_pos::DOUBLE AS n_pos, n_neg::DOUBLE AS n_neg, round(auc, 9) AS auc FROM aucs""")
 def d16(spark, d):
@@ -590,6 +634,17 @@ def d40(spark, d):
     return out.select(r9("ci_low").alias("ci_low"), r9("ci_high").alias("ci_high"), "n_boot", "n_paired")
 
 
+@query("d40_pooled_two_fold_delta_poisson", BASE + f", {POOLED}," + poisson_sql("pooled", 2000, ["uid"]) + ", rows AS (SELECT b, model, target, y, p, w FROM pooled JOIN w USING (uid))," + auc_sql("b, model, target", "rows", "w") + """
+, dl AS (SELECT b, avg(auc) FILTER (model = 'new') - avg(auc) FILTER (model = 'old') AS delta FROM aucs GROUP BY 1)
+SELECT round(quantile_cont(delta, 0.025), 9) AS ci_low, round(quantile_cont(delta, 0.975), 9) AS ci_high, count(delta) AS n_boot, (SELECT count(DISTINCT uid) FROM pooled) AS n_paired FROM dl""")
+def d40_poisson(spark, d):
+    t = Tables(spark, d)
+    f = t.folds.select("uid", "fold")
+    rows = t.preds.join(f, "uid").where("(fold = 0 AND model IN ('m1', 'm2')) OR (fold = 1 AND model IN ('m3', 'm4'))").drop("fold")
+    out = review.second_fold_review(rows, t.cells, {"0": ("m1", "m2"), "1": ("m3", "m4")}, 2000, SEED, method="poisson")["delta"]
+    return out.select(r9("ci_low").alias("ci_low"), r9("ci_high").alias("ci_high"), "n_boot", "n_paired")
+
+
 @query("d41_failure_breaker", """
 WITH x AS (SELECT user_id AS run, event_id, event_type = 'error' AS rej FROM events),
 r AS (SELECT run, event_id, count(*) OVER w AS a, sum(rej::INT) OVER w AS b FROM x WINDOW w AS (PARTITION BY run ORDER BY event_id))

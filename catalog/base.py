@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import uniform32
+from tallyfold.functions.hashing import uniform60
 from tallyfold.functions.predicates import STATES, gold_label, nonempty, state_label
 from tallyfold.operators.folds import leakage_groups
 
@@ -25,11 +25,11 @@ def r9(c: Column | str, digits: int = 9) -> Column:
 
 
 def h(*parts: Column | str | int) -> Column:
-    return uniform32(*parts)
+    return uniform60(*parts)
 
 
 def sql_h(expr: str) -> str:
-    return f"(('0x' || substr(sha256({expr}), 1, 8))::BIGINT)"
+    return f"(('0x' || substr(sha256({expr}), 1, 15))::BIGINT)"
 
 
 STRIP_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)"

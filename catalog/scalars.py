@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.base import BASE, TARGETS, Tables, h, r9, sql_h
-from catalog.scans import ENV_SQL, envelopes, fingerprint_sql
+from catalog.scans import ENV_SQL, digest_sql, envelopes, fingerprint_sql
 from tallyfold.functions import arrays, geometry, hashing, predicates, text
 from tallyfold.operators import calibration, extraction, labels, ranks, series
 
@@ -19,7 +19,7 @@ def h2(spark, d):
     return hashing.table_fingerprint(Tables(spark, d).raw("orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
-@query("h2_id_list_fingerprint", BASE + "SELECT fold, count(*) AS n_ids, sha256(string_agg(uid, chr(10) ORDER BY uid)) AS ids_sha256 FROM folds GROUP BY 1")
+@query("h2_id_list_fingerprint", BASE + "SELECT fold, count(*) AS n_ids, " + digest_sql(["uid"]) + " AS ids_sha256 FROM folds GROUP BY 1")
 def h2_ids(spark, d):
     return hashing.id_list_fingerprint(Tables(spark, d).folds, "uid", ["fold"])
 

@@ -1,6 +1,5 @@
 """Sources and sinks. Sinks write to a folder of the run, are read back and returned."""
 
-import tempfile
 
 from pyspark.sql import functions as F
 
@@ -10,27 +9,15 @@ from tallyfold import schemas
 from tallyfold.operators import labels, manifest
 from tallyfold.operators.reshape import to_map, to_wide
 from tallyfold.plans import labels as label_plans
-from tallyfold.scale import checkpoint_root
+from tallyfold.scale import fresh_path
 from tallyfold.sources import readers, writers
 
 
-def scratch(spark, name: str) -> str:
-    """A new folder below the session's shared folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if "://" in root:
-        import uuid
-
-        return f"{root}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
-
-
 @query("a1_csv_scan", BASE + """SELECT uid, quality, toxic, n_chars::VARCHAR AS n_chars, length(replace(report, chr(13), '')) AS report_len FROM train""")
 def a1(spark, d):
     """Round trip through a header CSV whose report cells hold newlines and quotes. Carriage returns are dropped
     on both sides because the CSV reader normalises line ends inside quotes."""
-    path = scratch(spark, "csv")
+    path = fresh_path(spark, "csv")
     t = Tables(spark, d).train.select("uid", F.regexp_replace("report", "\r", "").alias("report"), "quality", "toxic", F.col("n_chars").cast("string").alias("n_chars"))
     t.write.option("header", True).option("escape", '"').option("quoteAll", True).option("nullValue", "\u0001").option("emptyValue", "").option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode("overwrite").csv(path)
@@ -59,7 +46,7 @@ def a2_unsafe(spark, d):
 @query("a3_json_lines_scan", BASE + """
 SELECT uid, target, p FROM sources WHERE source = 's1'""")
 def a3(spark, d):
-    path = scratch(spark, "jsonl")
+    path = fresh_path(spark, "jsonl")
     t = Tables(spark, d)
     soft = to_map(t.sources.where("source = 's1'"), ["uid"], "p", "soft_targets").withColumnRenamed("uid", "StudyInstanceUID")
     writers.write_json_lines(soft, path, "StudyInstanceUID", ["StudyInstanceUID", "soft_targets"])
@@ -87,7 +74,7 @@ def a4(spark, d):
 @query("a5_json_lines_sink", BASE + """
 SELECT uid AS key, '{"p":' || p::VARCHAR || ',"target":"' || target || '","uid":"' || uid || '"}' AS line FROM preds WHERE model = 'm1'""")
 def a5(spark, d):
-    path = scratch(spark, "lines")
+    path = fresh_path(spark, "lines")
     rows = Tables(spark, d).preds.where("model = 'm1'")
     writers.write_json_lines(rows, path, "uid", ["uid", "target", "p"])
     return spark.read.text(path).select(F.get_json_object("value", "$.uid").alias("key"), F.col("value").alias("line"))
@@ -96,7 +83,7 @@ def a5(spark, d):
 @query("a6_submission_sink", BASE + """
 SELECT uid, max(p) FILTER (target = 'quality') AS quality, max(p) FILTER (target = 'toxic') AS toxic FROM preds WHERE model = 'm1' GROUP BY 1""")
 def a6(spark, d):
-    path = scratch(spark, "submission")
+    path = fresh_path(spark, "submission")
     wide = to_wide(Tables(spark, d).preds.where("model = 'm1'"), ["uid"], TARGETS)
     writers.write_submission(wide, path, "uid", TARGETS)
     back = readers.csv_strings(spark, path, ["uid", *TARGETS])
@@ -106,7 +93,7 @@ def a6(spark, d):
 @query("a7_fold_sink_summary", BASE + """
 SELECT count(*) AS n_studies, count(*) FILTER (is_gold) AS n_gold, count(*) FILTER (gold_split = 'eval') AS n_gold_eval, count(*) FILTER (gold_split = 'train_image_ok') AS n_gold_train, 5 AS n_folds FROM folds""")
 def a7(spark, d):
-    path = scratch(spark, "folds")
+    path = fresh_path(spark, "folds")
     writers.write_folds(Tables(spark, d).folds, path, 5, 2026)
     s = spark.read.json(f"{path}/summary")
     return s.select("n_studies", "n_gold", "n_gold_eval", "n_gold_train", F.col("n_folds").cast("int").alias("n_folds"))
@@ -114,16 +101,20 @@ def a7(spark, d):
 
 @query("a8_parquet_sink", BASE + "SELECT fold, gold_split, count(*) AS n FROM folds GROUP BY 1, 2")
 def a8(spark, d):
-    path = scratch(spark, "parquet")
+    path = fresh_path(spark, "parquet")
     writers.write_parquet(Tables(spark, d).folds, path, ["gold_split"])
     return spark.read.parquet(path).groupBy("fold", "gold_split").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fingerprint_sql(src: str, columns: list[str], bucket_hex: int = 4) -> str:
-    parts = " || chr(31) || ".join(f"coalesce({c}::VARCHAR, chr(0))" for c in columns)
-    return f"""(SELECT sha256(string_agg(b || ':' || hh, chr(10) ORDER BY b || ':' || hh)) FROM (
-      SELECT substr(hx, 1, {bucket_hex}) AS b, sha256(string_agg(hx || ':' || c, chr(10) ORDER BY hx || ':' || c)) AS hh FROM (
-        SELECT sha256({parts}) AS hx, count(*) AS c FROM {src} GROUP BY 1) GROUP BY 1))"""
+def digest_sql(columns: list[str]) -> str:
+    """Aggregate over the rows of a FROM clause: the library's fingerprint of these columns."""
+    row = "sha256(" + " || chr(31) || ".join(f"coalesce({c}::VARCHAR, chr(0))" for c in columns) + ")"
+    sums = " || ':' || ".join(f"coalesce(sum(('0x' || substr({row}, {i}, 16))::UBIGINT), 0)::VARCHAR" for i in (1, 17, 33, 49))
+    return f"sha256(count(*)::VARCHAR || ':' || {sums})"
+
+
+def fingerprint_sql(src: str, columns: list[str]) -> str:
+    return f"(SELECT {digest_sql(columns)} FROM {src})"
 
 
 @query("a9_provenance", BASE + f"""
@@ -149,7 +140,7 @@ def a10(spark, d):
 
 @query("a10_stored_file_hashes", BASE + "SELECT count(*) > 0 AS any_file, true AS all_hashed FROM train")
 def a10_files(spark, d):
-    path = scratch(spark, "files")
+    path = fresh_path(spark, "files")
     Tables(spark, d).preds.write.mode("overwrite").parquet(path)
     f = readers.file_hashes(spark, path, "*.parquet")
     return f.agg((F.count(F.lit(1)) > 0).alias("any_file"), F.bool_and(F.length("sha256") == 64).alias("all_hashed"))
@@ -191,7 +182,7 @@ def envelopes(t: Tables):
 SELECT 'labels' AS sink, count(DISTINCT uid) AS n FROM envc UNION ALL SELECT 'rejected', count(*) FROM env WHERE reason IS NOT NULL""")
 def a11(spark, d):
     t = Tables(spark, d)
-    path = scratch(spark, "publish")
+    path = fresh_path(spark, "publish")
     tagged = labels.tag_envelopes(envelopes(t))
     writers.publish_labels(tagged, labels.canonical_cells(tagged, t.train, TARGETS), path)
     good, bad = spark.read.parquet(f"{path}/labels"), spark.read.parquet(f"{path}/rejected")

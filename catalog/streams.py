@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.base import Tables, h, sql_h
-from catalog.scans import scratch
+from tallyfold.scale import fresh_path
 from tallyfold.streaming import monitor
 
 
@@ -18,7 +18,7 @@ def event_stream(spark, d) -> DataFrame:
 def drain(df: DataFrame, name: str) -> DataFrame:
     """Append the stream to parquet files, wait for all available input, return the files."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = fresh_path(spark, name)
     q = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(
         availableNow=True).start(f"{path}/out")
     q.awaitTermination()
@@ -81,7 +81,7 @@ def i3(spark, d):
 @query("i3_last_write_wins", """
 SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
 def i3_last(spark, d):
-    path = scratch(spark, "last")
+    path = fresh_path(spark, "last")
     stream = event_stream(spark, d).select("user_id", "event_type", "ts", "event_id", "value")
     handle = monitor.last_write_batch(f"{path}/table", ["user_id", "event_type"], ["ts", "event_id"])
     q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
@@ -119,7 +119,7 @@ WITH x AS (SELECT user_id AS run, event_id, event_type = 'error' AS rej FROM eve
 r AS (SELECT run, event_id, count(*) OVER w AS a, sum(rej::INT) OVER w AS b FROM x WINDOW w AS (PARTITION BY run ORDER BY event_id))
 SELECT run, min(event_id) AS stopped_at, arg_min(a, event_id) AS attempted, arg_min(b, event_id)::BIGINT AS rejected FROM r WHERE a >= 10 AND b::DOUBLE / a > 0.2 GROUP BY 1""")
 def i6(spark, d):
-    path = scratch(spark, "breaker")
+    path = fresh_path(spark, "breaker")
     stream = event_stream(spark, d).select(F.col("user_id").alias("run"), F.col("event_id").alias("attempt"), (F.col("event_type") == "error").alias("rejected"))
     q = stream.writeStream.foreachBatch(monitor.breaker_batch(f"{path}/state", f"{path}/out")).option(
         "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import uniform32
+from tallyfold.functions.hashing import uniform60
 from tallyfold.functions.predicates import clip, sigmoid
 
 
@@ -137,7 +137,7 @@ def seeded_subset(valid: Column, size: Column, k: int, *key: Column | str | int)
     unusable = F.array_except(everything, valid)
     drawn = F.transform(
         F.slice(F.sort_array(F.transform(valid, lambda i: F.struct(
-            uniform32(*key, i.cast("string")).alias("h"), i.cast("int").alias("i")))), 1, k),
+            uniform60(*key, i.cast("string")).alias("h"), i.cast("int").alias("i")))), 1, k),
         lambda s: s["i"])
     padded = F.slice(F.concat(valid, unusable), 1, k)
     return F.sort_array(F.when(F.size(valid) >= k, drawn).otherwise(padded))

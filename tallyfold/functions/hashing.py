@@ -14,10 +14,10 @@ def sha256_text(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def uniform32(*parts: Column | str | int) -> Column:
-    """First 32 bits of sha256 over the colon-joined parts, as a long in [0, 2**32)."""
+def uniform60(*parts: Column | str | int) -> Column:
+    """First 60 bits of sha256 over the colon-joined parts, as a long in [0, 2**60)."""
     joined = F.concat_ws(":", *[p if isinstance(p, Column) else F.lit(str(p)) for p in parts])
-    return F.conv(F.substring(F.sha2(joined, 256), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.sha2(joined, 256), 1, 15), 16, 10).cast("long")
 
 
 def canonical_json(fields: dict[str, Column]) -> Column:
@@ -38,31 +38,21 @@ def resume_key(uid: Column, report: Column, model: Column, revision: Column, pro
     })
 
 
-def table_fingerprint(df: DataFrame, columns: Sequence[str], bucket_hex: int = 4) -> DataFrame:
-    """Order-independent content hash of a table as one row (n_rows, fingerprint).
+def table_fingerprint(df: DataFrame, columns: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """Order-independent content hash of a table, or of each group: (group, n_rows, fingerprint).
 
-    Rows are hashed, equal rows are counted, (hash, count) pairs are hashed per
-    leading-digits bucket and the bucket hashes are hashed again. Repeated rows
-    collapse before the bucket step, so a bucket holds distinct hashes only.
+    Every row is hashed with sha256; the four 64-bit words of the hashes are summed and the
+    count and sums are hashed. A repeated row counts as often as it occurs. Sums merge on the
+    map side, so no rows are moved and nothing is collected, however long the table is.
     """
     row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(col(c).cast("string"), F.lit("\x00")) for c in columns]), 256)
-    counted = df.select(row.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    entry = F.concat_ws(":", F.col("h"), F.col("c").cast("string"))
-    buckets = counted.groupBy(F.substring("h", 1, bucket_hex).alias("b")).agg(
-        F.sum("c").alias("c"), F.sha2(F.array_join(F.sort_array(F.collect_list(entry)), "\n"), 256).alias("h"))
-    top = F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "b", "h"))), "\n")
-    return buckets.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n_rows"), F.sha2(top, 256).alias("fingerprint"))
+    words = [F.conv(F.substring("h", i, 16), 16, 10).cast("decimal(20,0)") for i in (1, 17, 33, 49)]
+    sums = [F.coalesce(F.sum(w), F.lit(0)).cast("string") for w in words]
+    n = F.count(F.lit(1))
+    return df.select(*cols(group), row.alias("h")).groupBy(*cols(group)).agg(
+        n.alias("n_rows"), F.sha2(F.concat_ws(":", n.cast("string"), *sums), 256).alias("fingerprint"))
 
 
-def id_list_fingerprint(df: DataFrame, id_col: str, group: Sequence[str] = (), max_ids: int = 1_000_000) -> DataFrame:
-    """sha256 of the newline-joined sorted ids per group, for lists of a checked size.
-
-    The digest of one flat string is serial by nature. The list length is counted
-    first and a longer list is refused; use ``table_fingerprint`` for those.
-    """
-    sizes = df.groupBy(*cols(group)).agg(F.count(F.lit(1)).alias("n"))
-    worst = sizes.agg(F.max("n")).first()[0] or 0
-    if worst > max_ids:
-        raise ValueError(f"id list of {worst} rows is too long for a flat digest; use table_fingerprint")
-    digest = F.sha2(F.array_join(F.sort_array(F.collect_list(col(id_col).cast("string"))), "\n"), 256)
-    return df.groupBy(*cols(group)).agg(F.count(F.lit(1)).alias("n_ids"), digest.alias("ids_sha256"))
+def id_list_fingerprint(df: DataFrame, id_col: str, group: Sequence[str] = ()) -> DataFrame:
+    """(group, n_ids, ids_sha256): ``table_fingerprint`` of the ids alone, for lists of any length."""
+    return table_fingerprint(df, [id_col], group).withColumnsRenamed({"n_rows": "n_ids", "fingerprint": "ids_sha256"})

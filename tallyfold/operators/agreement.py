@@ -38,19 +38,19 @@ def pairwise_pearson(sources: DataFrame, digits: int = 3) -> DataFrame:
         F.round(pearson(F.col("pa"), F.col("pb")), digits).alias("r"), F.count(F.lit(1)).alias("n"))
 
 
-def spearman_with(preds: DataFrame, reference: str, *, strategy: str = "auto") -> DataFrame:
+def spearman_with(preds: DataFrame, reference: str) -> DataFrame:
     """(model, target, rho): rank correlation of every model with the reference model on shared ids."""
     ref = preds.where(col("model") == reference).select("uid", "target", F.col("p").alias("__pr"))
     both = preds.join(ref, ["uid", "target"])
-    ranked = mid_ranks(both, ["model", "target"], "p", strategy=strategy).withColumnRenamed("rank", "__ra").drop("ties", "n")
-    ranked = mid_ranks(ranked, ["model", "target"], "__pr", strategy=strategy)
+    ranked = mid_ranks(both, ["model", "target"], "p").withColumnRenamed("rank", "__ra").drop("ties", "n")
+    ranked = mid_ranks(ranked, ["model", "target"], "__pr")
     return ranked.groupBy("model", "target").agg(pearson(F.col("__ra"), F.col("rank")).alias("rho"))
 
 
-def source_vs_gold(sources: DataFrame, gold: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def source_vs_gold(sources: DataFrame, gold: DataFrame) -> DataFrame:
     """(source, target, n, missing, auc rounded to 4): each source against trusted cells (uid, target, y)."""
     labelled = gold.select("uid", "target", "y")
-    per = target_auc(sources.join(labelled, ["uid", "target"]), ["source", "target"], strategy=strategy)
+    per = target_auc(sources.join(labelled, ["uid", "target"]), ["source", "target"])
     wanted = labelled.groupBy("target").agg(F.count(F.lit(1)).alias("__want"))
     offered = sources.select("source", "target").distinct().join(wanted, "target")
     n = F.coalesce(F.col("n"), F.lit(0).cast("long"))
@@ -58,11 +58,10 @@ def source_vs_gold(sources: DataFrame, gold: DataFrame, *, strategy: str = "auto
         "source", "target", n.alias("n"), (F.col("__want") - n).alias("missing"), F.round("auc", 4).alias("auc"))
 
 
-def policy_vs_gold(states: DataFrame, gold: DataFrame, policies: dict[str, dict[str, float]], *,
-                   strategy: str = "auto") -> DataFrame:
+def policy_vs_gold(states: DataFrame, gold: DataFrame, policies: dict[str, dict[str, float]]) -> DataFrame:
     """(policy, target, n_scored, auc rounded to 4): report states scored under each policy against gold."""
     scored = policy_scores(states, policies).join(gold.where(F.col("y").isin(0.0, 1.0)), ["uid", "target"])
-    return target_auc(scored, ["policy", "target"], strategy=strategy).select(
+    return target_auc(scored, ["policy", "target"]).select(
         "policy", "target", F.col("n").alias("n_scored"), F.round("auc", 4).alias("auc"))
 
 
@@ -86,11 +85,11 @@ def state_score_profile(states: DataFrame, sources: DataFrame, low: float = 0.2,
         F.round(F.avg((F.col("p") <= low).cast("double")), 3).alias("frac_low"))
 
 
-def explicit_state_auc(states: DataFrame, sources: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def explicit_state_auc(states: DataFrame, sources: DataFrame) -> DataFrame:
     """AUC of public scores against our explicit positive / negative states."""
     y = F.when(F.col("state") == "criterion_positive", 1.0).when(F.col("state") == "explicit_negative", 0.0)
     joined = states.withColumn("y", y).where(F.col("y").isNotNull()).join(sources, ["uid", "target"])
-    return target_auc(joined, ["source", "target"], strategy=strategy).select(
+    return target_auc(joined, ["source", "target"]).select(
         "source", "target", "n", F.round("auc", 4).alias("auc"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.predicates import finite
-from tallyfold.scale import attach, choose, col, cols, PART, prefix_sums, slices
+from tallyfold.scale import PART, col, cols, join_on, prefix_sums, slices
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -47,23 +47,19 @@ def _wins(below: Column) -> Column:
     return F.col("pos") * (below + F.col("neg") / F.lit(2.0))
 
 
-def histogram_auc(hist: DataFrame, keys: Sequence[str], *, strategy: str = "auto", expansion: float = 1.0) -> DataFrame:
+def histogram_auc(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, n, n_pos, n_neg, wins, auc) from a score histogram."""
     keys = list(keys)
-    if choose(hist, strategy, expansion) == "window":
-        w = Window.partitionBy(*cols(keys)).orderBy("score").rowsBetween(*BEFORE)
-        steps = hist.withColumn("wins", _wins(F.coalesce(F.sum("neg").over(w), F.lit(0))))
-    else:
-        cut = slices(hist, keys, [F.col("score")])
-        local = Window.partitionBy(*cols([*keys, PART])).orderBy("score").rowsBetween(*BEFORE)
-        runs = (
-            cut.withColumn("wins", _wins(F.coalesce(F.sum("neg").over(local), F.lit(0))))
-            .groupBy(*cols([*keys, PART]))
-            .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("wins").alias("wins"))
-        )
-        along = Window.partitionBy(*cols(keys)).orderBy(PART).rowsBetween(*BEFORE)
-        steps = runs.withColumn(
-            "wins", F.col("wins") + F.col("pos") * F.coalesce(F.sum("neg").over(along), F.lit(0)).cast("double"))
+    cut = slices(hist, keys, [F.col("score")])
+    local = Window.partitionBy(*cols([*keys, PART])).orderBy("score").rowsBetween(*BEFORE)
+    runs = (
+        cut.withColumn("wins", _wins(F.coalesce(F.sum("neg").over(local), F.lit(0))))
+        .groupBy(*cols([*keys, PART]))
+        .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("wins").alias("wins"))
+    )
+    along = Window.partitionBy(*cols(keys)).orderBy(PART).rowsBetween(*BEFORE)
+    steps = runs.withColumn(
+        "wins", F.col("wins") + F.col("pos") * F.coalesce(F.sum("neg").over(along), F.lit(0)).cast("double"))
     total = steps.groupBy(*cols(keys)).agg(
         F.sum("n").alias("n"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("wins").alias("wins"))
     defined = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
@@ -72,11 +68,10 @@ def histogram_auc(hist: DataFrame, keys: Sequence[str], *, strategy: str = "auto
 
 
 def target_auc(scored: DataFrame, keys: Sequence[str] = ("target",), y: str = "y", p: str = "p", *,
-               mask: str | None = None, weight: str | None = None, strategy: str = "auto",
-               expansion: float = 1.0) -> DataFrame:
+               mask: str | None = None, weight: str | None = None) -> DataFrame:
     """Masked AUC per key; null, never 0.5, when a class is missing."""
     hist = score_histogram(scored, keys, y, p, mask=mask, weight=weight)
-    return histogram_auc(hist, keys, strategy=strategy, expansion=expansion).drop("wins").withColumn(
+    return histogram_auc(hist, keys).drop("wins").withColumn(
         "undefined", F.col("auc").isNull())
 
 
@@ -138,20 +133,18 @@ def pair_summary(scored: DataFrame, keys: Sequence[str] = ("target",), **kw) ->
         F.when(pairs > 0, F.lit(1.0) - (pairs - F.col("wins")) / pairs).alias("identity_auc"))
 
 
-def case_burden(scored: DataFrame, keys: Sequence[str] = ("target",), *, strategy: str = "auto") -> DataFrame:
+def case_burden(scored: DataFrame, keys: Sequence[str] = ("target",)) -> DataFrame:
     """Share of opposite-class cases each case is misordered with (ties one half)."""
     keys = list(keys)
     rows = scored.where(usable() & col("y").isin(0.0, 1.0)).withColumn("score", F.col("p").cast("double"))
     hist = score_histogram(rows, keys)
-    below = prefix_sums(hist, keys, [F.col("score")], ["pos", "neg"], strategy=strategy)
-    totals = hist.groupBy(*cols(keys)).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    table = below.join(totals, keys) if keys else attach(below, totals)
-    lost_pos = F.col("__N") - F.col("neg_before") - F.col("neg") / F.lit(2.0)
+    table = prefix_sums(hist, keys, [F.col("score")], ["pos", "neg"], totals=True)
+    lost_pos = F.col("neg_total") - F.col("neg_before") - F.col("neg") / F.lit(2.0)
     lost_neg = F.col("pos_before") + F.col("pos") / F.lit(2.0)
     table = table.select(
         *cols(keys), "score",
-        F.try_divide(lost_pos, F.col("__N")).alias("__bp"), F.try_divide(lost_neg, F.col("__P")).alias("__bn"))
-    return rows.join(table, [*keys, "score"]).withColumn(
+        F.try_divide(lost_pos, F.col("neg_total")).alias("__bp"), F.try_divide(lost_neg, F.col("pos_total")).alias("__bn"))
+    return join_on(rows, table, [*keys, "score"]).withColumn(
         "burden", F.when(F.col("y") == 1, F.col("__bp")).otherwise(F.col("__bn"))).drop("__bp", "__bn", "score")
 
 

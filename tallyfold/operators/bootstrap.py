@@ -14,19 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import uniform32
+from tallyfold.functions.hashing import uniform60
 from tallyfold.operators import poisson
 from tallyfold.operators.auc import target_auc
 from tallyfold.scale import attach, col, cols, ordinal_rank, pin
 
 
-def index_units(units: DataFrame, unit: str, strata: Sequence[str] = (), *, strategy: str = "auto") -> DataFrame:
+def index_units(units: DataFrame, unit: str, strata: Sequence[str] = ()) -> DataFrame:
     """(strata, unit, idx, n): distinct units numbered 0..n-1 in unit order."""
     strata = list(strata)
     distinct = units.select(*cols([*strata, unit])).distinct()
-    ranked = ordinal_rank(distinct, strata, [col(unit)], "idx", strategy=strategy).withColumn("idx", F.col("idx") - 1)
-    sizes = ranked.groupBy(*cols(strata)).agg(F.count(F.lit(1)).alias("n"))
-    return ranked.join(sizes, strata) if strata else attach(ranked, sizes)
+    return ordinal_rank(distinct, strata, [col(unit)], "idx", size="n").withColumn("idx", F.col("idx") - 1)
 
 
 def replicate_weights(indexed: DataFrame, unit: str, n_boot: int, seed: int, strata: Sequence[str] = ()) -> DataFrame:
@@ -34,17 +32,16 @@ def replicate_weights(indexed: DataFrame, unit: str, n_boot: int, seed: int, str
     strata = list(strata)
     label = [col(s).cast("string") for s in strata]
     draws = indexed.select(*cols(strata), "idx", "n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-    h = uniform32(seed, *label, F.col("b").cast("string"), F.col("idx").cast("string"))
+    h = uniform60(seed, *label, F.col("b").cast("string"), F.col("idx").cast("string"))
     counts = draws.select(*cols(strata), "b", F.pmod(h, F.col("n")).alias("idx")).groupBy(
         *cols(strata), "b", "idx").agg(F.count(F.lit(1)).alias("w"))
     return counts.join(indexed.select(*cols(strata), unit, "idx"), [*strata, "idx"]).drop("idx")
 
 
-def replicate_auc(scored: DataFrame, weights: DataFrame, unit: Sequence[str], keys: Sequence[str], n_boot: int, *,
-                  strategy: str = "auto") -> DataFrame:
+def replicate_auc(scored: DataFrame, weights: DataFrame, unit: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Weighted AUC per (b, keys); a replicate without both classes is null."""
     drawn = scored.join(weights, list(unit))
-    return target_auc(drawn, ["b", *keys], weight="w", strategy=strategy, expansion=float(n_boot))
+    return target_auc(drawn, ["b", *keys], weight="w")
 
 
 def interval(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -56,8 +53,7 @@ def interval(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_boot"))
 
 
-def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, method: str = "multinomial",
-                    strategy: str = "auto") -> DataFrame:
+def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, method: str = "multinomial") -> DataFrame:
     """Study bootstrap of the macro AUC of one model: (uid, target, y, p) -> mean, low, high, n_boot.
 
     ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
@@ -67,14 +63,14 @@ def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, meth
         return interval(per.groupBy("b").agg(F.avg("auc").alias("macro")), [], "macro")
     scored = pin(scored.select("uid", "target", "y", "p"))
     rows = scored.where(col("y").isNotNull())
-    indexed = index_units(scored, "uid", strategy=strategy)
+    indexed = index_units(scored, "uid")
     weights = replicate_weights(indexed, "uid", n_boot, seed)
-    per = replicate_auc(rows, weights, ["uid"], ["target"], n_boot, strategy=strategy)
+    per = replicate_auc(rows, weights, ["uid"], ["target"])
     return interval(per.groupBy("b").agg(F.avg("auc").alias("macro")), [], "macro")
 
 
 def paired_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed: int = 2026,
-                 strata: Sequence[str] = (), *, method: str = "multinomial", strategy: str = "auto") -> DataFrame:
+                 strata: Sequence[str] = (), *, method: str = "multinomial") -> DataFrame:
     """Macro AUC difference of two models on the same draws, per stratum.
 
     ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
@@ -84,14 +80,13 @@ def paired_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed
     """
     strata = list(strata)
     both = pin(scored.where(col("model").isin(new, old)).select(*cols(strata), "uid", "target", "y", "model", "p"))
-    point = _macro_delta(target_auc(both, [*strata, "model", "target"], strategy=strategy), strata, new, old)
-    indexed = index_units(both, "uid", strata, strategy=strategy)
+    point = _macro_delta(target_auc(both, [*strata, "model", "target"]), strata, new, old)
+    indexed = index_units(both, "uid", strata)
     if method == "poisson":
         per = poisson.replicate_auc(both, [*strata, "model", "target"], n_boot, seed)
     else:
         weights = replicate_weights(indexed, "uid", n_boot, seed, strata)
-        per = replicate_auc(both.where(col("y").isNotNull()), weights, [*strata, "uid"], [*strata, "model", "target"],
-                            n_boot, strategy=strategy)
+        per = replicate_auc(both.where(col("y").isNotNull()), weights, [*strata, "uid"], [*strata, "model", "target"])
     deltas = _macro_delta(per, [*strata, "b"], new, old)
     ci = interval(deltas, strata, "delta").drop("mean")
     sizes = indexed.groupBy(*cols(strata)).agg(F.count(F.lit(1)).alias("n_paired"))
@@ -112,18 +107,23 @@ def _macro_delta(per: DataFrame, keys: Sequence[str], new: str, old: str) -> Dat
 
 
 def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed: int = 2026, *,
-                          groups: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
+                          groups: DataFrame | None = None, method: str = "multinomial") -> DataFrame:
     """Resample whole groups inside each fold and average the per (fold, target) deltas.
 
+    ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
+
     ``scored`` is (fold, group_id, uid, target, y, model, p). A replicate counts only
     when every (fold, target) keeps both classes. ``groups`` is the (fold, group_id)
     universe to draw from, by default the groups of the scored rows.
     """
     both = pin(scored.where(col("model").isin(new, old) & col("y").isin(0.0, 1.0)).select(
         "fold", "group_id", "target", "y", "model", "p"))
-    indexed = index_units(both if groups is None else groups, "group_id", ["fold"], strategy=strategy)
-    weights = replicate_weights(indexed, "group_id", n_boot, seed, ["fold"])
-    per = replicate_auc(both, weights, ["fold", "group_id"], ["fold", "target", "model"], n_boot, strategy=strategy)
+    if method == "poisson":
+        per = poisson.replicate_auc(both, ["fold", "target", "model"], n_boot, seed, ["fold", "group_id"])
+    else:
+        indexed = index_units(both if groups is None else groups, "group_id", ["fold"])
+        weights = replicate_weights(indexed, "group_id", n_boot, seed, ["fold"])
+        per = replicate_auc(both, weights, ["fold", "group_id"], ["fold", "target", "model"])
     strata = both.select("fold", "target").distinct().agg(F.count(F.lit(1)).alias("n_strata"))
     pairs = per.groupBy("b", "fold", "target").agg(
         F.max(F.when(col("model") == new, F.col("auc"))).alias("__new"),
@@ -135,10 +135,14 @@ def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2
     return interval(kept, [], "delta")
 
 
-def group_bootstrap_auc(scored: DataFrame, n_boot: int = 2000, seed: int = 2026, *, strategy: str = "auto") -> DataFrame:
-    """Per target: interval of the AUC when whole groups are resampled."""
+def group_bootstrap_auc(scored: DataFrame, n_boot: int = 2000, seed: int = 2026, *,
+                        method: str = "multinomial") -> DataFrame:
+    """Per target: interval of the AUC when whole groups are resampled; ``method`` as in ``paired_delta``."""
     rows = pin(scored.where(col("y").isin(0.0, 1.0)).select("target", "group_id", "y", "p"))
-    indexed = index_units(rows, "group_id", ["target"], strategy=strategy)
-    weights = replicate_weights(indexed, "group_id", n_boot, seed, ["target"])
-    per = replicate_auc(rows, weights, ["target", "group_id"], ["target"], n_boot, strategy=strategy)
+    if method == "poisson":
+        per = poisson.replicate_auc(rows, ["target"], n_boot, seed, ["target", "group_id"])
+    else:
+        indexed = index_units(rows, "group_id", ["target"])
+        weights = replicate_weights(indexed, "group_id", n_boot, seed, ["target"])
+        per = replicate_auc(rows, weights, ["target", "group_id"], ["target"])
     return interval(per, ["target"], "auc")

@@ -87,14 +87,15 @@ def conditional_weight_violations(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("check", check).where(F.col("check").isNotNull()).select("check", "uid")
 
 
-def linear_scores(pooled: DataFrame, head: DataFrame, ids: Sequence[str] = ("uid",), max_targets: int = 1000) -> DataFrame:
+def linear_scores(pooled: DataFrame, head: DataFrame, ids: Sequence[str] = ("uid",), block: int = 256) -> DataFrame:
     """Probability per (id, target) from pooled vectors and a (target, weights, bias) head.
 
-    The head has one row per target; its size is checked before it is attached to every vector.
+    Targets are dealt by hash to blocks of about ``block`` and every vector meets every block by an
+    equi-join, whose plan Spark picks by the size of the head; no head is too large.
     """
-    n = head.count()
-    if n > max_targets:
-        raise ValueError(f"a head of {n} targets is not a model head")
-    rows = attach(pooled, head.agg(F.sort_array(F.collect_list(F.struct("target", "weights", "bias"))).alias("__head")))
+    n = head.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("int").alias("__blocks"))
+    dealt = attach(head, n).groupBy(F.pmod(F.xxhash64("target"), "__blocks").cast("int").alias("__block")).agg(
+        F.collect_list(F.struct("target", "weights", "bias")).alias("__head"))
+    rows = attach(pooled, n).withColumn("__block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))).join(dealt, "__block")
     return rows.select(*cols(ids), "pooled", F.explode("__head").alias("h")).select(
         *cols(ids), "h.target", linear_probability(F.col("pooled"), F.col("h.weights"), F.col("h.bias")).alias("p"))

@@ -12,26 +12,30 @@ the work is n * log(n) ** (d - 1) rows, exact, and no group is ever squared.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators.auc import histogram_auc
-from tallyfold.scale import col, cols, pin, prefix_sums
+from tallyfold.scale import col, cols, join_on, pin, prefix_sums
 
 WRONG, RIGHT = "wrong", "right"
 
 
-def dense_codes(wide: DataFrame, keys: Sequence[str], scorers: Sequence[str], *, strategy: str = "auto") -> DataFrame:
-    """Add for every score its dense position among the distinct scores of the key, and how many there are."""
+def dense_codes(wide: DataFrame, keys: Sequence[str], scorers: Sequence[str]) -> DataFrame:
+    """Add for every score its dense position among the distinct scores of the key, and how many there are.
+
+    A missing score is a value of its own and stands first.
+    """
     keys = list(keys)
     out = wide
     for s in scorers:
         values = wide.groupBy(*cols(keys), col(s)).agg(F.lit(1).cast("long").alias("__one"))
-        codes = prefix_sums(values, keys, [col(s)], ["__one"], strategy=strategy).select(
-            *cols(keys), col(s), F.col("__one_before").alias(f"__code_{s}"))
-        top = values.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias(f"__top_{s}"))
-        out = out.join(codes, [*keys, s]).join(top, keys)
+        codes = prefix_sums(values, keys, [col(s)], ["__one"], totals=True).select(
+            *cols(keys), col(s), F.col("__one_before").alias(f"__code_{s}"), F.col("__one_total").alias(f"__top_{s}"))
+        out = join_on(out, codes, [*keys, s])
     return out
 
 
@@ -49,19 +53,19 @@ def _split_bits(code: str, width: str, positive: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), col(width) - 1), lambda b: F.getbit(col(code), b) == want)
 
 
-def count_pairs(coded: DataFrame, keys: Sequence[str], questions: dict[str, dict[str, str]], *,
-                strategy: str = "auto") -> DataFrame:
+def count_pairs(coded: DataFrame, keys: Sequence[str], questions: dict[str, dict[str, str]]) -> DataFrame:
     """(keys, question, pairs): positive-negative pairs where every scorer named by the question has its verdict.
 
     ``wrong`` means the positive does not score higher, ``right`` that it does. Questions of
-    one call name equally many scorers and are counted together in one pass.
+    one call name equally many scorers and are counted together in one pass. A case enters a
+    question when it has a score of every scorer named there.
     """
     keys = list(keys)
     n_dims = {len(q) for q in questions.values()}
     if len(n_dims) != 1:
         raise ValueError("questions of one call must name equally many scorers")
     d = n_dims.pop()
-    positive = F.col("y") == 1
+    positive, zero = F.col("y") == 1, F.lit(0).cast("long")
     asked = []
     for name, verdicts in questions.items():
         fields = [F.lit(name).alias("question")]
@@ -69,9 +73,12 @@ def count_pairs(coded: DataFrame, keys: Sequence[str], questions: dict[str, dict
             a, b = _sides(s, verdict)
             fields += [F.when(positive, a).otherwise(b).alias(f"__d{i}"),
                        F.ceil(F.log2(col(f"__top_{s}") * 2 + 2)).cast("int").alias(f"__w{i}")]
-        asked.append(F.struct(*fields))
-    rows = coded.where(col("y").isin(0.0, 1.0)).select(*cols(keys), "y", F.explode(F.array(*asked)).alias("q")).select(
+        known = reduce(and_, [col(s).isNotNull() for s in verdicts])
+        asked.append(F.when(known, F.struct(*fields)))
+    rows = coded.where(col("y").isin(0.0, 1.0)).select(*cols(keys), "y", F.explode(F.array_compact(F.array(*asked))).alias("q")).select(
         *cols(keys), "y", "q.*")
+    # cases alike in every code are one row before any row is repeated per bit
+    rows = rows.groupBy(*cols(rows.columns)).agg(F.count(F.lit(1)).alias("__cases"))
     nodes = [*keys, "question"]
     for i in range(d - 1):
         level = f"__d{i}_bit"
@@ -82,33 +89,33 @@ def count_pairs(coded: DataFrame, keys: Sequence[str], questions: dict[str, dict
     # negative is put above, so an equality counts nothing
     score = -col(f"__d{d - 1}") * 2 + F.when(positive, 0).otherwise(1)
     hist = rows.groupBy(*cols(nodes), score.alias("score")).agg(
-        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"), F.count(F.lit(1)).alias("n"))
-    wins = histogram_auc(hist, nodes, strategy=strategy, expansion=len(questions) * 24.0 ** (d - 1))
+        F.sum(F.when(positive, F.col("__cases")).otherwise(zero)).alias("pos"),
+        F.sum(F.when(positive, zero).otherwise(F.col("__cases"))).alias("neg"), F.sum("__cases").alias("n"))
+    wins = histogram_auc(hist, nodes)
     return wins.groupBy(*cols(keys), "question").agg(F.sum("wins").cast("long").alias("pairs"))
 
 
-def component_comparison(wide: DataFrame, keys: Sequence[str], reference: str, components: Sequence[str], *,
-                         strategy: str = "auto") -> DataFrame:
+def component_comparison(wide: DataFrame, keys: Sequence[str], reference: str, components: Sequence[str]) -> DataFrame:
     """Per component: reference errors it corrects and reference-correct pairs it breaks.
 
     The row named ``*`` counts the pairs every component gets wrong.
     """
     keys = list(keys)
     rows = wide.select(*cols(keys), "y", *cols([reference, *components])).where(col("y").isin(0.0, 1.0))
-    coded = pin(dense_codes(rows, keys, [reference, *components], strategy=strategy))  # read by both counts below
+    coded = pin(dense_codes(rows, keys, [reference, *components]))  # read by both counts below
     two = {f"{kind}:{c}": {reference: ref, c: own} for c in components
            for kind, ref, own in (("corrected", WRONG, RIGHT), ("broken", RIGHT, WRONG))}
-    pairs = count_pairs(coded, keys, two, strategy=strategy)
+    pairs = count_pairs(coded, keys, two)
     kind, name = F.split_part("question", F.lit(":"), F.lit(1)), F.split_part("question", F.lit(":"), F.lit(2))
     each = pairs.groupBy(*cols(keys), name.alias("component")).agg(
         F.coalesce(F.sum(F.when(kind == "corrected", F.col("pairs"))), F.lit(0)).alias("corrected"),
         F.coalesce(F.sum(F.when(kind == "broken", F.col("pairs"))), F.lit(0)).alias("broken"))
-    every = count_pairs(coded, keys, {"*": {c: WRONG for c in components}}, strategy=strategy)
+    every = count_pairs(coded, keys, {"*": {c: WRONG for c in components}})
     grid = coded.select(*cols(keys)).distinct().withColumn(
         "component", F.explode(F.array(*[F.lit(c) for c in [*components, "*"]])))
     zero = F.lit(0).cast("long")
-    out = grid.join(each, [*keys, "component"], "left").join(
-        every.select(*cols(keys), F.col("question").alias("component"), F.col("pairs").alias("all_wrong")), [*keys, "component"], "left")
+    all_wrong = every.select(*cols(keys), F.col("question").alias("component"), F.col("pairs").alias("all_wrong"))
+    out = join_on(join_on(grid, each, [*keys, "component"], "left"), all_wrong, [*keys, "component"], "left")
     star = col("component") == "*"
     return out.select(
         *cols(keys), "component", F.when(~star, F.coalesce("corrected", zero)).alias("corrected"),

@@ -78,10 +78,10 @@ def first_decisive(chunks: DataFrame, ids: Sequence[str] = ("uid",)) -> DataFram
 
 
 def failure_breaker(attempts: DataFrame, run: Sequence[str], order: str, rejected: str, *, minimum: int = 10,
-                    limit: float = 0.2, strategy: str = "auto") -> DataFrame:
+                    limit: float = 0.2) -> DataFrame:
     """First attempt of each run at which enough attempts were made and too many were rejected."""
     rows = attempts.withColumn("__a", F.lit(1).cast("long")).withColumn("__r", col(rejected).cast("int").cast("long"))
-    run_sums = prefix_sums(rows, run, [col(order)], ["__a", "__r"], strategy=strategy)
+    run_sums = prefix_sums(rows, run, [col(order)], ["__a", "__r"])
     seen, bad = F.col("__a_before") + 1, F.col("__r_before") + F.col("__r")
     hit = (seen >= minimum) & (bad / seen > limit)
     return run_sums.where(hit).groupBy(*cols(run)).agg(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import sha256_text, uniform32
+from tallyfold.functions.hashing import sha256_text, uniform60
 from tallyfold.functions.predicates import strip
 from tallyfold.operators.extraction import first_rows
 from tallyfold.scale import attach, col, cols, ordinal_rank
@@ -42,7 +42,7 @@ def leakage_groups(df: DataFrame, uid: str, text: str) -> DataFrame:
         "uid", F.when(F.col("__n").isNotNull(), F.col("__key")).otherwise(F.col("uid")).alias("group_id"))
 
 
-def deal_folds(units: DataFrame, n_folds: int, seed: int, *, strategy: str = "auto") -> DataFrame:
+def deal_folds(units: DataFrame, n_folds: int, seed: int) -> DataFrame:
     """(group_id, fold): whole groups dealt back and forth over the folds, gold groups first among themselves.
 
     ``units`` is (uid, group_id, is_gold). Groups are ordered by size, then by a seeded
@@ -50,18 +50,17 @@ def deal_folds(units: DataFrame, n_folds: int, seed: int, *, strategy: str = "au
     """
     groups = units.groupBy("group_id").agg(
         F.count(F.lit(1)).alias("size"), F.max(F.col("is_gold").cast("int")).alias("stratum"))
-    groups = groups.withColumn("__h", uniform32(seed, F.col("group_id")))
-    ranked = ordinal_rank(groups, ["stratum"], [F.col("size").desc(), F.col("__h"), F.col("group_id")], "__k",
-                          strategy=strategy)
+    groups = groups.withColumn("__h", uniform60(seed, F.col("group_id")))
+    ranked = ordinal_rank(groups, ["stratum"], [F.col("size").desc(), F.col("__h"), F.col("group_id")], "__k")
     i = F.col("__k") - 1
     lap, seat = F.floor(i / n_folds), F.pmod(i, F.lit(n_folds))
     return ranked.select("group_id", F.when(lap % 2 == 0, seat).otherwise(n_folds - 1 - seat).cast("int").alias("fold"))
 
 
-def split_gold(units: DataFrame, fraction: float, seed: int, *, strategy: str = "auto") -> DataFrame:
+def split_gold(units: DataFrame, fraction: float, seed: int) -> DataFrame:
     """(uid, gold_split) for gold ids: the first max(1, round(n * fraction)) by seeded hash are eval."""
-    gold = units.where(F.col("is_gold")).select("uid", uniform32(seed, F.lit("gold"), F.col("uid")).alias("__h"))
-    ranked = ordinal_rank(gold, [], [F.col("__h"), F.col("uid")], "__k", strategy=strategy)
+    gold = units.where(F.col("is_gold")).select("uid", uniform60(seed, F.lit("gold"), F.col("uid")).alias("__h"))
+    ranked = ordinal_rank(gold, [], [F.col("__h"), F.col("uid")], "__k")
     n = gold.agg(F.greatest(F.lit(1), F.rint(F.count(F.lit(1)) * F.lit(fraction))).alias("__n"))
     return attach(ranked, n).select(
         "uid", F.when(F.col("__k") <= F.col("__n"), F.lit("eval")).otherwise(F.lit("train_image_ok")).alias("gold_split"))

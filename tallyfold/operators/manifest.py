@@ -15,7 +15,7 @@ def slot_details(manifest: DataFrame) -> DataFrame:
     return manifest.select("uid", F.posexplode("series_details").alias("slot", "d")).select("uid", "slot", "d.*")
 
 
-def slot_coverage(details: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def slot_coverage(details: DataFrame) -> DataFrame:
     """Per slot: present, missing, fallback, slice totals, duplicate centers and the median spacing."""
     base = details.groupBy("slot").agg(
         F.count_if("present").alias("present"), F.count_if(~F.col("present")).alias("missing"),
@@ -23,7 +23,7 @@ def slot_coverage(details: DataFrame, *, strategy: str = "auto") -> DataFrame:
         F.coalesce(F.sum("n_decoded_slices"), F.lit(0)).alias("decoded_slices"),
         F.coalesce(F.sum("n_slices"), F.lit(0)).alias("available_slices"),
         F.coalesce(F.sum("duplicate_centers"), F.lit(0)).alias("duplicate_centers"))
-    spacing = exact_quantiles(details, ["slot"], "slice_spacing_mm_median", {"slice_spacing_mm_median": 0.5}, strategy=strategy)
+    spacing = exact_quantiles(details, ["slot"], "slice_spacing_mm_median", {"slice_spacing_mm_median": 0.5})
     return base.join(spacing, "slot", "left")
 
 
@@ -46,8 +46,7 @@ def reason_counts(rows: DataFrame, reason: str = "reason") -> DataFrame:
     return rows.groupBy(col(reason)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def admit_under_budget(requests: DataFrame, existing: DataFrame, limit: int, order: str, *,
-                       strategy: str = "auto") -> DataFrame:
+def admit_under_budget(requests: DataFrame, existing: DataFrame, limit: int, order: str) -> DataFrame:
     """Admit requests in order until one would pass the limit; later ones are not attempted.
 
     ``requests`` is (order, uid, bytes), ``existing`` (uid, bytes). A request that replaces
@@ -56,7 +55,7 @@ def admit_under_budget(requests: DataFrame, existing: DataFrame, limit: int, ord
     prior = existing.select("uid", F.col("bytes").alias("__prior"))
     rows = requests.join(prior, "uid", "left").withColumn(
         "__delta", F.col("bytes") - F.coalesce("__prior", F.lit(0)))
-    running = prefix_sums(rows, [], [col(order)], ["__delta"], strategy=strategy)
+    running = prefix_sums(rows, [], [col(order)], ["__delta"])
     running = attach(running, existing.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("__stored")))
     running = running.withColumn("projected", F.col("__stored") + F.col("__delta_before") + F.col("__delta"))
     first = running.where(F.col("projected") > limit).agg(F.min(col(order)).alias("__first"))
@@ -68,10 +67,10 @@ def admit_under_budget(requests: DataFrame, existing: DataFrame, limit: int, ord
     return out.select(col(order), "uid", "bytes", "projected", status.alias("status"))
 
 
-def size_profile(rows: DataFrame, value: str, keys: Sequence[str] = (), *, strategy: str = "auto") -> DataFrame:
+def size_profile(rows: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """mean, p50, p95 and max per key; a null key is a key, and a key without values has nulls."""
     keys = list(keys)
-    q = exact_quantiles(rows, keys, value, {"p50": 0.5, "p95": 0.95}, strategy=strategy)
+    q = exact_quantiles(rows, keys, value, {"p50": 0.5, "p95": 0.95})
     base = rows.groupBy(*cols(keys)).agg(F.avg(col(value)).alias("mean"), F.max(col(value)).alias("max"))
     return join_on(base, q, keys, "left") if keys else attach(base, q)
 

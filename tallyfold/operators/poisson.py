@@ -21,23 +21,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.functions.hashing import uniform60
 from tallyfold.operators.auc import usable
 from tallyfold.scale import col, cols
 
 CHUNK_ROWS = 2048
 # Cumulative Poisson(1) probabilities of 0..11 events
-_CDF = np.cumsum([np.exp(-1.0) / f for f in np.cumprod([1.0, *range(1, 12)])])
+CDF = np.cumsum([np.exp(-1.0) / f for f in np.cumprod([1.0, *range(1, 12)])])
 
 
 def weights(unit_hash: np.ndarray, n_boot: int) -> np.ndarray:
-    """(units, n_boot) Poisson(1) weights by inverse distribution of a mixed 64-bit hash."""
+    """(units, n_boot) Poisson(1) weights by inverse distribution of a mixed 64-bit hash; integer steps that SQL can repeat."""
     with np.errstate(over="ignore"):
         step = (np.arange(1, n_boot + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
         z = unit_hash.astype(np.int64).view(np.uint64)[:, None] + step
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         z ^= z >> np.uint64(31)
-    return np.searchsorted(_CDF, (z >> np.uint64(11)) * 2.0 ** -53, side="right").astype(np.float64)
+    return np.searchsorted(CDF, (z >> np.uint64(11)) * 2.0 ** -53, side="right").astype(np.float64)
 
 
 class _Run:
@@ -86,7 +87,7 @@ class _Run:
             yield self.start, False, self.pos, self.neg, self.wins
 
 
-def replicate_auc(scored: DataFrame, keys: Sequence[str], n_boot: int, seed: int, unit: str = "uid") -> DataFrame:
+def replicate_auc(scored: DataFrame, keys: Sequence[str], n_boot: int, seed: int, unit: Sequence[str] = ("uid",)) -> DataFrame:
     """(keys, b, n_pos, n_neg, auc): weighted AUC of every Poisson replicate.
 
     A unit has the same weight under every key, so models and targets stay paired.
@@ -94,7 +95,7 @@ def replicate_auc(scored: DataFrame, keys: Sequence[str], n_boot: int, seed: int
     keys = list(keys)
     rows = scored.where(usable() & col("y").isin(0.0, 1.0)).select(
         *cols(keys), col("p").cast("double").alias("score"), col("y").cast("double").alias("y"),
-        F.xxhash64(F.lit(seed), col(unit).cast("string")).alias("h"))
+        uniform60(seed, *[col(u).cast("string") for u in unit]).alias("h"))
     laid = rows.repartitionByRange(*cols(keys), F.col("score"), F.col("h")).sortWithinPartitions(*cols(keys), F.col("score"))
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*cols(keys)).schema.fields)
     schema = f"{key_schema}, b int, score double, border boolean, pos double, neg double, wins double"

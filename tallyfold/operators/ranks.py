@@ -4,60 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.scale import attach, choose, col, cols, join_on, ordinal_rank, prefix_sums
+from tallyfold.scale import attach, col, cols, join_on, ordinal_rank, prefix_sums
 
 
-def mid_ranks(df: DataFrame, group: Sequence[str], value: str, *, strategy: str = "auto",
-              expansion: float = 1.0) -> DataFrame:
+def mid_ranks(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Add ``rank`` (ties share their average rank), ``ties`` and ``n`` (group size)."""
     group = list(group)
-    if choose(df, strategy, expansion) == "window":
-        by_value = Window.partitionBy(*cols(group)).orderBy(col(value))
-        same = Window.partitionBy(*cols([*group, value]))
-        return df.select(
-            "*", F.count(F.lit(1)).over(same).alias("ties"),
-            F.count(F.lit(1)).over(Window.partitionBy(*cols(group))).alias("n"),
-            F.rank().over(by_value).alias("__r"),
-        ).withColumn("rank", F.col("__r") + (F.col("ties") - 1) / F.lit(2.0)).drop("__r")
     hist = df.groupBy(*cols(group), col(value)).agg(F.count(F.lit(1)).alias("ties"))
-    ranked = prefix_sums(hist, group, [col(value)], ["ties"], strategy="range")
-    sizes = hist.groupBy(*cols(group)).agg(F.sum("ties").alias("n"))
-    table = join_on(ranked, sizes, group) if group else attach(ranked, sizes)
-    table = table.select(*cols([*group, value]), "ties", "n",
+    table = prefix_sums(hist, group, [col(value)], ["ties"], totals=True)
+    table = table.select(*cols([*group, value]), "ties", F.col("ties_total").alias("n"),
                          (F.col("ties_before") + (F.col("ties") + 1) / F.lit(2.0)).alias("rank"))
     # one rank row per (group, value): a heavily tied value is a skewed row side that AQE may split
     return join_on(df, table, [*group, value])
 
 
-def normalized_ranks(df: DataFrame, group: Sequence[str], value: str, name: str = "nrank", **kw) -> DataFrame:
+def normalized_ranks(df: DataFrame, group: Sequence[str], value: str, name: str = "nrank") -> DataFrame:
     """Average rank divided by the group size, in (0, 1]."""
-    return mid_ranks(df, group, value, **kw).withColumn(name, F.col("rank") / F.col("n")).drop("rank", "ties", "n")
+    return mid_ranks(df, group, value).withColumn(name, F.col("rank") / F.col("n")).drop("rank", "ties", "n")
 
 
-def scaled_ordinal_ranks(df: DataFrame, group: Sequence[str], value: str, tiebreak: str, name: str = "srank",
-                         **kw) -> DataFrame:
+def scaled_ordinal_ranks(df: DataFrame, group: Sequence[str], value: str, tiebreak: str, name: str = "srank") -> DataFrame:
     """Ordinal rank scaled to 0..1; ties are ordered by ``tiebreak``; a lone row gets 0."""
     group = list(group)
-    ranked = ordinal_rank(df, group, [col(value), col(tiebreak)], "__k", **kw)
-    sizes = df.groupBy(*cols(group)).agg(F.count(F.lit(1)).alias("__n"))
-    joined = join_on(ranked, sizes, group) if group else attach(ranked, sizes)
+    joined = ordinal_rank(df, group, [col(value), col(tiebreak)], "__k", size="__n")
     scaled = F.coalesce(F.try_divide(F.col("__k") - 1, F.col("__n") - 1), F.lit(0.0))
     return joined.withColumn(name, scaled).drop("__k", "__n")
 
 
-def rank_mean(preds: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def rank_mean(preds: DataFrame) -> DataFrame:
     """Mean over models of the scaled ordinal rank: (model, uid, target, p) -> (uid, target, p)."""
-    ranked = scaled_ordinal_ranks(preds, ["model", "target"], "p", "uid", strategy=strategy)
+    ranked = scaled_ordinal_ranks(preds, ["model", "target"], "p", "uid")
     return ranked.groupBy("uid", "target").agg(F.avg("srank").alias("p"))
 
 
-def rank_blend(a: DataFrame, b: DataFrame, weight: float = 0.5, *, strategy: str = "auto") -> DataFrame:
+def rank_blend(a: DataFrame, b: DataFrame, weight: float = 0.5) -> DataFrame:
     """(1-weight) * rank(a) + weight * rank(b) per (uid, target)."""
-    ra = normalized_ranks(a.select("uid", "target", "p"), ["target"], "p", "ra", strategy=strategy).drop("p")
-    rb = normalized_ranks(b.select("uid", "target", "p"), ["target"], "p", "rb", strategy=strategy).drop("p")
+    ra = normalized_ranks(a.select("uid", "target", "p"), ["target"], "p", "ra").drop("p")
+    rb = normalized_ranks(b.select("uid", "target", "p"), ["target"], "p", "rb").drop("p")
     return ra.join(rb, ["uid", "target"]).select(
         "uid", "target", ((1.0 - weight) * F.col("ra") + weight * F.col("rb")).alias("p"))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import uniform32
+from tallyfold.functions.hashing import uniform60
 from tallyfold.operators.folds import trainable
 from tallyfold.scale import attach, cols, ordinal_rank
 
@@ -29,14 +29,14 @@ def new_attempts(cohort: DataFrame, done: DataFrame, limit: int, order: Sequence
 
 def hash_sample(rows: DataFrame, n: int, priority: Sequence[Column] = (), seed: int | None = None) -> DataFrame:
     """First n ids by (priority, hash of the id); a top-k, so every task forwards at most n rows."""
-    key = F.sha2(F.col("uid"), 256) if seed is None else uniform32(seed, F.col("uid"))
+    key = F.sha2(F.col("uid"), 256) if seed is None else uniform60(seed, F.col("uid"))
     return rows.orderBy(*priority, key, F.col("uid")).limit(n)
 
 
-def id_shards(rows: DataFrame, n_shards: int, *, strategy: str = "auto") -> DataFrame:
+def id_shards(rows: DataFrame, n_shards: int) -> DataFrame:
     """(uid, shard): the sorted ids dealt out one by one."""
     ids = rows.select("uid").distinct()
-    ranked = ordinal_rank(ids, [], [F.col("uid")], "__k", strategy=strategy)
+    ranked = ordinal_rank(ids, [], [F.col("uid")], "__k")
     return ranked.select("uid", F.pmod(F.col("__k") - 1, F.lit(n_shards)).cast("int").alias("shard"))
 
 

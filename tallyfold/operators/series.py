@@ -62,12 +62,12 @@ def select_slots(series: DataFrame, slots: Sequence[tuple[str, str]]) -> DataFra
     return grid.join(chosen.select("study", "slot", "series"), ["study", "slot"], "left")
 
 
-def slot_candidates(series: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def slot_candidates(series: DataFrame) -> DataFrame:
     """(study, slot, position, series, n): all candidates per slot, longest first. Slot = plane + 3 * (1 - fat)."""
     plane = F.array_position(F.array(*[F.lit(p) for p in PLANES]), F.col("plane")).cast("int") - 1
     rows = series.where(F.col("plane").isin(*PLANES) & F.col("fat").isin("0", "1")).select(
         "study", (plane + 3 * (1 - F.col("fat").cast("int"))).alias("slot"), "series", "n")
-    ranked = ordinal_rank(rows, ["study", "slot"], [F.col("n").desc(), F.col("series")], "position", strategy=strategy)
+    ranked = ordinal_rank(rows, ["study", "slot"], [F.col("n").desc(), F.col("series")], "position")
     return ranked.withColumn("position", F.col("position") - 1)
 
 
@@ -92,13 +92,13 @@ def slice_modes(headers: DataFrame) -> DataFrame:
     return base.join(coherent, list(KEY)).withColumn("mode", mode)
 
 
-def order_slices(headers: DataFrame, modes: DataFrame | None = None, *, strategy: str = "auto") -> DataFrame:
+def order_slices(headers: DataFrame, modes: DataFrame | None = None) -> DataFrame:
     """Add mode, projection and the 0-based position of every slice in its series."""
     modes = slice_modes(headers) if modes is None else modes
     rows = with_projection(headers).drop("normal").join(modes.select(*KEY, "mode"), list(KEY))
     key = F.when(F.col("mode") == "iop_ipp", F.col("proj")).when(
         F.col("mode") == "instance_number_fallback", F.col("instance").cast("double")).otherwise(F.lit(0.0))
-    ranked = ordinal_rank(rows.withColumn("__key", key), list(KEY), [F.col("__key"), F.col("path")], "position", strategy=strategy)
+    ranked = ordinal_rank(rows.withColumn("__key", key), list(KEY), [F.col("__key"), F.col("path")], "position")
     return ranked.withColumn("position", F.col("position") - 1).drop("__key")
 
 
@@ -110,7 +110,7 @@ def consecutive(ordered: DataFrame, group: Sequence[str], position: str, value:
         *cols(group), F.col("__at").alias("position"), (F.col("__v") - F.col("__u")).alias("gap"))
 
 
-def through_plane_geometry(ordered: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def through_plane_geometry(ordered: DataFrame) -> DataFrame:
     """Per series: median and largest gap and the extent; null when a projection is missing or n < 2."""
     g = list(KEY)
     ordered = pin(ordered.select(*g, "position", "proj"))  # read three times below
@@ -118,7 +118,7 @@ def through_plane_geometry(ordered: DataFrame, *, strategy: str = "auto") -> Dat
         F.count(F.lit(1)).alias("n"), F.count("proj").alias("n_proj"),
         (F.max_by("proj", "position") - F.min_by("proj", "position")).alias("extent"))
     gaps = consecutive(ordered, g, "position", "proj")
-    med = exact_quantiles(gaps, g, "gap", {"med": 0.5}, strategy=strategy)
+    med = exact_quantiles(gaps, g, "gap", {"med": 0.5})
     top = gaps.groupBy(*g).agg(F.max("gap").alias("top"))
     ok = (F.col("n") >= 2) & (F.col("n_proj") == F.col("n"))
     return base.join(med, g, "left").join(top, g, "left").select(
@@ -126,7 +126,7 @@ def through_plane_geometry(ordered: DataFrame, *, strategy: str = "auto") -> Dat
         F.when(ok, F.round("extent", 3)).alias("extent"))
 
 
-def series_qc(headers: DataFrame, planes: DataFrame, *, strategy: str = "auto") -> DataFrame:
+def series_qc(headers: DataFrame, planes: DataFrame) -> DataFrame:
     """(study, series, n, reason): first geometric failure of each series, null when it is usable.
 
     ``planes`` is (study, series, plane) from the series table.
@@ -142,7 +142,7 @@ def series_qc(headers: DataFrame, planes: DataFrame, *, strategy: str = "auto")
         F.first("r").alias("r"),
         F.bool_or(dot3(F.col("r.normal"), F.col("normal")) < 0.95).alias("incoherent"),
         F.bool_or(~near).alias("in_plane"), F.count_distinct("sop").alias("n_sop"))
-    ordered = order_slices(headers, modes, strategy=strategy).where(F.col("mode") == "iop_ipp").select(*g, "position", "proj")
+    ordered = order_slices(headers, modes).where(F.col("mode") == "iop_ipp").select(*g, "position", "proj")
     tight = consecutive(pin(ordered), g, "position", "proj").groupBy(*g).agg(
         F.bool_or(F.abs(F.col("gap")) < 1e-5).alias("tight"))
     names = F.array(*[F.lit(p) for p in PLANES])
@@ -168,14 +168,14 @@ def thinned_positions(n: Column, max_slices: int) -> Column:
 
 
 def series_plan(series: DataFrame, headers: DataFrame, slots: Sequence[tuple[str, str]], n_centers: int, *,
-                lower: float = 0.15, upper: float = 0.85, strategy: str = "auto") -> DataFrame:
+                lower: float = 0.15, upper: float = 0.85) -> DataFrame:
     """Chosen series per slot with centers, triplets, repeat counts and through-plane geometry."""
     counts = headers.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_slices"))
     sized = series.drop("n").join(counts, list(KEY), "left").withColumn("n", F.coalesce("n_slices", F.lit(0))).drop("n_slices")
     chosen = select_slots(sized, slots)
     used = headers.join(chosen.where(F.col("series").isNotNull()).select(*KEY), list(KEY), "left_semi")
     modes = slice_modes(used)
-    geo = through_plane_geometry(order_slices(used, modes, strategy=strategy), strategy=strategy)
+    geo = through_plane_geometry(order_slices(used, modes))
     centers = series_centers(F.col("n"), n_centers, lower=lower, upper=upper)
     info = modes.select(*KEY, "n", "mode").join(geo, list(KEY)).withColumn("centers", centers)
     info = info.withColumn("triplets", neighbour_triplets(F.col("centers"), F.col("n"))).withColumn(
@@ -183,12 +183,11 @@ def series_plan(series: DataFrame, headers: DataFrame, slots: Sequence[tuple[str
     return chosen.join(info, list(KEY), "left").withColumn("present", F.col("n").isNotNull())
 
 
-def series_window(slices: DataFrame, values: str = "values", low: float = 0.5, high: float = 99.5, *,
-                  strategy: str = "auto") -> DataFrame:
+def series_window(slices: DataFrame, values: str = "values", low: float = 0.5, high: float = 99.5) -> DataFrame:
     """(study, series, lo, hi): one intensity window over all pixels of a series."""
     g = list(KEY)
     flat = slices.select(*g, F.explode(values).alias("v"))
-    q = exact_quantiles(flat, g, "v", {"lo": low / 100, "hi": high / 100}, strategy=strategy)
+    q = exact_quantiles(flat, g, "v", {"lo": low / 100, "hi": high / 100})
     ends = slices.groupBy(*g).agg(F.min(F.array_min(values)).alias("mn"), F.max(F.array_max(values)).alias("mx"))
     flat_window = F.col("hi") <= F.col("lo")
     return q.join(ends, g).select(
@@ -196,7 +195,7 @@ def series_window(slices: DataFrame, values: str = "values", low: float = 0.5, h
         F.when(flat_window, F.col("mx") + F.lit(1e-6)).otherwise(F.col("hi")).alias("hi"))
 
 
-def slice_values(slices: DataFrame, intensity: str = "slice", *, strategy: str = "auto") -> DataFrame:
+def slice_values(slices: DataFrame, intensity: str = "slice") -> DataFrame:
     """Rescale, invert, scale to [0, 1] per slice or per series, and quantise to 0..255."""
     fixed = slices.withColumn("values", invert_monochrome(
         rescale(F.col("values"), F.col("slope"), F.col("intercept")), F.col("photometric")))
@@ -204,6 +203,6 @@ def slice_values(slices: DataFrame, intensity: str = "slice", *, strategy: str =
         return fixed.withColumn("q", encode_uint8(to_unit(percentile_clip(F.col("values")))))
     if intensity != "series":
         raise ValueError("intensity must be 'slice' or 'series'")
-    windows = series_window(fixed, strategy=strategy)
+    windows = series_window(fixed)
     return fixed.join(windows, list(KEY)).withColumn(
         "q", encode_uint8(with_window(F.col("values"), F.col("lo"), F.col("hi")))).drop("lo", "hi")

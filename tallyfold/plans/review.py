@@ -62,7 +62,7 @@ def review_model(preds: DataFrame, cells: DataFrame, folds: DataFrame, outer: st
 
 
 def second_fold_review(preds: DataFrame, cells: DataFrame, pairs: dict[str, tuple[str, str]], n_boot: int = 2000,
-                       seed: int = 2026, strict: bool = True) -> dict[str, DataFrame]:
+                       seed: int = 2026, strict: bool = True, method: str = "multinomial") -> dict[str, DataFrame]:
     """Pool the weak folds of several (new, old) pairs after checking that no id repeats across folds."""
     parts = []
     for fold, (new, old) in pairs.items():
@@ -77,15 +77,15 @@ def second_fold_review(preds: DataFrame, cells: DataFrame, pairs: dict[str, tupl
     if strict:
         contracts.require(overlap, "pooled folds")
     scored = score_long(pooled, cells)
-    return {"overlap": overlap, "delta": bootstrap.paired_delta(scored, "new", "old", n_boot, seed)}
+    return {"overlap": overlap, "delta": bootstrap.paired_delta(scored, "new", "old", n_boot, seed, method=method)}
 
 
 def two_fold_review(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed: int = 2026,
-                    groups: DataFrame | None = None) -> dict[str, DataFrame]:
+                    groups: DataFrame | None = None, method: str = "multinomial") -> dict[str, DataFrame]:
     """Per-fold deltas, group bootstrap inside folds and the all-folds rule: (fold, group_id, uid, target, y, model, p)."""
     per = auc.auc_delta(scored, new, old, ["fold", "target"])
     fold_delta = per.groupBy("fold").agg(F.avg("delta").alias("delta"))
-    ci = bootstrap.group_bootstrap_delta(scored, new, old, n_boot, seed, groups=groups)
+    ci = bootstrap.group_bootstrap_delta(scored, new, old, n_boot, seed, groups=groups, method=method)
     return {"per_target": per, "per_fold": fold_delta, "ci": ci, "decision": contracts.all_folds_positive(fold_delta, ci)}
 
 

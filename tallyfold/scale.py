@@ -1,26 +1,21 @@
-"""Size-aware building blocks shared by every ordered operator.
+"""Building blocks shared by every ordered operator.
 
-A plain ``Window.partitionBy(target).orderBy(score)`` puts all rows of one
-target into one task. Everything here that needs an order has two plans:
-
-``window``  one window per group, for inputs whose scans are known to be small;
-``range``   rows are range partitioned on (group, order), each slice is handled
-            on its own and the slices are stitched together by their totals, so
-            one hot group is spread over as many tasks as it needs.
-
-``auto`` picks by the bytes the plan's own scans report, times the expansion the
-caller announces (for example the number of bootstrap replicates).
+A plain ``Window.partitionBy(target).orderBy(score)`` puts all rows of one target
+into one task. Everything here that needs an order works the same way at every
+size: rows are range partitioned on (group, order), each slice is handled on its
+own and the slices are stitched together by their totals, so one hot group is
+spread over as many tasks as it needs. Nulls in a group or an order are values.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
 PART = "__part"
 
 
@@ -33,36 +28,6 @@ def cols(names: Sequence[str]) -> list[Column]:
     return [col(n) for n in names]
 
 
-def _leaf_bytes(df: DataFrame, leaf) -> int:
-    """Reported size of one plan leaf; a checkpointed leaf is measured on disk."""
-    if leaf.nodeName().startswith("LogicalRDD") or "ExistingRDD" in leaf.nodeName():
-        stored = leaf.rdd().getCheckpointFile()
-        if stored.isDefined():
-            jvm = df.sparkSession._jvm
-            path = jvm.org.apache.hadoop.fs.Path(stored.get())
-            fs = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-            return int(fs.getContentSummary(path).getLength())
-    return int(str(leaf.stats().sizeInBytes()))
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Sum of the sizes of the plan's leaves, or None when unknown."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(_leaf_bytes(df, leaves.apply(i)) for i in range(leaves.size()))
-    except Exception:  # a client without JVM access reports nothing; treat as large
-        return None
-
-
-def choose(df: DataFrame, strategy: str, expansion: float = 1.0) -> str:
-    if strategy in {"window", "range"}:
-        return strategy
-    if strategy != "auto":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    size = input_bytes(df)
-    return "window" if size is not None and size * expansion <= SMALL_INPUT_BYTES else "range"
-
-
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row aggregate to every row, as a scalar subquery."""
     packed = one_row.select(F.struct(*cols(one_row.columns)).alias("s")).scalar()
@@ -79,22 +44,29 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def checkpoint_root(spark) -> str:
-    """The shared folder named by the session; a scratch folder only in local mode."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured is None:
-        if not sc.master.startswith("local"):
+    """The folder named in spark.checkpoint.dir; one is made only in local mode, where the setting may be absent."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="tallyfold-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        folder = "file://" + tempfile.mkdtemp(prefix="tallyfold-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def fresh_path(spark, name: str) -> str:
+    """A new path in the shared folder; it is removed when the driver's JVM ends."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: both readers of the result see the same rows and slices."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows of df written as Parquet to the shared folder: every reader sees the same rows and slices."""
+    path = fresh_path(df.sparkSession, "pin")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def slices(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -108,31 +80,30 @@ def prefix_sums(
     order: Sequence[Column],
     values: Sequence[str],
     *,
-    strategy: str = "auto",
-    expansion: float = 1.0,
+    totals: bool = False,
 ) -> DataFrame:
-    """Add ``<value>_before``: the sum over the rows ordered before this one.
+    """Add ``<value>_before``: the sum over the rows ordered before this one, and on demand ``<value>_total``.
 
-    ``order`` must be unique inside a group; a null group is a group.
+    ``order`` must be unique inside a group; a null group is a group. A total is the sum of
+    the group's slice totals, so it costs no further pass over the rows.
     """
     group, order = list(group), list(order)
     before = Window.unboundedPreceding, -1
-    if choose(df, strategy, expansion) == "window":
-        w = Window.partitionBy(*cols(group)).orderBy(*order).rowsBetween(*before)
-        return df.select("*", *[F.coalesce(F.sum(col(v)).over(w), F.lit(0)).alias(f"{v}_before") for v in values])
     laid = pin(slices(df, group, order))
     keys = [*group, PART]
     local = Window.partitionBy(*cols(keys)).orderBy(*order).rowsBetween(*before)
     along = Window.partitionBy(*cols(group)).orderBy(col(PART)).rowsBetween(*before)
     offsets = laid.groupBy(*cols(keys)).agg(*[F.sum(col(v)).alias(f"__t_{v}") for v in values])
     offsets = offsets.select(
-        *cols(keys), *[F.coalesce(F.sum(col(f"__t_{v}")).over(along), F.lit(0)).alias(f"__o_{v}") for v in values]
+        *cols(keys), *[F.coalesce(F.sum(col(f"__t_{v}")).over(along), F.lit(0)).alias(f"__o_{v}") for v in values],
+        *[F.sum(col(f"__t_{v}")).over(Window.partitionBy(*cols(group))).alias(f"{v}_total") for v in values if totals]
     )
     inside = laid.select(
         "*", *[F.coalesce(F.sum(col(v)).over(local), F.lit(0)).alias(f"__l_{v}") for v in values]
     )
     return join_on(inside, offsets, keys).select(
-        *cols(df.columns), *[(col(f"__l_{v}") + col(f"__o_{v}")).alias(f"{v}_before") for v in values]
+        *cols(df.columns), *[(col(f"__l_{v}") + col(f"__o_{v}")).alias(f"{v}_before") for v in values],
+        *[col(f"{v}_total") for v in values if totals]
     )
 
 
@@ -142,16 +113,15 @@ def ordinal_rank(
     order: Sequence[Column],
     name: str = "rank",
     *,
-    strategy: str = "auto",
-    expansion: float = 1.0,
+    size: str | None = None,
 ) -> DataFrame:
-    """1-based position of every row; ``order`` must be unique inside a group."""
-    if choose(df, strategy, expansion) == "window":
-        w = Window.partitionBy(*cols(group)).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    """1-based position of every row, and in ``size`` the rows of its group; ``order`` must be unique inside a group."""
     one = f"__one_{name}"
-    out = prefix_sums(df.withColumn(one, F.lit(1).cast("long")), group, order, [one], strategy="range")
-    return out.withColumn(name, col(f"{one}_before") + 1).drop(one, f"{one}_before")
+    out = prefix_sums(df.withColumn(one, F.lit(1).cast("long")), group, order, [one], totals=size is not None)
+    out = out.withColumn(name, col(f"{one}_before") + 1)
+    if size is not None:
+        out = out.withColumn(size, col(f"{one}_total"))
+    return out.drop(one, f"{one}_before", f"{one}_total")
 
 
 def exact_quantiles(
@@ -159,8 +129,6 @@ def exact_quantiles(
     group: Sequence[str],
     value: str,
     probs: dict[str, float],
-    *,
-    strategy: str = "auto",
 ) -> DataFrame:
     """Linear-interpolation quantiles per group from the distinct-value histogram.
 
@@ -169,12 +137,10 @@ def exact_quantiles(
     """
     group = list(group)
     hist = df.where(col(value).isNotNull()).groupBy(*cols(group), col(value)).agg(F.count(F.lit(1)).alias("__c"))
-    ranked = prefix_sums(hist, group, [col(value)], ["__c"], strategy=strategy)
-    totals = hist.groupBy(*cols(group)).agg(F.sum("__c").alias("__n"))
-    joined = join_on(ranked, totals, group) if group else attach(ranked, totals)
+    joined = prefix_sums(hist, group, [col(value)], ["__c"], totals=True)
     aggs = []
     for name, q in probs.items():
-        pos = (F.col("__n") - 1) * F.lit(float(q))
+        pos = (F.col("__c_total") - 1) * F.lit(float(q))
         lo, hi = F.floor(pos), F.ceil(pos)
 
         def at(k: Column) -> Column:

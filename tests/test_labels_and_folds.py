@@ -32,7 +32,7 @@ def test_duplicate_groups_and_folds(spark):
     for r in rows:
         by_group.setdefault(r.group_id, set()).add(r.fold)
     assert len(by_group) == 4 and all(len(f) == 1 for f in by_group.values())
-    again = fold_plans.make_folds(train.repartition(3), TWELVE, seed=7, strategy="range")["folds"].collect()
+    again = fold_plans.make_folds(train.repartition(3), TWELVE, seed=7)["folds"].collect()
     assert {r.uid: (r.fold, r.gold_split) for r in rows} == {r.uid: (r.fold, r.gold_split) for r in again}
     assert contracts.group_integrity(made["folds"]).count() == 0
     counts = {r.target: (r.pos, r.neg) for r in made["gold_counts"].collect()}

@@ -1,4 +1,4 @@
-"""Ordered primitives: both strategies against brute force, with a hot group."""
+"""Ordered primitives: against brute force, with a hot group."""
 
 import random
 
@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from tallyfold.operators import auc, dominance, ranks
 from tallyfold.scale import exact_quantiles, ordinal_rank, prefix_sums
 
-STRATEGIES = ["window", "range"]
-
 
 def _scored(n=400, seed=7):
     rnd = random.Random(seed)
@@ -28,25 +26,23 @@ def _brute_auc(rows):
     return sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_auc_equals_pair_count(spark, strategy):
+def test_auc_equals_pair_count(spark):
     rows = _scored()
     df = spark.createDataFrame(rows, "uid string, target string, y double, p double")
-    got = {r.target: r.auc for r in auc.target_auc(df, strategy=strategy).collect()}
+    got = {r.target: r.auc for r in auc.target_auc(df).collect()}
     for t in "ab":
         assert got[t] == pytest.approx(_brute_auc([r for r in rows if r[1] == t]), abs=1e-12)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_tie_fixture_and_burden(spark, strategy):
+def test_tie_fixture_and_burden(spark):
     df = spark.createDataFrame(
         [("a", "t", 1.0, .5), ("b", "t", 0.0, .5), ("c", "t", 1.0, .2), ("d", "t", 0.0, .7), ("e", "t", 0.0, .1)],
         "uid string, target string, y double, p double")
-    row = auc.target_auc(df, strategy=strategy).first()
+    row = auc.target_auc(df).first()
     assert row.auc == pytest.approx(2.5 / 6) and (row.n_pos, row.n_neg, row.n) == (2, 3, 5)
-    pair = auc.pair_summary(df, strategy=strategy).first()
+    pair = auc.pair_summary(df).first()
     assert pair.n_pairs == 6 and pair.misordered == pytest.approx(3.5) and pair.identity_auc == pytest.approx(row.auc)
-    burden = {r.uid: r.burden for r in auc.case_burden(df, strategy=strategy).collect()}
+    burden = {r.uid: r.burden for r in auc.case_burden(df).collect()}
     assert burden == pytest.approx({"a": 0.5, "c": 2 / 3, "b": 0.75, "d": 1.0, "e": 0.0})
 
 
@@ -60,22 +56,20 @@ def test_undefined_auc_is_null(spark):
     assert macro.macro_auc is None and macro.n_defined == 0 and macro.n_targets == 2
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_weighted_auc(spark, strategy):
+def test_weighted_auc(spark):
     rows = [(*r, i % 4) for i, r in enumerate(_scored(120))]
     df = spark.createDataFrame(rows, "uid string, target string, y double, p double, w long")
-    got = {r.target: r.auc for r in auc.target_auc(df, weight="w", strategy=strategy).collect()}
+    got = {r.target: r.auc for r in auc.target_auc(df, weight="w").collect()}
     for t in "ab":
         repeated = [r[:4] for r in rows if r[1] == t for _ in range(r[4])]
         assert got[t] == pytest.approx(_brute_auc(repeated), abs=1e-12)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_prefix_and_rank(spark, strategy):
+def test_prefix_and_rank(spark):
     rows = _scored(300)
     df = spark.createDataFrame(rows, "uid string, target string, y double, p double").withColumn("v", F.lit(2))
-    out = prefix_sums(df, ["target"], [F.col("p"), F.col("uid")], ["v"], strategy=strategy)
-    out = ordinal_rank(out, ["target"], [F.col("p").desc(), F.col("uid")], strategy=strategy).collect()
+    out = prefix_sums(df, ["target"], [F.col("p"), F.col("uid")], ["v"])
+    out = ordinal_rank(out, ["target"], [F.col("p").desc(), F.col("uid")]).collect()
     for t in "ab":
         ordered = sorted([r for r in rows if r[1] == t], key=lambda r: (r[3], r[0]))
         want = {r[0]: 2 * i for i, r in enumerate(ordered)}
@@ -86,11 +80,10 @@ def test_prefix_and_rank(spark, strategy):
                 assert r.v_before == want[r.uid] and r["rank"] == wrank[r.uid]
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_mid_ranks(spark, strategy):
+def test_mid_ranks(spark):
     rows = _scored(200)
     df = spark.createDataFrame(rows, "uid string, target string, y double, p double")
-    got = {(r.target, r.uid): r.nrank for r in ranks.normalized_ranks(df, ["target"], "p", strategy=strategy).collect()}
+    got = {(r.target, r.uid): r.nrank for r in ranks.normalized_ranks(df, ["target"], "p").collect()}
     for t in "ab":
         vals = [r for r in rows if r[1] == t]
         for r in vals:
@@ -99,23 +92,21 @@ def test_mid_ranks(spark, strategy):
             assert got[(t, r[0])] == pytest.approx((below + (same + 1) / 2) / len(vals))
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_quantiles_match_numpy(spark, strategy):
+def test_quantiles_match_numpy(spark):
     rows = _scored(150)
     df = spark.createDataFrame(rows, "uid string, target string, y double, p double")
-    got = {r.target: r for r in exact_quantiles(df, ["target"], "p", {"q5": .05, "q50": .5, "q95": .95}, strategy=strategy).collect()}
+    got = {r.target: r for r in exact_quantiles(df, ["target"], "p", {"q5": .05, "q50": .5, "q95": .95}).collect()}
     for t in "ab":
         v = [r[3] for r in rows if r[1] == t]
         assert [got[t].q5, got[t].q50, got[t].q95] == pytest.approx(list(np.percentile(v, [5, 50, 95])))
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_component_comparison_equals_pairs(spark, strategy):
+def test_component_comparison_equals_pairs(spark):
     rnd = random.Random(3)
     rows = [(t, float(rnd.random() < .4), *[round(rnd.random(), 1) for _ in range(4)]) for t in "ab" for _ in range(40)]
     df = spark.createDataFrame(rows, "target string, y double, ref double, c1 double, c2 double, c3 double")
     got = {(r.target, r.component): r for r in dominance.component_comparison(
-        df, ["target"], "ref", ["c1", "c2", "c3"], strategy=strategy).collect()}
+        df, ["target"], "ref", ["c1", "c2", "c3"]).collect()}
     for t in "ab":
         pos = [r[2:] for r in rows if r[0] == t and r[1] == 1]
         neg = [r[2:] for r in rows if r[0] == t and r[1] == 0]
@@ -127,15 +118,31 @@ def test_component_comparison_equals_pairs(spark, strategy):
         assert got[(t, "*")].all_wrong == sum(all(p[1:]) for p in pairs)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_null_scores_and_null_groups_stay(spark, strategy):
+def test_null_scores_and_null_groups_stay(spark):
     rows = [("a", "u1", 0.5), ("a", "u2", None), ("a", "u3", 0.7), (None, "u4", 0.1), (None, "u5", 0.1), ("b", "u6", None)]
     df = spark.createDataFrame(rows, "target string, uid string, p double")
-    got = {r.uid: (r["rank"], r.ties, r.n) for r in ranks.mid_ranks(df, ["target"], "p", strategy=strategy).collect()}
+    got = {r.uid: (r["rank"], r.ties, r.n) for r in ranks.mid_ranks(df, ["target"], "p").collect()}
     assert got == {"u1": (2.0, 1, 3), "u2": (1.0, 1, 3), "u3": (3.0, 1, 3), "u4": (1.5, 2, 2), "u5": (1.5, 2, 2), "u6": (1.0, 1, 1)}
-    order = {r.uid: r["rank"] for r in ordinal_rank(df, ["target"], [F.col("p"), F.col("uid")], strategy=strategy).collect()}
+    order = {r.uid: r["rank"] for r in ordinal_rank(df, ["target"], [F.col("p"), F.col("uid")]).collect()}
     assert order == {"u2": 1, "u1": 2, "u3": 3, "u4": 1, "u5": 2, "u6": 1}
     from tallyfold.operators.manifest import size_profile
 
-    profile = {r.target: (r["mean"], r.p50, r["max"]) for r in size_profile(df, "p", ["target"], strategy=strategy).collect()}
+    profile = {r.target: (r["mean"], r.p50, r["max"]) for r in size_profile(df, "p", ["target"]).collect()}
     assert profile["b"] == (None, None, None) and profile[None] == (0.1, 0.1, 0.1) and profile["a"][1] == pytest.approx(0.6)
+
+
+def test_missing_component_score_costs_only_its_own_questions(spark):
+    rows = [("a", "t", 1.0, .2, .9, None), ("b", "t", 0.0, .5, .1, .3), ("c", "t", 1.0, .9, .05, .6), ("d", None, 1.0, .2, .9, .9), ("e", None, 0.0, .5, .1, .1)]
+    df = spark.createDataFrame(rows, "uid string, target string, y double, ref double, c1 double, c2 double")
+    got = {(r.target, r.component): r for r in dominance.component_comparison(df, ["target"], "ref", ["c1", "c2"]).collect()}
+    assert (got["t", "c1"].corrected, got["t", "c1"].broken) == (1, 1)
+    assert (got["t", "c2"].corrected, got["t", "c2"].broken) == (0, 0)
+    assert got["t", "*"].all_wrong == 0
+    assert (got[None, "c1"].corrected, got[None, "c2"].corrected) == (1, 1)
+
+
+def test_totals_need_no_second_pass(spark):
+    df = spark.createDataFrame([(g, i, 1) for g in ("a", None) for i in range(50)], "g string, i int, v int")
+    out = prefix_sums(df, ["g"], [F.col("i")], ["v"], totals=True).collect()
+    assert {(r.v_before - r.i, r.v_total) for r in out} == {(0, 50)} and len(out) == 100
+    assert prefix_sums(df.where("i < 0"), [], [F.col("i")], ["v"], totals=True).count() == 0

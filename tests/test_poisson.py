@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold.functions.hashing import uniform60
 from tallyfold.operators import bootstrap, poisson
 
 
@@ -15,7 +16,7 @@ def test_replicates_equal_weighted_pairs(spark, monkeypatch):
     rows = [(f"u{i}", t, float(rnd.random() < .4), .5 if rnd.random() < .5 else round(rnd.random(), 1)) for i in range(150) for t in "ab"]
     df = spark.createDataFrame(rows, "uid string, target string, y double, p double").repartition(4)
     got = {(r.target, r.b): r for r in poisson.replicate_auc(df, ["target"], 20, 3).collect()}
-    h = {r.uid: r.h for r in df.select("uid", F.xxhash64(F.lit(3), F.col("uid")).alias("h")).distinct().collect()}
+    h = {r.uid: r.h for r in df.select("uid", uniform60(3, F.col("uid")).alias("h")).distinct().collect()}
     w = {u: poisson.weights(np.array([v]), 20)[0] for u, v in h.items()}
     assert len(got) == 40
     for t in "ab":

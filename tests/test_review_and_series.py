@@ -18,10 +18,9 @@ def test_paired_bootstrap_extremes(spark):
     assert (r.delta, r.ci_low, r.ci_high, r.n_boot, r.n_paired) == (1.0, 1.0, 1.0, 25, 40)
 
 
-@pytest.mark.parametrize("strategy", ["window", "range"])
-def test_replicate_weights_are_multinomial(spark, strategy):
+def test_replicate_weights_are_multinomial(spark):
     units = spark.createDataFrame([(f"u{i:03d}",) for i in range(30)], "uid string")
-    idx = bootstrap.index_units(units, "uid", strategy=strategy)
+    idx = bootstrap.index_units(units, "uid")
     w = bootstrap.replicate_weights(idx, "uid", 50, 1).collect()
     total = {}
     for r in w:
@@ -98,22 +97,21 @@ def _headers(spark, rows):
 AX = [1.0, 0.0, 0.0, 0.0, 1.0, 0.0]
 
 
-@pytest.mark.parametrize("strategy", ["window", "range"])
-def test_slice_order_modes(spark, strategy):
+def test_slice_order_modes(spark):
     rows = [("s", "iop", f"f{9 - i}", AX, [0.0, 0.0, 3.0 * i], i, f"u{i}") for i in range(5)]
     rows += [("s", "inst", f"f{i}", None, None, 10 - i, f"u{i}") for i in range(4)]
     rows += [("s", "path", f"f{i}", None, None, None if i == 1 else i, f"u{i}") for i in range(3)]
-    out = series.order_slices(_headers(spark, rows), strategy=strategy)
+    out = series.order_slices(_headers(spark, rows))
     got = {}
     for r in out.orderBy("position").collect():
         got.setdefault((r.series, r.mode), []).append(r.path)
     assert got == {("iop", "iop_ipp"): ["f9", "f8", "f7", "f6", "f5"], ("inst", "instance_number_fallback"): ["f3", "f2", "f1", "f0"],
                    ("path", "path_fallback_not_sop_lex"): ["f0", "f1", "f2"]}
-    geo = {r.series: r for r in series.through_plane_geometry(out, strategy=strategy).collect()}
+    geo = {r.series: r for r in series.through_plane_geometry(out).collect()}
     assert (geo["iop"].spacing_median, geo["iop"].spacing_max, geo["iop"].extent) == (3.0, 3.0, 12.0)
     assert geo["inst"].spacing_median is None
     planes = spark.createDataFrame([("s", "iop", "Axial"), ("s", "inst", "Axial"), ("s", "path", "Axial")], "study string, series string, plane string")
-    qc = {r.series: r.reason for r in series.series_qc(_headers(spark, rows), planes, strategy=strategy).collect()}
+    qc = {r.series: r.reason for r in series.series_qc(_headers(spark, rows), planes).collect()}
     assert qc == {"iop": None, "inst": "missing_iop", "path": "missing_iop"}
 
 
@@ -154,11 +152,10 @@ def test_crop_box(spark):
                    (0, 400, 50, 450, "missing_spacing_square_fallback"), (0, 100, 0, 90, "pixel_spacing_mm")]
 
 
-@pytest.mark.parametrize("strategy", ["window", "range"])
-def test_budget_stops_at_first_overflow(spark, strategy):
+def test_budget_stops_at_first_overflow(spark):
     req = spark.createDataFrame([(1, "a", 40), (2, "b", 50), (3, "c", 30), (4, "d", 1)], "seq int, uid string, bytes long")
     have = spark.createDataFrame([("b", 45)], "uid string, bytes long")
-    got = [r.status for r in manifest.admit_under_budget(req, have, 100, "seq", strategy=strategy).orderBy("seq").collect()]
+    got = [r.status for r in manifest.admit_under_budget(req, have, 100, "seq").orderBy("seq").collect()]
     assert got == ["admitted", "admitted", "cache_budget_exceeded", "not_attempted"]
 
 
