@@ -38,7 +38,9 @@ def leakage_groups(df: DataFrame, uid: str, text: str) -> DataFrame:
     body = strip(F.coalesce(col(text), F.lit("")))
     keyed = df.select(col(uid).alias("uid"), F.when(body != "", F.sha2(body, 256)).alias("__key"))
     shared = keyed.where(F.col("__key").isNotNull()).groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    return keyed.join(shared, "__key", "left").select(
+    # an id stands in for the key of an empty text: rows without a text must not meet at one null key
+    spread = keyed.select("uid", F.coalesce("__key", F.concat(F.lit("\x00"), F.col("uid").cast("string"))).alias("__key"))
+    return spread.join(shared, "__key", "left").select(
         "uid", F.when(F.col("__n").isNotNull(), F.col("__key")).otherwise(F.col("uid")).alias("group_id"))
 
 
@@ -107,7 +109,7 @@ def _outside(outer: str, exclude: Sequence[str]) -> Column:
 def training_pool(folds: DataFrame, cells: DataFrame, outer: str, exclude: Sequence[str] = ()) -> DataFrame:
     """Trainable ids outside the held folds with at least one observed target that is not from the gold source."""
     observed = cells.where((F.col("source") != "gold") & (F.col("mask") > 0)).select("uid").distinct()
-    return trainable(folds.where(F.lit(True))).where(_outside(outer, exclude)).join(observed, "uid", "left_semi").select("uid")
+    return trainable(folds).where(_outside(outer, exclude)).join(observed, "uid", "left_semi").select("uid")
 
 
 def soft_training_pool(folds: DataFrame, soft: DataFrame, outer: str, exclude: Sequence[str] = ()) -> DataFrame:

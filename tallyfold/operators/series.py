@@ -76,52 +76,53 @@ def with_projection(headers: DataFrame) -> DataFrame:
     return headers.withColumn("normal", slice_normal(F.col("iop"))).withColumn("proj", projection(F.col("normal"), F.col("ipp")))
 
 
-def slice_modes(headers: DataFrame) -> DataFrame:
-    """Per series: slice count, first usable normal and the ordering mode its headers allow."""
-    h = with_projection(headers.select(*KEY, "path", "instance", "iop", "ipp")).drop("iop", "ipp")
-    base = h.groupBy(*KEY).agg(
+def _first_pass(headers: DataFrame) -> DataFrame:
+    """Per series: counts, the first usable normal and the geometry of the first slice."""
+    return headers.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n"), F.count("proj").alias("n_proj"), F.count("instance").alias("n_inst"),
-        F.min_by("normal", F.when(F.col("normal").isNotNull(), F.col("path"))).alias("ref"))
-    off = F.abs(dot3(F.col("ref"), F.col("normal"))) > 0.95
-    coherent = h.join(base.select(*KEY, "ref"), list(KEY)).groupBy(*KEY).agg(
-        F.coalesce(F.bool_and(off), F.lit(True)).alias("coherent"))
-    mode = (
+        F.min_by("normal", F.when(F.col("normal").isNotNull(), F.col("path"))).alias("ref"),
+        F.min_by(F.struct("normal", "iop"), "path").alias("r"))
+
+
+def _coherent() -> Column:
+    return F.coalesce(F.bool_and(F.abs(dot3(F.col("ref"), F.col("normal"))) > 0.95), F.lit(True))
+
+
+def _mode() -> Column:
+    return (
         F.when((F.col("n_proj") == F.col("n")) & F.col("coherent"), F.lit("iop_ipp"))
         .when(F.col("n_inst") == F.col("n"), F.lit("instance_number_fallback"))
         .otherwise(F.lit("path_fallback_not_sop_lex")))
-    return base.join(coherent, list(KEY)).withColumn("mode", mode)
+
+
+def slice_modes(headers: DataFrame) -> DataFrame:
+    """Per series: slice count, first usable normal and the ordering mode its headers allow."""
+    h = with_projection(headers.select(*KEY, "path", "instance", "iop", "ipp"))
+    base = _first_pass(h).drop("r")
+    coherent = h.select(*KEY, "normal").join(base.select(*KEY, "ref"), list(KEY)).groupBy(*KEY).agg(_coherent().alias("coherent"))
+    return base.join(coherent, list(KEY)).withColumn("mode", _mode())
 
 
 def order_slices(headers: DataFrame, modes: DataFrame | None = None) -> DataFrame:
-    """Add mode, projection and the 0-based position of every slice in its series."""
+    """Add mode, projection, the 0-based position of every slice in its series and the projection of the slice before."""
     modes = slice_modes(headers) if modes is None else modes
     rows = with_projection(headers).drop("normal").join(modes.select(*KEY, "mode"), list(KEY))
     key = F.when(F.col("mode") == "iop_ipp", F.col("proj")).when(
         F.col("mode") == "instance_number_fallback", F.col("instance").cast("double")).otherwise(F.lit(0.0))
-    ranked = ordinal_rank(rows.withColumn("__key", key), list(KEY), [F.col("__key"), F.col("path")], "position")
+    ranked = ordinal_rank(rows.withColumn("__key", key), list(KEY), [F.col("__key"), F.col("path")], "position", lags=["proj"])
     return ranked.withColumn("position", F.col("position") - 1).drop("__key")
 
 
-def consecutive(ordered: DataFrame, group: Sequence[str], position: str, value: str) -> DataFrame:
-    """(group, position, gap): difference to the previous row, as a join on the position instead of a lag."""
-    here = ordered.select(*cols(group), F.col(position).alias("__at"), F.col(value).alias("__v"))
-    prev = ordered.select(*cols(group), (F.col(position) + 1).alias("__at"), F.col(value).alias("__u"))
-    return here.join(prev, [*group, "__at"]).select(
-        *cols(group), F.col("__at").alias("position"), (F.col("__v") - F.col("__u")).alias("gap"))
-
-
 def through_plane_geometry(ordered: DataFrame) -> DataFrame:
     """Per series: median and largest gap and the extent; null when a projection is missing or n < 2."""
     g = list(KEY)
-    ordered = pin(ordered.select(*g, "position", "proj"))  # read three times below
+    gap = F.when(F.col("position") > 0, F.col("proj") - F.col("proj_prev"))
     base = ordered.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n"), F.count("proj").alias("n_proj"),
+        F.count(F.lit(1)).alias("n"), F.count("proj").alias("n_proj"), F.max(gap).alias("top"),
         (F.max_by("proj", "position") - F.min_by("proj", "position")).alias("extent"))
-    gaps = consecutive(ordered, g, "position", "proj")
-    med = exact_quantiles(gaps, g, "gap", {"med": 0.5})
-    top = gaps.groupBy(*g).agg(F.max("gap").alias("top"))
+    med = exact_quantiles(ordered.select(*g, gap.alias("gap")), g, "gap", {"med": 0.5})
     ok = (F.col("n") >= 2) & (F.col("n_proj") == F.col("n"))
-    return base.join(med, g, "left").join(top, g, "left").select(
+    return base.join(med, g, "left").select(
         *g, F.when(ok, F.round("med", 4)).alias("spacing_median"), F.when(ok, F.round("top", 4)).alias("spacing_max"),
         F.when(ok, F.round("extent", 3)).alias("extent"))
 
@@ -132,19 +133,18 @@ def series_qc(headers: DataFrame, planes: DataFrame) -> DataFrame:
     ``planes`` is (study, series, plane) from the series table.
     """
     g = list(KEY)
-    h = headers.withColumn("normal", slice_normal(F.col("iop")))
-    first = h.groupBy(*g).agg(F.min_by(F.struct("normal", "iop"), "path").alias("r"))
-    modes = slice_modes(headers)
+    h = with_projection(headers.select(*KEY, "path", "instance", "sop", "iop", "ipp"))
     near = F.forall(F.zip_with("iop", F.col("r.iop"), lambda a, b: F.abs(a - b) <= F.lit(0.02) + F.lit(1e-5) * F.abs(b)),
                     lambda x: F.coalesce(x, F.lit(False)))
-    checks = h.join(first, g).groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n"), F.bool_or(F.col("normal").isNull()).alias("no_iop"),
-        F.first("r").alias("r"),
+    carried = ("n", "n_proj", "n_inst", "r")
+    checks = h.join(_first_pass(h), g).groupBy(*g).agg(
+        *[F.first(c).alias(c) for c in carried], _coherent().alias("coherent"),
+        F.bool_or(F.col("normal").isNull()).alias("no_iop"),
         F.bool_or(dot3(F.col("r.normal"), F.col("normal")) < 0.95).alias("incoherent"),
         F.bool_or(~near).alias("in_plane"), F.count_distinct("sop").alias("n_sop"))
-    ordered = order_slices(headers, modes).where(F.col("mode") == "iop_ipp").select(*g, "position", "proj")
-    tight = consecutive(pin(ordered), g, "position", "proj").groupBy(*g).agg(
-        F.bool_or(F.abs(F.col("gap")) < 1e-5).alias("tight"))
+    checks = pin(checks.withColumn("mode", _mode()))  # one row per series, read by the ordering and by the verdict
+    tight = order_slices(headers, checks).where((F.col("mode") == "iop_ipp") & (F.col("position") > 0)).groupBy(*g).agg(
+        F.bool_or(F.abs(F.col("proj") - F.col("proj_prev")) < 1e-5).alias("tight"))
     names = F.array(*[F.lit(p) for p in PLANES])
     reason = (
         F.when(F.col("n") < 3, F.lit("fewer_than_three_slices"))
@@ -155,7 +155,7 @@ def series_qc(headers: DataFrame, planes: DataFrame) -> DataFrame:
         .when(F.col("n_sop") != F.col("n"), F.lit("duplicate_sop"))
         .when(F.col("mode") == "path_fallback_not_sop_lex", F.lit("missing_slice_order"))
         .when(F.coalesce("tight", F.lit(False)), F.lit("duplicate_slice_position")))
-    return (checks.join(modes.select(*g, "mode"), g).join(planes.select(*g, "plane"), g, "left").join(tight, g, "left")
+    return (checks.join(planes.select(*g, "plane"), g, "left").join(tight, g, "left")
             .select(*g, "n", reason.alias("reason")))
 
 
@@ -174,7 +174,7 @@ def series_plan(series: DataFrame, headers: DataFrame, slots: Sequence[tuple[str
     sized = series.drop("n").join(counts, list(KEY), "left").withColumn("n", F.coalesce("n_slices", F.lit(0))).drop("n_slices")
     chosen = select_slots(sized, slots)
     used = headers.join(chosen.where(F.col("series").isNotNull()).select(*KEY), list(KEY), "left_semi")
-    modes = slice_modes(used)
+    modes = pin(slice_modes(used))  # one row per series, read by the ordering and by the plan
     geo = through_plane_geometry(order_slices(used, modes))
     centers = series_centers(F.col("n"), n_centers, lower=lower, upper=upper)
     info = modes.select(*KEY, "n", "mode").join(geo, list(KEY)).withColumn("centers", centers)

@@ -81,29 +81,38 @@ def prefix_sums(
     values: Sequence[str],
     *,
     totals: bool = False,
+    lags: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<value>_before``: the sum over the rows ordered before this one, and on demand ``<value>_total``.
 
     ``order`` must be unique inside a group; a null group is a group. A total is the sum of
-    the group's slice totals, so it costs no further pass over the rows.
+    the group's slice totals, so it costs no further pass over the rows. ``<lag>_prev`` is the
+    column's value in the row before this one, for orders that are ascending.
     """
     group, order = list(group), list(order)
     before = Window.unboundedPreceding, -1
     laid = pin(slices(df, group, order))
     keys = [*group, PART]
     local = Window.partitionBy(*cols(keys)).orderBy(*order).rowsBetween(*before)
+    step = Window.partitionBy(*cols(keys)).orderBy(*order)
     along = Window.partitionBy(*cols(group)).orderBy(col(PART)).rowsBetween(*before)
-    offsets = laid.groupBy(*cols(keys)).agg(*[F.sum(col(v)).alias(f"__t_{v}") for v in values])
+    offsets = laid.groupBy(*cols(keys)).agg(
+        *[F.sum(col(v)).alias(f"__t_{v}") for v in values],
+        *[F.max_by(F.struct(col(c)), F.struct(*order)).alias(f"__e_{c}") for c in lags])
+    edge = Window.partitionBy(*cols(group)).orderBy(col(PART))
     offsets = offsets.select(
         *cols(keys), *[F.coalesce(F.sum(col(f"__t_{v}")).over(along), F.lit(0)).alias(f"__o_{v}") for v in values],
-        *[F.sum(col(f"__t_{v}")).over(Window.partitionBy(*cols(group))).alias(f"{v}_total") for v in values if totals]
+        *[F.sum(col(f"__t_{v}")).over(Window.partitionBy(*cols(group))).alias(f"{v}_total") for v in values if totals],
+        *[F.lag(f"__e_{c}").over(edge)[c].alias(f"__b_{c}") for c in lags],
     )
     inside = laid.select(
-        "*", *[F.coalesce(F.sum(col(v)).over(local), F.lit(0)).alias(f"__l_{v}") for v in values]
+        "*", *[F.coalesce(F.sum(col(v)).over(local), F.lit(0)).alias(f"__l_{v}") for v in values],
+        *[F.lag(F.struct(col(c))).over(step).alias(f"__p_{c}") for c in lags],
     )
     return join_on(inside, offsets, keys).select(
         *cols(df.columns), *[(col(f"__l_{v}") + col(f"__o_{v}")).alias(f"{v}_before") for v in values],
-        *[col(f"{v}_total") for v in values if totals]
+        *[col(f"{v}_total") for v in values if totals],
+        *[F.when(col(f"__p_{c}").isNotNull(), col(f"__p_{c}")[c]).otherwise(col(f"__b_{c}")).alias(f"{c}_prev") for c in lags],
     )
 
 
@@ -114,10 +123,14 @@ def ordinal_rank(
     name: str = "rank",
     *,
     size: str | None = None,
+    lags: Sequence[str] = (),
 ) -> DataFrame:
-    """1-based position of every row, and in ``size`` the rows of its group; ``order`` must be unique inside a group."""
+    """1-based position of every row, and in ``size`` the rows of its group; ``order`` must be unique inside a group.
+
+    ``lags`` as in ``prefix_sums``.
+    """
     one = f"__one_{name}"
-    out = prefix_sums(df.withColumn(one, F.lit(1).cast("long")), group, order, [one], totals=size is not None)
+    out = prefix_sums(df.withColumn(one, F.lit(1).cast("long")), group, order, [one], totals=size is not None, lags=lags)
     out = out.withColumn(name, col(f"{one}_before") + 1)
     if size is not None:
         out = out.withColumn(size, col(f"{one}_total"))

@@ -31,7 +31,9 @@ def submission_columns(df: DataFrame, uid: str, targets: Sequence[str]) -> DataF
 
 
 def write_submission(df: DataFrame, path: str, uid: str, targets: Sequence[str]) -> None:
-    submission_columns(df, uid, targets).write.mode("overwrite").option("header", True).csv(path)
+    """A header CSV whose files, read in name order, hold the rows in id order."""
+    rows = submission_columns(df, uid, targets)
+    rows.repartitionByRange(col(uid)).sortWithinPartitions(col(uid)).write.mode("overwrite").option("header", True).csv(path)
 
 
 def fold_summary(folds: DataFrame, n_folds: int, seed: int) -> DataFrame:

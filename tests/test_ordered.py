@@ -146,3 +146,11 @@ def test_totals_need_no_second_pass(spark):
     out = prefix_sums(df, ["g"], [F.col("i")], ["v"], totals=True).collect()
     assert {(r.v_before - r.i, r.v_total) for r in out} == {(0, 50)} and len(out) == 100
     assert prefix_sums(df.where("i < 0"), [], [F.col("i")], ["v"], totals=True).count() == 0
+
+
+def test_lag_crosses_slices_and_keeps_nulls(spark):
+    df = spark.createDataFrame([(g, i, None if i % 7 == 0 else float(i)) for g in ("a", None) for i in range(60)], "g string, i int, x double")
+    out = prefix_sums(df.repartition(5), ["g"], [F.col("i")], [], lags=["x"]).collect()
+    assert len(out) == 120
+    for r in out:
+        assert r.x_prev == (None if r.i == 0 or (r.i - 1) % 7 == 0 else float(r.i - 1))
