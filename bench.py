@@ -14,7 +14,8 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = (
-    "d7_macro_auc", "d10_split_scores", "d11_bootstrap_macro", "d12_paired_delta", "d14_component_comparison", "d15_group_bootstrap_delta",
+    "d7_macro_auc", "d10_split_scores", "d11_bootstrap_macro", "d12_paired_delta", "d12_paired_delta_poisson", "d14_component_comparison", "d15_group_bootstrap_delta",
+    "d15_group_bootstrap_delta_poisson",
     "d18_case_burden", "d20_pairwise_pearson", "d28_available_source_mean", "d34_label_quality", "d35_slot_coverage", "d5_leakage_groups",
     "c2_gold_override", "c5_training_pool", "e1_rank_mean", "e2_normalized_ranks", "e8_slot_selection", "e10_slice_order",
     "e11_through_plane_geometry", "e12_series_qc", "e21_budget_admission", "h2_table_fingerprint", "h9_recover_span", "h10_split_report",
