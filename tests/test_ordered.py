@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.operators import auc, dominance, ranks
+from tallyfold.functions.hashing import id_list_fingerprint, table_fingerprint
+from tallyfold.operators import auc, calibration, dominance, ranks
 from tallyfold.scale import exact_quantiles, ordinal_rank, prefix_sums
 
 
@@ -154,3 +155,23 @@ def test_lag_crosses_slices_and_keeps_nulls(spark):
     assert len(out) == 120
     for r in out:
         assert r.x_prev == (None if r.i == 0 or (r.i - 1) % 7 == 0 else float(r.i - 1))
+
+
+def test_fingerprints_ignore_order_and_count_repeats(spark):
+    rows = [(i % 3, f"u{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "g int, uid string")
+    one = table_fingerprint(df, ["g", "uid"]).first()
+    assert one == table_fingerprint(df.repartition(4, "uid"), ["g", "uid"]).first() and one.n_rows == 40
+    assert one.fingerprint != table_fingerprint(df.union(df.limit(1)), ["g", "uid"]).first().fingerprint
+    parts = {r.g: (r.n_ids, r.ids_sha256) for r in id_list_fingerprint(df, "uid", ["g"]).collect()}
+    assert {g: n for g, (n, _) in parts.items()} == {0: 14, 1: 13, 2: 13} and len({h for _, h in parts.values()}) == 3
+    assert table_fingerprint(df.where("g > 9"), ["g", "uid"]).first().n_rows == 0
+
+
+def test_linear_head_of_many_targets(spark):
+    pooled = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [0.0, -1.0])], "uid string, pooled array<double>")
+    head = spark.createDataFrame([(f"t{i}", [i / 50, 0.5], -0.1) for i in range(60)], "target string, weights array<double>, bias double")
+    got = {(r.uid, r.target): r.p for r in calibration.linear_scores(pooled, head, block=8).collect()}
+    assert len(got) == 120
+    assert got["a", "t7"] == pytest.approx(1 / (1 + np.exp(-(7 / 50 + 1.0 - 0.1)))) and got["b", "t59"] == pytest.approx(1 / (1 + np.exp(0.6)))
+    assert calibration.linear_scores(pooled, head.where("false")).count() == 0
