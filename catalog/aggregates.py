@@ -185,14 +185,12 @@ def d12_poisson(spark, d):
 
 
 @query("d13_pair_summary", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm1')
-SELECT a.target, count(*) AS n_pairs, sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE AS misordered,
+SELECT a.model, a.target, count(*) AS n_pairs, sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE AS misordered,
   round(1 - sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE / count(*), 9) AS identity_auc,
   count(DISTINCT a.uid) AS n_pos, count(DISTINCT b.uid) AS n_neg
-FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0 GROUP BY 1""")
+FROM scored a JOIN scored b ON a.model = b.model AND a.target = b.target AND a.y = 1 AND b.y = 0 GROUP BY 1, 2""")
 def d13(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1'")
-    return auc.pair_summary(rows).withColumn("identity_auc", r9("identity_auc"))
+    return auc.pair_summary(Tables(spark, d).scored, ["model", "target"]).withColumn("identity_auc", r9("identity_auc"))
 
 
 @query("d14_component_comparison", BASE + """
@@ -282,12 +280,13 @@ def d17(spark, d):
 
 
 @query("d18_case_burden", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm1'),
-c AS (SELECT a.target, a.uid AS pu, b.uid AS nu, CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END::DOUBLE AS e FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0)
-SELECT target, pu AS uid, 1 AS y, round(avg(e), 9) AS burden FROM c GROUP BY 1, 2 UNION ALL SELECT target, nu, 0, round(avg(e), 9) FROM c GROUP BY 1, 2""")
+, c AS (SELECT a.model, a.target, a.uid AS pu, b.uid AS nu, CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END::DOUBLE AS e
+  FROM scored a JOIN scored b ON a.model = b.model AND a.target = b.target AND a.y = 1 AND b.y = 0)
+SELECT model, target, pu AS uid, 1 AS y, round(avg(e), 9) AS burden FROM c GROUP BY 1, 2, 3
+UNION ALL SELECT model, target, nu, 0, round(avg(e), 9) FROM c GROUP BY 1, 2, 3""")
 def d18(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1'")
-    return auc.case_burden(rows).select("target", "uid", F.col("y").cast("int").alias("y"), r9("burden").alias("burden"))
+    rows = auc.case_burden(Tables(spark, d).scored, ["model", "target"])
+    return rows.select("model", "target", "uid", F.col("y").cast("int").alias("y"), r9("burden").alias("burden"))
 
 
 @query("d19_auc_delta", BASE + "," + auc_sql("model, target", "scored") + """
