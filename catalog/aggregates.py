@@ -267,16 +267,16 @@ def d16(spark, d):
     return auc.target_auc(rows, ["model", "target"], weight="w").select("model", "target", "n", "n_pos", "n_neg", r9("auc").alias("auc"))
 
 
-COMPANION_SQL = """comp AS (SELECT s.*, coalesce(c.y::INT::VARCHAR, 'none') AS companion FROM (SELECT * FROM scored WHERE model = 'm1') s LEFT JOIN
+COMPANION_SQL = """comp AS (SELECT s.*, coalesce(c.y::INT::VARCHAR, 'none') AS companion FROM scored s LEFT JOIN
   (SELECT uid, target, y FROM cells WHERE mask > 0 AND y IN (0, 1)) c ON c.uid = s.uid AND c.target = CASE s.target WHEN 'quality' THEN 'toxic' ELSE 'quality' END)"""
 
 
-@query("d17_subgroup_auc", BASE + f", {COMPANION_SQL}," + auc_sql("target, companion", "comp") + """
-SELECT target, companion, n, n_pos, n_neg, round(auc, 9) AS auc, auc IS NULL AS undefined FROM aucs""")
+@query("d17_subgroup_auc", BASE + f", {COMPANION_SQL}," + auc_sql("model, target, companion", "comp") + """
+SELECT model, target, companion, n, n_pos, n_neg, round(auc, 9) AS auc, auc IS NULL AS undefined FROM aucs""")
 def d17(spark, d):
     t = Tables(spark, d)
-    rows = auc.with_companion(t.scored.where("model = 'm1'"), t.cells, {"quality": "toxic", "toxic": "quality"})
-    return auc.subgroup_auc(rows, "companion").withColumn("auc", r9("auc"))
+    rows = auc.with_companion(t.scored, t.cells, {"quality": "toxic", "toxic": "quality"})
+    return auc.subgroup_auc(rows, "companion", ["model", "target"]).withColumn("auc", r9("auc"))
 
 
 @query("d18_case_burden", BASE + """

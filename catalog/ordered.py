@@ -258,14 +258,12 @@ def e22(spark, d):
 
 
 @query("e23_hardest_cases", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm1'),
-c AS (SELECT a.target, a.uid AS pu, b.uid AS nu, CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END::DOUBLE AS e FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0),
-u AS (SELECT target, pu AS uid, round(avg(e), 9) AS burden FROM c GROUP BY 1, 2 UNION ALL SELECT target, nu, round(avg(e), 9) FROM c GROUP BY 1, 2)
-SELECT * FROM u""")
+, c AS (SELECT a.model, a.target, a.uid AS pu, b.uid AS nu, CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END::DOUBLE AS e
+  FROM scored a JOIN scored b ON a.model = b.model AND a.target = b.target AND a.y = 1 AND b.y = 0)
+SELECT model, target, pu AS uid, round(avg(e), 9) AS burden FROM c GROUP BY 1, 2, 3 UNION ALL SELECT model, target, nu, round(avg(e), 9) FROM c GROUP BY 1, 2, 3""")
 def e23(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1'")
-    burden = auc.case_burden(rows).select("target", "uid", r9("burden").alias("burden"))
-    return auc.hardest_cases(burden)
+    burden = auc.case_burden(Tables(spark, d).scored, ["model", "target"])
+    return auc.hardest_cases(burden.select("model", "target", "uid", r9("burden").alias("burden")))
 
 
 @query("g1_intersection", BASE + "SELECT uid FROM (SELECT DISTINCT uid FROM sources WHERE source = 's1' INTERSECT SELECT DISTINCT uid FROM sources WHERE source = 's2')")
