@@ -417,12 +417,12 @@ def d29(spark, d):
 
 
 @query("d30_masked_bce", BASE + """
-, x AS (SELECT c.target, coalesce(c.y, 0) AS t, c.mask * c.weight AS w, 1 / (1 + exp(-((p.p - 0.5) * 8))) AS q FROM cells c JOIN preds p USING (uid, target) WHERE p.model = 'm1')
-SELECT target, round(coalesce(sum(-(t * ln(q + 1e-8) + (1 - t) * ln(1 - q + 1e-8)) * w) / nullif(sum(w), 0), 0), 9) AS loss, round(sum(w), 6) AS weight, 0::BIGINT AS sentinel_errors FROM x GROUP BY 1""")
+, x AS (SELECT p.model, c.target, coalesce(c.y, 0) AS t, c.mask * c.weight AS w, 1 / (1 + exp(-((p.p - 0.5) * 8))) AS q FROM cells c JOIN preds p USING (uid, target))
+SELECT model, target, round(coalesce(sum(-(t * ln(q + 1e-8) + (1 - t) * ln(1 - q + 1e-8)) * w) / nullif(sum(w), 0), 0), 9) AS loss, round(sum(w), 6) AS weight, 0::BIGINT AS sentinel_errors FROM x GROUP BY 1, 2""")
 def d30(spark, d):
     t = Tables(spark, d)
-    rows = t.cells.join(t.preds.where("model = 'm1'"), ["uid", "target"]).withColumn("logit", (F.col("p") - 0.5) * 8)
-    return calibration.masked_bce(rows, ["target"]).select("target", r9("loss").alias("loss"), F.round("weight", 6).alias("weight"), "sentinel_errors")
+    rows = t.cells.join(t.preds, ["uid", "target"]).withColumn("logit", (F.col("p") - 0.5) * 8)
+    return calibration.masked_bce(rows, ["model", "target"]).select("model", "target", r9("loss").alias("loss"), F.round("weight", 6).alias("weight"), "sentinel_errors")
 
 
 @query("d31_masked_mean", f"""

@@ -110,12 +110,12 @@ def c9(spark, d):
 
 
 @query("c10_pair_cost_by_case", BASE + """
-, one AS (SELECT * FROM scored WHERE model = 'm3')
-SELECT a.target, count(*) AS n_pairs, sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE AS cost FROM one a JOIN one b ON a.target = b.target AND a.y = 1 AND b.y = 0 GROUP BY 1""")
+SELECT a.model, a.target, count(*) AS n_pairs, sum(CASE WHEN a.p < b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE AS cost
+FROM scored a JOIN scored b ON a.model = b.model AND a.target = b.target AND a.y = 1 AND b.y = 0 GROUP BY 1, 2""")
 def c10(spark, d):
     """Total positive-negative misorder cost; the pair table itself is never built."""
-    out = auc.pair_summary(Tables(spark, d).scored.where("model = 'm3'"))
-    return out.select("target", "n_pairs", F.col("misordered").alias("cost"))
+    out = auc.pair_summary(Tables(spark, d).scored, ["model", "target"])
+    return out.select("model", "target", "n_pairs", F.col("misordered").alias("cost"))
 
 
 @query("c11_source_pairs", BASE + """
