@@ -13,7 +13,7 @@ gives an empty result. Columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -149,10 +149,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(named.join(smallest, "component").select("fp", "component", "component_id"), "fp")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs with one row of each component: that of the smallest doc_id (null last), then of the smallest text hash; of
+def keep_one(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
+    """The rows of docs with one row of each component of groups(docs): that of the smallest doc_id (null last), then of the smallest text hash; of
     rows that repeat it in both, one. Columns as in docs."""
-    members = saved(near_duplicates(docs).select("doc_id", "text_key", "component"), "members")
+    members = saved(groups(docs).select("doc_id", "text_key", "component"), "members")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     first = members.groupBy("component").agg(F.min(order).alias("k")).select("component", "k.doc_id", "k.text_key")
     own = [F.col("m.doc_id").eqNullSafe(F.col("f.doc_id")), F.col("m.text_key") == F.col("f.text_key"), F.col("m.component") == F.col("f.component")]
