@@ -35,8 +35,8 @@ def piece_bounds(length: int, capacity: int) -> list[int]:
     return [0, *range(first, length + 1, capacity)]
 
 
-def pieces(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and, on request, ids."""
+def pieces(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, as_bytes: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 and, on request, ids: an array, or 16-bit little-endian numbers as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, pattern)
@@ -46,14 +46,14 @@ def pieces(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = CAPACI
                 ids = np.append(encode(text or ""), np.uint16(end_id)).astype("<u4")
                 bounds = piece_bounds(len(ids), capacity)
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                    rows.append((k, a, b - a, zlib.crc32(ids[a:b].tobytes()), ids[a:b].tolist() if with_ids else None))
+                    rows.append((k, a, b - a, zlib.crc32(ids[a:b].tobytes()), (ids[a:b].astype("<u2").tobytes() if as_bytes else ids[a:b].tolist()) if with_ids else None))
                     taken.append(i)
             piece, start, length, crc, kept = zip(*rows, strict=True) if rows else [()] * 5
             columns = [batch.column("doc_id").take(pa.array(taken, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            yield pa.record_batch([*columns, pa.array(kept, pa.list_(pa.int32()))] if with_ids else columns, [*names, "ids"] if with_ids else names)
+            yield pa.record_batch([*columns, pa.array(kept, pa.binary() if as_bytes else pa.list_(pa.int32()))] if with_ids else columns, [*names, "ids"] if with_ids else names)
 
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long" + f", ids {'binary' if as_bytes else 'array<int>'}" * with_ids
     return only(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
