@@ -1,11 +1,11 @@
 """Language identification by partial matching: byte context trees with escape probabilities.
 
 Each language has a tree of contexts of up to three bytes. Counts of all training documents are taken in the tasks and added up by
-Spark; trees keep their most frequent nodes. A byte costs -log2 of its share after the longest context that knows it, plus the cost
+Spark; trees keep all nodes, and a sparse table of them (12 bytes a gram and context) goes to the workers. A byte costs -log2 of its share after the longest context that knows it, plus the cost
 of each escape on the way (method C: a context of n bytes seen with d different successors escapes with d / (n + d)). A text's code
 length under each frozen tree decides; the score is the weight 2**-length of the best language among all.
 
-Bytes outside the alphabet (the ``MAX_SYMBOLS`` most frequent bytes) share one symbol, whose cost is the same for all languages.
+The alphabet is every byte that training texts hold. Other bytes share one symbol; a context with one is that of a text's start.
 
 Null texts and texts without a letter get ``und`` with score 0. Repeated rows and repeated or null doc_ids are judged one by one (a
 null doc_id is not held out). Rows without a language don't train; with no training rows everything is ``und``. Ties go to the first
@@ -22,16 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tallyfold.llm.common import byte_texts, only
 
 LETTER = re.compile(r"[^\W\d_]")
 ORDER = 3
-#: Nodes of the deepest level of a language's tree; the most frequent stay.
-MAX_NODES = 60_000
-MIN_COUNT = 2
-MAX_SYMBOLS = 95
 #: Bytes that are handled at once.
 CHUNK = 1 << 20
 
@@ -93,77 +88,68 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Trees:
-    """Tables over an alphabet of ``a`` symbols (0: any other byte). Costs have a column for each language."""
+    """For each language and order 0 to 3: the grams by number with their costs, and the contexts with those of leaving them."""
 
     langs: list[str]
-    symbols: np.ndarray  # symbol of each byte
-    a: int
-    short: np.ndarray  # cost of a symbol after two, by the three symbols' number
-    node: np.ndarray  # number of a context of three symbols, or -1
-    escape: np.ndarray  # by node: cost of leaving it
-    row: np.ndarray  # by node and symbol: row in ``long``, or -1
-    long: np.ndarray
+    seen: np.ndarray  # by byte: whether any language has it
+    orders: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
 
 
 def grown(counts: list[tuple[str, int, int]]) -> Trees | None:
     """The trees of the given (lang, gram, n)."""
     if not counts:
         return None
-    langs = sorted({c[0] for c in counts})
-    lang = np.array([langs.index(c[0]) for c in counts])
-    code, n = np.array([c[1] for c in counts], np.int64), np.array([c[2] for c in counts], float)
-    by_byte = np.bincount(code & 255, weights=n, minlength=256)
-    top = np.argsort(-by_byte, kind="stable")[:MAX_SYMBOLS]
-    top = np.sort(top[by_byte[top] > 0])
-    symbols = np.zeros(256, np.int64)
-    symbols[top] = np.arange(1, len(top) + 1)
-    a, ell = len(top) + 1, len(langs)
-    s = [symbols[(code >> shift) & 255] for shift in (24, 16, 8, 0)]
-
-    def level(keys: np.ndarray, contexts: np.ndarray, size: int, n_contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts by key and language; counts and different successors by context and language."""
-        table = np.zeros((size, ell))
-        np.add.at(table, (keys, lang), n)
-        known = np.unique(np.stack([keys, lang]), axis=1)
-        total, kinds = np.zeros((n_contexts, ell)), np.zeros((n_contexts, ell))
-        of = np.zeros(size, np.int64)
-        of[keys] = contexts
-        np.add.at(kinds, (of[known[0]], known[1]), 1)
-        np.add.at(total, (contexts, lang), n)
-        return table, total, kinds
-
-    def costs(table: np.ndarray, total: np.ndarray, kinds: np.ndarray, of: np.ndarray, below: np.ndarray) -> np.ndarray:
-        t, k = total[of], kinds[of]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = -np.log2(table / (t + k))
-            left = np.where(t > 0, -np.log2(k / (t + k)), 0.0)
-        return np.where(table > 0, seen, left + below)
-
-    flat = np.full((a, ell), np.log2(a))
-    zero = np.zeros(len(code), np.int64)
-    cost = costs(*level(s[3], zero, a, 1), np.zeros(a, np.int64), flat)
-    for depth in (1, 2):
-        size = a ** (depth + 1)
-        context = s[2] if depth == 1 else s[1] * a + s[2]
-        every = np.arange(size)
-        cost = costs(*level(context * a + s[3], context, size, a**depth), every // a, cost[every % (a**depth)])
-    short = cost.astype(np.float32)
-    context = (s[0] * a + s[1]) * a + s[2]
-    contexts, at = np.unique(context, return_inverse=True)
-    node = np.full(a**3, -1, np.int32)
-    node[contexts] = np.arange(len(contexts))
-    keys, key_at = np.unique(at * a + s[3], return_inverse=True)
-    table, total, kinds = np.zeros((len(keys), ell)), np.zeros((len(contexts), ell)), np.zeros((len(contexts), ell))
-    np.add.at(table, (key_at, lang), n)
-    np.add.at(total, (at, lang), n)
-    np.add.at(kinds, keys // a, (table > 0).astype(float))
-    key_context = contexts[keys // a]
-    long = costs(table, total, kinds, keys // a, short[(key_context % (a * a)) * a + keys % a])
-    row = np.full(len(contexts) * a, -1, np.int32)
-    row[keys] = np.arange(len(keys))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
-    return Trees(langs, symbols, a, short, node, escape.astype(np.float32), row, long.astype(np.float32))
+    lang, code, n = zip(*counts, strict=True)
+    langs = sorted(set(lang))
+    return grown_from(langs, np.array([langs.index(x) for x in lang]), np.array(code, np.uint32), np.array(n, np.int64))
+
+
+def grown_from(langs: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray) -> Trees:
+    """The trees of all grams: lang as place in langs, code, n."""
+    seen = np.zeros(256, bool)
+    seen[np.unique(code & np.uint32(255))] = True
+    return Trees(langs, seen, [orders(code[lang == i], n[lang == i]) for i in range(len(langs))])
+
+
+def orders(code: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Grams, costs, contexts and escapes by order; each gram of four bytes holds one of every lower order, so no count is lost."""
+    out = []
+    for order in range(ORDER + 1):
+        keys, at = np.unique(code & np.uint32((1 << 8 * (order + 1)) - 1), return_inverse=True)
+        times = np.bincount(at, weights=n, minlength=len(keys))
+        contexts, of = np.unique(keys >> np.uint32(8), return_inverse=True)
+        total, kinds = np.bincount(of, weights=times), np.bincount(of)
+        out.append((keys, -np.log2(times / (total + kinds)[of]), contexts, -np.log2(kinds / (total + kinds))))
+    return out
+
+
+def place(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where keys are in a sorted table that is not empty, and whether they are there."""
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
+def gram_costs(trees: Trees, code: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each gram after the others, under each language."""
+    last = trees.seen[code & np.uint32(255)]
+    known = np.zeros(len(code), np.uint32)
+    for shift in (24, 16, 8, 0):
+        byte = (code >> np.uint32(shift)) & np.uint32(255)
+        known |= np.where(trees.seen[byte], byte, np.uint32(0)) << np.uint32(shift)
+    out = np.zeros((len(code), len(trees.langs)))
+    for i, levels in enumerate(trees.orders):
+        open_ = np.arange(len(code))
+        for order in range(ORDER, -1, -1):
+            keys, costs, contexts, escapes = levels[order]
+            gram = known[open_] & np.uint32((1 << 8 * (order + 1)) - 1)
+            at, found = place(keys, gram)
+            found &= last[open_]
+            out[open_[found], i] += costs[at[found]]
+            open_, gram = open_[~found], gram[~found]
+            at, met = place(contexts, gram >> np.uint32(8))
+            out[open_[met], i] += escapes[at[met]]
+        out[open_, i] += np.log2(trees.seen.sum() + 1)
+    return out
 
 
 def code_lengths(trees: Trees, texts: list[bytes]) -> np.ndarray:
@@ -172,34 +158,29 @@ def code_lengths(trees: Trees, texts: list[bytes]) -> np.ndarray:
     out = np.zeros((len(texts), len(trees.langs)))
     if not len(code):
         return out
-    sym, a = trees.symbols, trees.a
-    s0, s1, s2, s3 = (sym[(code >> np.uint32(shift)) & np.uint32(255)] for shift in (24, 16, 8, 0))
-    tail = (s1 * a + s2) * a + s3
-    node = trees.node[(s0 * a + s1) * a + s2]
-    row = np.where(node >= 0, trees.row[np.maximum(node, 0) * np.int64(a) + s3], -1)
-    cost = trees.long[np.maximum(row, 0)]
-    miss = np.flatnonzero(row < 0)
-    back = trees.short[tail[miss]]
-    back = back + np.where((node[miss] >= 0)[:, None], trees.escape[np.maximum(node[miss], 0)], np.float32(0))
-    cost[miss] = back
+    names, at = np.unique(code, return_inverse=True)
+    cost = gram_costs(trees, names)
     full = np.flatnonzero(sizes)
     starts = (np.cumsum(sizes) - sizes)[full]
-    out[full] = np.add.reduceat(cost, starts, axis=0, dtype=np.float64)
+    for i in range(len(trees.langs)):
+        out[full, i] = np.add.reduceat(cost[at, i], starts)
     return out
 
 
 def trained(docs: DataFrame) -> Trees | None:
-    """Trees of all rows with a language that are not held out. MAX_NODES per language reach the driver."""
-    counts = gram_counts(docs.where(F.col("lang").isNotNull() & ~held_out()))
-    ranked = counts.where(F.col("n") >= MIN_COUNT).withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram")))
-    kept = ranked.where(F.col("rank") <= MAX_NODES).select("lang", "gram", "n").toArrow()
-    rows = sorted(zip(*[kept.column(c).to_pylist() for c in ("lang", "gram", "n")], strict=True))
-    return grown(rows)
+    """Trees of all rows with a language that are not held out. Every gram counts; the different ones reach the driver as columns."""
+    found = gram_counts(docs.where(F.col("lang").isNotNull() & ~held_out())).toArrow()
+    if not found.num_rows:
+        return None
+    names = found.column("lang").combine_chunks().dictionary_encode()
+    langs = sorted(names.dictionary.to_pylist())
+    number = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.int32)
+    return grown_from(langs, number[names.indices.to_numpy()], found.column("gram").to_numpy().astype(np.uint32), found.column("n").to_numpy())
 
 
 def predicted(docs: DataFrame, trees: Trees | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score; a row per row of docs."""
-    model = docs.sparkSession.sparkContext.broadcast(vars(trees) if trees else None)  # bounded by MAX_NODES and MAX_SYMBOLS for each language
+    model = docs.sparkSession.sparkContext.broadcast(vars(trees) if trees else None)  # grows with the different grams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = Trees(**model.value) if model.value else None
