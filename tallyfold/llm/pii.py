@@ -2,13 +2,18 @@
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers found by pattern. Their values are the protected entities. The
 corpus then tells which terms disclose an entity: with N documents, df(t) documents that hold term t, df(e) that mention entity e and
-df(t, e) in which t stands within ``WINDOW`` words of a mention, the point-wise mutual information
+df(t, e) that do both, anywhere in the document, the point-wise mutual information
 
     pmi(t, e) = log2(N * df(t, e) / (df(t) * df(e)))
 
 is how many bits t tells about e, and ic(e) = log2(N / df(e)) is all there is to tell. A term is disclosing when pmi >= share * ic;
-at ``REMOVE_SHARE`` it is removed, from ``GENERALISE_SHARE`` on it is generalised to its kind. Co-occurrence has to be seen in
-``MIN_CONTEXTS`` different contexts, so copies of one document, or a word that occurs once, prove nothing. All documents count.
+at ``REMOVE_SHARE`` it is removed, from ``GENERALISE_SHARE`` on it is generalised to its kind. In every document that mentions the
+entity each occurrence outside of base spans is marked.
+
+Chance alone puts rare words beside rare entities, so co-occurrence has to be significant: with n documents of e, k of them with t,
+and a share p of all documents that hold t, chance does as much with a probability of at most 2 ** -(n * KL(k / n || p)), which must
+not exceed ``ALPHA`` over all terms times all entities. Here documents whose mention of e stands among the same ``WINDOW`` words on
+each side are copies and count once, so copies prove nothing. All documents count.
 
 Null texts are empty: no spans, and a null text stays null when it is sanitised. Repeated rows count as often as they occur and get
 the same spans; rows with the same doc_id and different texts are told apart. An empty table gives an empty result. Columns other
@@ -18,6 +23,7 @@ than doc_id and text are passed through or ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -39,9 +45,10 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 WORD = re.compile(r"\w+")
-#: Words on each side of a mention.
+#: Words on each side of a mention by which copies are known.
 WINDOW = 8
-MIN_CONTEXTS = 3
+#: Chance of any false term in the whole corpus.
+ALPHA = 0.05
 GENERALISE_SHARE = 0.8
 REMOVE_SHARE = 0.95
 
@@ -87,42 +94,43 @@ def digest(value: str) -> int:
     return xxhash.xxh64_intdigest(value) - (1 << 63)
 
 
-def contexts(text: str, spans: list[Span]) -> list[tuple[int, int, int, int, int]]:
-    """Entity, term, start, end and context hash of the words around each mention that no span covers."""
+def contexts(text: str, spans: list[Span]) -> tuple[dict[int, int], list[tuple[int, int, int]]]:
+    """For each entity the least hash of the words around its mentions; term, start and end of every word that no span covers."""
     words = [m.span() for m in WORD.finditer(text)]
     starts, ends = [a for a, _ in words], [b for _, b in words]
     covered = bytearray(len(words))
-    for _, a, b in spans:
-        for i in range(bisect_right(ends, a), bisect_left(starts, b)):
-            covered[i] = 1
-    out = []
+    mentions: dict[int, int] = {}
     for kind, a, b in spans:
-        entity = digest(f"{kind}:{NOT_DIGIT.sub('', text[a:b]) if kind in ('card', 'phone') else text[a:b].lower()}")
         left, right = bisect_right(ends, a), bisect_left(starts, b)
-        near = [(i, text[starts[i] : ends[i]].lower()) for i in (*range(max(0, left - WINDOW), left), *range(right, min(len(words), right + WINDOW)))]
-        context = digest("\0".join(w for _, w in near))
-        out += [(entity, digest(w), starts[i], ends[i], context) for i, w in near if not covered[i]]
-    return out
+        covered[left:right] = b"\1" * (right - left)
+        entity = digest(f"{kind}:{NOT_DIGIT.sub('', text[a:b]) if kind in ('card', 'phone') else text[a:b].lower()}")
+        near = (*range(max(0, left - WINDOW), left), *range(right, min(len(words), right + WINDOW)))
+        context = digest("\0".join(text[starts[i] : ends[i]].lower() for i in near))
+        mentions[entity] = min(context, mentions.get(entity, context))
+    return mentions, [(digest(text[a:b].lower()), a, b) for (a, b), c in zip(words, covered, strict=True) if not c]
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """A row per row of docs: doc_id, text_key, counts, base_sha256, base (spans as text), near (contexts of its mentions)."""
+    """A row per row of docs: doc_id, text_key, counts, base_sha256, base (spans as text), mentions and, if there are any, words."""
+    names = {"mentions": ("entity", "context"), "words": ("term", "start", "end")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term", "start", "end", "context")]))
+        types = [pa.list_(pa.struct([(n, pa.int64()) for n in x])) for x in names.values()]
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text or "")
                 counts = Counter(k for k, _, _ in spans)
                 base = joined(spans)
-                near = [dict(zip(("entity", "term", "start", "end", "context"), x, strict=True)) for x in contexts(text, spans)] if spans else []
-                rows.append((*[counts[k] for k in KINDS], hashlib.sha256(base.encode()).hexdigest(), base, near))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 7
-            arrays = [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(columns[4], pa.string()), pa.array(columns[5], pa.string()), pa.array(columns[6], near_type)]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("text_key"), *arrays], ["doc_id", "text_key", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "near"])
-
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity: long, term: long, start: long, end: long, context: long>>"
+                found, words = contexts(text, spans) if spans else ({}, [])
+                lists = [[dict(zip(n, x, strict=True)) for x in v] for n, v in zip(names.values(), (found.items(), words), strict=True)]
+                rows.append((*[counts[k] for k in KINDS], hashlib.sha256(base.encode()).hexdigest(), base, *lists))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
+            arrays = [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(c, pa.string()) for c in columns[4:6]] + [pa.array(c, t) for c, t in zip(columns[6:], types, strict=True)]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_key"), *arrays], ["doc_id", "text_key", *[f"n_{k}" for k in KINDS], "base_sha256", "base", *names])
+
+    lists = ", ".join(f"{n} array<struct<{', '.join(f'{x}: long' for x in fields)}>>" for n, fields in names.items())
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, {lists}"
     return only(docs, "doc_id", "text").withColumn("text_key", text_key(F.col("text"))).mapInArrow(run, schema)
 
 
@@ -149,28 +157,37 @@ def term_frequencies(docs: DataFrame) -> DataFrame:
     return only(docs, "text").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, min_contexts: int = MIN_CONTEXTS, share: float = GENERALISE_SHARE) -> DataFrame:
+def disclosing_terms(found: DataFrame, docs: DataFrame, alpha: float = ALPHA, share: float = GENERALISE_SHARE) -> DataFrame:
     """entity, term, ratio (pmi / ic) of the terms that disclose an entity. found: from ``scanned``."""
-    total = found.agg(F.count("*").alias("n")).withColumnRenamed("n", "total")
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.entity", "x.term", "x.context")
-    pair = ["entity", "term"]
-    often = near.select(*pair, "context").distinct().groupBy(*pair).count().where(F.col("count") >= min_contexts).select(*pair)
-    pairs = near.join(often, pair).select(*pair, "doc_id", "text_key").distinct().groupBy(*pair).agg(F.count("*").alias("both"))
-    mentions = near.select("entity", "doc_id", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
-    scored = pairs.join(mentions, "entity").join(term_frequencies(docs), "term").crossJoin(F.broadcast(total))  # total: one row
-    bits = scored.withColumn("pmi", F.log2(F.col("total") * F.col("both") / (F.col("df") * F.col("df_entity")))).withColumn("ic", F.log2(F.col("total") / F.col("df_entity")))
-    return bits.where((F.col("ic") > 0) & (F.col("pmi") >= share * F.col("ic"))).select("entity", "term", (F.col("pmi") / F.col("ic")).alias("ratio"))
+    frequencies = saved(term_frequencies(docs), "frequencies")
+    mentions = found.select(F.explode("mentions").alias("m")).groupBy("m.entity", "m.context").count()
+    entities = saved(mentions.groupBy("entity").agg(F.sum("count").alias("df_entity"), F.count("*").alias("units")), "entities")
+    total, tests = found.count(), frequencies.count() * entities.count()
+    bits = math.log2(max(tests, 1) / alpha)
+    able = entities.where(F.col("units") * F.log2(total / F.col("units")) >= bits)  # no term can be significant for the others
+    terms = F.array_distinct(F.transform("words", lambda x: x.term))
+    held = found.select(F.explode("mentions").alias("m"), terms.alias("terms")).select("m.entity", "m.context", "terms").join(able.select("entity"), "entity", "left_semi")
+    pairs = held.select("entity", "context", F.explode("terms").alias("term")).groupBy("entity", "term", "context").count()
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("count").alias("both"), F.count("*").alias("units_both"))
+    scored = pairs.join(able, "entity").join(frequencies, "term")
+    pmi, ic = F.log2(total * F.col("both") / (F.col("df") * F.col("df_entity"))), F.log2(total / F.col("df_entity"))
+    p = (F.col("df") - F.col("both") + F.col("units_both")) / (total - F.col("df_entity") + F.col("units"))
+    q = F.col("units_both") / F.col("units")
+    rest = F.when(q < 1, (1 - q) * F.log2((1 - q) / (1 - p))).otherwise(0.0)
+    scored = scored.withColumns({"pmi": pmi, "ic": ic, "chance": F.when(q > p, F.col("units") * (q * F.log2(q / p) + rest)).otherwise(0.0)})
+    return scored.where((F.col("ic") > 0) & (F.col("pmi") >= share * F.col("ic")) & (F.col("chance") >= bits)).select("entity", "term", (F.col("pmi") / F.col("ic")).alias("ratio"))
 
 
 def found_spans(docs: DataFrame, remove_share: float = REMOVE_SHARE) -> DataFrame:
     """A row per row of docs: doc_id, text_key, counts, base_sha256, base, added (array of start, end, removed)."""
     found = saved(scanned(docs), "scanned")
-    terms = disclosing_terms(found, docs)
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.entity", "x.term", "x.start", "x.end")
-    hits = near.join(terms, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max(F.col("ratio") >= remove_share).alias("removed"))
+    terms = saved(disclosing_terms(found, docs), "terms")
+    held = found.select("doc_id", "text_key", "words", F.explode("mentions.entity").alias("entity")).join(terms.select("entity").distinct(), "entity", "left_semi")
+    words = held.select("doc_id", "text_key", "entity", F.explode("words").alias("x")).select("doc_id", "text_key", "entity", "x.term", "x.start", "x.end")
+    hits = words.join(terms, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max(F.col("ratio") >= remove_share).alias("removed"))
     added = hits.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("added"))
     added = added.withColumnsRenamed({"doc_id": "added_id", "text_key": "added_key"})
-    return found.drop("near").join(added, [F.col("doc_id").eqNullSafe(F.col("added_id")), F.col("text_key") == F.col("added_key")], "left").drop("added_id", "added_key")
+    return found.drop("mentions", "words").join(added, [F.col("doc_id").eqNullSafe(F.col("added_id")), F.col("text_key") == F.col("added_key")], "left").drop("added_id", "added_key")
 
 
 def spans_text() -> F.Column:
