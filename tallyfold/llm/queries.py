@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import counts, decontamination, language, packing, pages, pii, quality, repeats, rules, simhash
+from tallyfold.llm import counts, decontamination, divergence, language, negatives, packing, pages, pieces, pii, quality, repeats, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -86,3 +87,28 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.documents_of(*counts.flat_files(table(spark, sf_dir, "documents"), TOKENIZER, public_tokenizers.PATTERN))
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_source_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents"), PIECES), PIECES)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = negatives.ORACLE
