@@ -15,6 +15,26 @@ def event_stream(spark, d) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark needs an instant
 
 
+#: Batches of the disordered stream, days of a batch, and days by which a row may come late.
+BATCHES, DAYS, LATE_DAYS = 4, 8, 2
+LATENESS = "3 days"
+
+
+def disordered_stream(spark, d) -> DataFrame:
+    """The events in several batches, in which a row may come up to LATE_DAYS days behind later ones."""
+    events = Tables(spark, d).raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    day = F.floor((F.unix_micros("ts") - F.lit(1704067200000000)) / F.lit(86400000000))
+    batch = F.least(F.lit(BATCHES - 1), F.floor((day + h("late", F.col("event_id").cast("string")) % (LATE_DAYS + 1)) / DAYS))
+    path = fresh_path(spark, "disordered")
+    for k in range(BATCHES):  # the source takes files by their time
+        events.where(batch == k).repartition(2).write.parquet(f"{path}/{k}")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
+
+
+#: Rows that the last watermark has passed.
+PASSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 3 DAY FROM events)"
+
+
 def drain(df: DataFrame, name: str) -> DataFrame:
     """Append the stream to parquet files, wait for all available input, return the files."""
     spark = df.sparkSession
@@ -72,22 +92,19 @@ def i2_missing(spark, d):
     return monitor.missing_results(jobs, t.raw("events").select(F.col("user_id").alias("job")))
 
 
-@query("i3_first_write_wins", "SELECT DISTINCT user_id, event_type FROM events")
+@query("i3_first_write_wins", f"""
+SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1 AND date_trunc('milliseconds', ts) < {PASSED}""")
 def i3(spark, d):
-    stream = event_stream(spark, d).select("user_id", "event_type", "ts")
-    return drain(monitor.first_write_wins(stream, ["user_id", "event_type"]), "first").select("user_id", "event_type")
+    stream = disordered_stream(spark, d).select("user_id", "event_type", "ts", "event_id", "value")
+    return drain(monitor.first_write_wins(stream, ["user_id", "event_type"], ["ts", "event_id"], LATENESS), "first").select("user_id", "event_type", "event_id", "value")
 
 
 @query("i3_last_write_wins", """
 SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
 def i3_last(spark, d):
-    path = fresh_path(spark, "last")
-    stream = event_stream(spark, d).select("user_id", "event_type", "ts", "event_id", "value")
-    handle = monitor.last_write_batch(f"{path}/table", ["user_id", "event_type"], ["ts", "event_id"])
-    q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    last = q.lastProgress["batchId"] if q.lastProgress else 0
-    return spark.read.parquet(f"{path}/table/version={last}").select("user_id", "event_type", "event_id", "value")
+    stream = disordered_stream(spark, d).select("user_id", "event_type", "ts", "event_id", "value")
+    changes = drain(monitor.last_writes(stream, ["user_id", "event_type"], ["ts", "event_id"]), "last")
+    return monitor.last_write_wins(changes, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value")
 
 
 THRU = """SELECT strftime(w, '%Y-%m-%d %H:%M:%S.%f') AS window_start, n, quarantined, round(n / {m}.0::DOUBLE, 2) AS per_minute FROM ({src}) WHERE w + INTERVAL {m} MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
@@ -105,23 +122,18 @@ def i4_sliding(spark, d):
     return out.select(text_time("window_start"), "n", "quarantined", "per_minute")
 
 
-@query("i5_terminal_states", """
-SELECT DISTINCT event_id // 10 AS kernel, CASE WHEN event_id // 10 % 2 = 0 THEN 'COMPLETE' ELSE 'ERROR' END AS status FROM events WHERE event_type IN ('purchase', 'error')""")
+@query("i5_terminal_states", f"""
+SELECT event_id // 10 AS kernel, CASE event_type WHEN 'purchase' THEN 'COMPLETE' ELSE 'ERROR' END AS status, event_id FROM events WHERE event_type IN ('purchase', 'error')
+QUALIFY row_number() OVER (PARTITION BY event_id // 10 ORDER BY ts, event_id) = 1 AND date_trunc('milliseconds', ts) < {PASSED.replace("FROM events", "FROM events WHERE event_type IN ('purchase', 'error')")}""")
 def i5(spark, d):
-    k = F.floor(F.col("event_id") / 10)
-    status = F.when(F.col("event_type").isin("purchase", "error"), F.when(k % 2 == 0, "COMPLETE").otherwise("ERROR")).otherwise("RUNNING")
-    stream = event_stream(spark, d).select(k.alias("kernel"), status.alias("status"), "ts")
-    return drain(monitor.terminal_states(stream, "kernel"), "terminal").select("kernel", "status")
+    status = F.when(F.col("event_type") == "purchase", "COMPLETE").when(F.col("event_type") == "error", "ERROR").otherwise("RUNNING")
+    stream = disordered_stream(spark, d).select(F.floor(F.col("event_id") / 10).alias("kernel"), status.alias("status"), "ts", "event_id")
+    return drain(monitor.terminal_states(stream, "kernel", ["ts", "event_id"], LATENESS), "terminal").select("kernel", "status", "event_id")
 
 
-@query("i6_failure_breaker", """
-WITH x AS (SELECT user_id AS run, event_id, event_type = 'error' AS rej FROM events),
-r AS (SELECT run, event_id, count(*) OVER w AS a, sum(rej::INT) OVER w AS b FROM x WINDOW w AS (PARTITION BY run ORDER BY event_id))
-SELECT run, min(event_id) AS stopped_at, arg_min(a, event_id) AS attempted, arg_min(b, event_id)::BIGINT AS rejected FROM r WHERE a >= 10 AND b::DOUBLE / a > 0.2 GROUP BY 1""")
+@query("i6_failure_breaker", f"""
+WITH r AS (SELECT user_id AS run, event_id, ts, count(*) OVER w AS a, sum((event_type = 'error')::INT) OVER w AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT run, event_id AS stopped_at, a AS attempted, b::BIGINT AS rejected FROM r WHERE a >= 10 AND b::DOUBLE / a > 0.2 QUALIFY row_number() OVER (PARTITION BY run ORDER BY a) = 1 AND date_trunc('milliseconds', ts) < {PASSED}""")
 def i6(spark, d):
-    path = fresh_path(spark, "breaker")
-    stream = event_stream(spark, d).select(F.col("user_id").alias("run"), F.col("event_id").alias("attempt"), (F.col("event_type") == "error").alias("rejected"))
-    q = stream.writeStream.foreachBatch(monitor.breaker_batch(f"{path}/state", f"{path}/out")).option(
-        "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{path}/out").select("run", "stopped_at", "attempted", "rejected")
+    stream = disordered_stream(spark, d).select(F.col("user_id").alias("run"), "ts", F.col("event_id").alias("attempt"), (F.col("event_type") == "error").alias("rejected"))
+    return drain(monitor.breaker(stream, ["run"], "ts", "attempt", lateness=LATENESS), "breaker").select("run", "stopped_at", "attempted", "rejected")

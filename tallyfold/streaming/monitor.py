@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.extraction import failure_breaker
+from tallyfold.operators.extraction import failure_breaker, latest_per_key
 from tallyfold.scale import cols
+from tallyfold.streaming.keyed import breaker, first_per_key, last_writes
 
 TERMINAL = ("COMPLETE", "ERROR")
 
@@ -54,9 +55,14 @@ def missing_results(jobs: DataFrame, results: DataFrame) -> DataFrame:
         "job", F.when(F.col("stale"), F.lit("heartbeat_stale")).otherwise(F.lit("missing_result")).alias("status"))
 
 
-def first_write_wins(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep the first row per key, for ever: Spark's state holds every key that was seen, without expiry."""
-    return rows.dropDuplicates(list(keys))
+def first_write_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str], lateness: str | None = None) -> DataFrame:
+    """The first write of each key by ``order`` (event time first), for ever; see ``first_per_key``."""
+    return first_per_key(rows, keys, order, lateness)
+
+
+def last_write_wins(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The table that a log of ``last_writes`` stands for: the newest row per key."""
+    return latest_per_key(changes, keys, order)
 
 
 def throughput(events: DataFrame, ts: str = "ts", window: str = "1 hour", slide: str | None = None,
@@ -70,63 +76,10 @@ def throughput(events: DataFrame, ts: str = "ts", window: str = "1 hour", slide:
                       "quarantined", F.round(F.col("n") / minutes, 2).alias("per_minute"))
 
 
-def terminal_states(updates: DataFrame, key: str) -> DataFrame:
-    """Each key's first terminal status, once and for ever: a later one is refused however late it comes."""
-    return updates.where(F.col("status").isin(*TERMINAL)).dropDuplicates([key])
+def terminal_states(updates: DataFrame, key: str, order: Sequence[str], lateness: str | None = None) -> DataFrame:
+    """Each key's first terminal status by ``order``, once and for ever: a later one is refused in whatever batch it comes."""
+    return first_per_key(updates.where(F.col("status").isin(*TERMINAL)), [key], order, lateness)
 
 
-def breaker_batch(state_path: str, out_path: str, run: Sequence[str] = ("run",), order: str = "attempt",
-                  rejected: str = "rejected", minimum: int = 10, limit: float = 0.2) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: trip a run at the first attempt where too many were rejected.
-
-    Attempts seen so far are kept as (run, attempted, rejected, tripped) per batch, so a
-    replayed batch reads the same predecessor and rewrites the same output. Inside a batch
-    the running counts come from prefix sums, which split a run that dominates the batch.
-    """
-    from tallyfold.scale import prefix_sums
-
-    keys = list(run)
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        flags = batch.select(*cols(keys), order, F.lit(1).cast("long").alias("a"), F.col(rejected).cast("int").cast("long").alias("r"))
-        sums = prefix_sums(flags, keys, [F.col(order)], ["a", "r"])
-        if epoch == 0:
-            prior = flags.select(*cols(keys)).distinct().select(
-                *cols(keys), F.lit(0).cast("long").alias("a0"), F.lit(0).cast("long").alias("r0"), F.lit(False).alias("tripped")).where("false")
-        else:
-            prior = spark.read.parquet(f"{state_path}/epoch={epoch - 1}")
-        rows = sums.join(prior, keys, "left")
-        seen = F.coalesce("a0", F.lit(0)) + F.col("a_before") + 1
-        bad = F.coalesce("r0", F.lit(0)) + F.col("r_before") + F.col("r")
-        hit = (seen >= minimum) & (bad / seen > limit) & ~F.coalesce("tripped", F.lit(False))
-        trips = rows.where(hit).groupBy(*cols(keys)).agg(
-            F.min(order).alias("stopped_at"), F.min_by(seen, order).alias("attempted"), F.min_by(bad, order).alias("rejected"))
-        trips.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
-        tripped = spark.read.schema(trips.schema).parquet(f"{out_path}/epoch={epoch}").select(*cols(keys), F.lit(True).alias("now"))
-        fresh = flags.groupBy(*cols(keys)).agg(F.sum("a").alias("a1"), F.sum("r").alias("r1"))
-        state = prior.join(fresh, keys, "full_outer").join(tripped, keys, "left").select(
-            *cols(keys), (F.coalesce("a0", F.lit(0)) + F.coalesce("a1", F.lit(0))).alias("a0"),
-            (F.coalesce("r0", F.lit(0)) + F.coalesce("r1", F.lit(0))).alias("r0"),
-            (F.coalesce("tripped", F.lit(False)) | F.coalesce("now", F.lit(False))).alias("tripped"))
-        state.write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
-
-    return handle
-
-
-def last_write_batch(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: keep the newest row per key over all batches, one table version per batch."""
-    from tallyfold.operators.extraction import latest_per_key
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        rows = batch
-        if epoch > 0:
-            rows = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/version={epoch - 1}"))
-        latest_per_key(rows, keys, order).select(*cols(batch.columns)).write.mode("overwrite").parquet(f"{path}/version={epoch}")
-
-    return handle
-
-
-__all__ = ["breaker_batch", "failure_breaker", "fenced_results", "first_write_wins", "heartbeat_state", "last_write_batch",
+__all__ = ["breaker", "failure_breaker", "fenced_results", "first_write_wins", "heartbeat_state", "last_write_wins", "last_writes",
            "missing_results", "stale_heartbeats", "terminal_states", "throughput"]

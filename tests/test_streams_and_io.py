@@ -1,6 +1,7 @@
 """Streams over several micro-batches, sinks and readers."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,17 +36,28 @@ def drain(df, path):
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/out").collect()
 
 
-def test_breaker_over_batches_equals_one_pass(spark, tmp_path):
-    schema = "run string, attempt long, rejected boolean"
-    rows = [("a", i, i % 3 == 0) for i in range(40)] + [("b", i, i == 5) for i in range(40)] + [("c", i, i > 20) for i in range(40)]
-    batches = [[r for r in rows if r[1] // 7 == k] for k in range(6)]
-    stream = feed(spark, tmp_path, batches, schema)
-    handle = monitor.breaker_batch(str(tmp_path / "state"), str(tmp_path / "trips"))
-    q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    got = {(r.run, r.stopped_at, r.attempted, r.rejected) for r in spark.read.parquet(str(tmp_path / "trips")).collect()}
+def test_breaker_counts_attempts_in_their_order_over_batches(spark, tmp_path):
+    schema = "run string, attempt long, rejected boolean, ts timestamp"
+    rng = random.Random(3)
+    rows = [("a", i, i % 3 == 0, at(i)) for i in range(40)] + [("b", i, i == 5, at(i)) for i in range(40)] + [("c", i, i > 20, at(i)) for i in range(40)]
+    rows += [("d", i, i in (0, 1, 3), at(10)) for i in range(12)]  # one time: the attempt decides
+    batches = [[] for _ in range(7)]
+    for r in rows:
+        batches[min(6, max(0, r[1] // 7 + rng.choice([-1, 0, 0, 1])))].append(r)
+    batches[3].append(rows[0])  # an attempt that comes twice
+    assert any(batches[k][i][1] > batches[k][i + 1][1] for k in range(6) for i in range(len(batches[k]) - 1))
+    batches.append([("z", 1000, False, at(1000))])
+    out = drain(monitor.breaker(feed(spark, tmp_path, batches, schema), ["run"], "ts", "attempt", lateness="30 seconds"), tmp_path / "o")
     whole = failure_breaker(spark.createDataFrame(rows, schema), ["run"], "attempt", "rejected").collect()
-    assert got == {(r.run, r.stopped_at, r.attempted, r.rejected) for r in whole} and {g[0] for g in got} == {"a", "c"}
+    assert sorted(tuple(r) for r in out) == sorted((r.run, r.stopped_at, r.attempted, r.rejected) for r in whole)
+    assert {r.run for r in out} == {"a", "c", "d"}
+
+
+def test_breaker_trips_once_and_keeps_its_state(spark, tmp_path):
+    schema = "run string, attempt long, rejected boolean, ts timestamp"
+    batches = [[("a", 100 * k + i, True, at(1000 * k + i)) for i in range(6)] for k in range(6)] + [[("z", 1, False, at(90_000))]]
+    out = drain(monitor.breaker(feed(spark, tmp_path, batches, schema), ["run"], "ts", "attempt", lateness="10 seconds"), tmp_path / "o")
+    assert [tuple(r) for r in out] == [("a", 103, 10, 10)]  # six attempts of the first batch, four of the second
 
 
 def test_stale_heartbeat_and_late_rows(spark, tmp_path):
@@ -71,19 +83,35 @@ def test_fenced_results(spark):
 
 
 def test_first_write_and_terminal_once(spark, tmp_path):
-    schema = "kernel string, status string, ts timestamp"
-    batches = [[("k", "RUNNING", at(0)), ("k", "COMPLETE", at(5))], [("k", "COMPLETE", at(9)), ("m", "ERROR", at(9))], [("m", "COMPLETE", at(20))]]
-    out = drain(monitor.terminal_states(feed(spark, tmp_path, batches, schema), "kernel"), tmp_path / "o")
-    assert sorted((r.kernel, r.status) for r in out) == [("k", "COMPLETE"), ("m", "ERROR")]
+    schema = "kernel string, status string, ts timestamp, id long"
+    batches = [[("k", "RUNNING", at(0), 0), ("k", "ERROR", at(50), 2), ("k", "COMPLETE", at(5), 1)], [("k", "ERROR", at(1), 3), ("m", "ERROR", at(9), 4)], [("m", "COMPLETE", at(8), 5), ("m", "ERROR", at(8), 6)],
+               [(None, "ERROR", at(3), 9), (None, "COMPLETE", at(3), 8)], [("q", "COMPLETE", at(5000), 7)]]
+    out = drain(monitor.terminal_states(feed(spark, tmp_path / "1", batches, schema), "kernel", ["ts", "id"]), tmp_path / "o1")
+    assert {(r.kernel, r.status, r.id) for r in out} == {("k", "COMPLETE", 1), ("m", "ERROR", 4), (None, "COMPLETE", 8), ("q", "COMPLETE", 7)} and len(out) == 4
+    # with lateness an earlier status of a later batch is the first; what the watermark has not passed is still open
+    out = drain(monitor.terminal_states(feed(spark, tmp_path / "2", batches, schema), "kernel", ["ts", "id"], "60 seconds"), tmp_path / "o2")
+    assert sorted((str(r.kernel), r.status, r.id) for r in out) == [("None", "COMPLETE", 8), ("k", "ERROR", 3), ("m", "COMPLETE", 5)]
 
 
 def test_last_write_wins_across_batches(spark, tmp_path):
-    schema = "k string, ts timestamp, v int"
-    stream = feed(spark, tmp_path, [[("a", at(1), 1), ("b", at(1), 2)], [("a", at(3), 3)], [("a", at(2), 9), ("b", at(2), 4)]], schema)
-    q = stream.writeStream.foreachBatch(monitor.last_write_batch(str(tmp_path / "t"), ["k"], ["ts"])).option(
-        "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "t" / "version=2")).collect()} == {("a", 3), ("b", 4)}
+    schema = "k string, ts timestamp, v int, n int"
+    stream = feed(spark, tmp_path, [[("a", at(1), 1, None), ("b", at(1), 2, 5)], [("a", at(3), 3, 7), ("c", None, 1, 1)], [("a", at(2), 9, 9), ("b", at(2), 4, None), ("c", at(0), 2, 2)]], schema)
+    changes = drain(monitor.last_writes(stream, ["k"], ["ts"]), tmp_path / "o")
+    assert len(changes) == 6  # the row that came too late is no change
+    last = monitor.last_write_wins(spark.createDataFrame(changes, schema), ["k"], ["ts"])
+    assert {(r.k, r.v, r.n) for r in last.collect()} == {("a", 3, 7), ("b", 4, None), ("c", 2, 2)}
+
+
+def test_a_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    schema = "kernel string, status string, ts timestamp, id long"
+    batches = [[("k", "ERROR", at(50), 1)], [("k", "COMPLETE", at(5), 2)], [("q", "COMPLETE", at(900), 3)]]
+    source = feed(spark, tmp_path, batches[:1], schema)
+    first = drain(monitor.terminal_states(source, "kernel", ["ts", "id"], "100 seconds"), tmp_path / "o")
+    assert first == []
+    for i, rows in enumerate(batches[1:], 1):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"b{i:02d}"))
+    again = drain(monitor.terminal_states(source, "kernel", ["ts", "id"], "100 seconds"), tmp_path / "o")
+    assert [(r.kernel, r.status, r.id) for r in again] == [("k", "COMPLETE", 2)]
 
 
 def test_sinks_and_readers(spark, tmp_path):
@@ -116,8 +144,9 @@ def test_keys_are_never_forgotten(spark, tmp_path):
     schema = "kernel string, status string, ts timestamp"
     days = [dt.datetime(2024, 1, d, 12) for d in range(1, 8)]
     batches = [[("k", "COMPLETE" if i == 0 else "ERROR", t), (f"other{i}", "RUNNING", t)] for i, t in enumerate(days)]
-    source = feed(spark, tmp_path, batches, schema)
-    done = drain(monitor.terminal_states(source, "kernel"), tmp_path / "o1")
-    assert [(r.kernel, r.status) for r in done] == [("k", "COMPLETE")]
-    first = drain(monitor.first_write_wins(source, ["kernel"]), tmp_path / "o2")
+    for lateness in (None, "1 hour"):
+        source = feed(spark, tmp_path / str(lateness), batches, schema)
+        done = drain(monitor.terminal_states(source, "kernel", ["ts"], lateness), tmp_path / f"o1{lateness}")
+        assert [(r.kernel, r.status) for r in done] == [("k", "COMPLETE")]
+    first = drain(monitor.first_write_wins(source, ["kernel"], ["ts"]), tmp_path / "o2")
     assert sorted(r.kernel for r in first) == sorted(["k", *[f"other{i}" for i in range(7)]])
