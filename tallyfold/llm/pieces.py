@@ -7,8 +7,9 @@ one that may stand beside its predecessor is taken, else its longest prefix that
 marked in a bitfield of failed positions and the last token is taken back. The tokens up to a place are its only encoding, so a
 failed place is never entered again. Whether two tokens may be neighbours is found by merging their characters anew, and remembered.
 
-Characters that are no piece become their UTF-8 bytes; they merge with nothing and part the text. No piece has a space mark inside
-or a line break anywhere (checked when a model is loaded), so stretches between them are encoded once each and remembered.
+Characters that are no piece become their UTF-8 bytes; they merge with nothing and part the text. No piece has a space mark inside,
+a line break anywhere, or a letter beside certain ASCII signs (found when a model is loaded), so the stretches between are encoded
+once each and remembered.
 
 Models that the method cannot serve (not of merge type, with rules of normalisation, pieces set by a user, unused ones, no byte
 pieces) are refused. Null texts are empty and have no ids. Texts of any length, repeated rows and repeated or null doc_ids are encoded
@@ -21,6 +22,7 @@ from __future__ import annotations
 import codecs
 import re
 import sys
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 from itertools import groupby
 
@@ -37,7 +39,7 @@ NEVER = float("inf")
 #: What the library prints for an unknown id.
 UNKNOWN_TEXT = " ⁇ "
 #: Remembered stretches and pairs of a worker; each memo starts anew beyond.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 400_000
 #: Longer stretches, in characters, are not remembered.
 MEMO_CHARS = 64
 
@@ -72,12 +74,21 @@ class Model:
         if alphabet - self.ids.keys() or any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("each character of a piece must be a piece, and space marks must come first")
         breaks = "".join(c for c in "\n\r\t" if c not in alphabet)
-        self.stretch = re.compile(f"{SPACE}*[^{SPACE}{breaks}]+|{SPACE}+" + f"|[{breaks}]+" * bool(breaks))
+        coarse = f"{SPACE}*[^{SPACE}{breaks}]+|{SPACE}+" + f"|[{breaks}]+" * bool(breaks)
+        # ASCII signs that stand beside no letter in a piece part words too, unless a text has a character that stands beside them
+        pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1) if SPACE not in p[i : i + 2]}
+        near_letters = {c for pair in pairs if any(x.isalpha() for x in pair) for c in pair}
+        signs = {c for c in alphabet if c.isascii() and not c.isalpha()} - near_letters
+        self.joining = frozenset(c for pair in pairs if signs & {*pair} for c in pair) - signs
+        shut = "".join(map(re.escape, sorted(signs)))
+        self.coarse = re.compile(coarse)
+        self.fine = re.compile(f"{SPACE}*[^{SPACE}{breaks}{shut}]+|{SPACE}*[{shut}]+|{coarse}") if signs else self.coarse
         # a token that its own characters don't merge to is never in an encoding
         self.tokens = {p: i for p, i in self.ids.items() if self.remerged(p) == [p]}
         self.longest = ahocorasick.Automaton()
         for token in self.tokens:
-            self.longest.add_word(token[::-1], token)
+            if len(token) > 1:  # a character is a token of its own anyway
+                self.longest.add_word(token[::-1], token)
         self.longest.make_automaton()
         self.shorter = {t: next((t[:k] for k in range(len(t) - 1, 0, -1) if t[:k] in self.tokens), None) for t in self.tokens}
         self.beside: dict[tuple[str, str], bool] = {}
@@ -118,7 +129,7 @@ class Model:
         n = len(text)
         # the automaton reports the longest of the tokens that end at a place first, and the last entry of a place stays
         longest = dict(reversed([*self.longest.iter(text[::-1])]))
-        failed, taken, pos, token, last = bytearray(n // 8 + 1), [], 0, longest[n - 1], None
+        failed, taken, pos, token, last = bytearray(n // 8 + 1), [], 0, longest.get(n - 1, text[0]), None
         beside, shorter = self.beside.get, self.shorter
         while pos < n:
             while token is not None:
@@ -131,7 +142,7 @@ class Model:
             if token is not None:
                 taken.append(token)
                 pos, last = end, token
-                token = longest[n - 1 - pos] if pos < n else None
+                token = longest.get(n - 1 - pos, text[pos]) if pos < n else None
             else:
                 if last is None:
                     raise AssertionError("no sequence of tokens has only neighbours that may stand together")
@@ -154,11 +165,14 @@ class Model:
                     out += [self.byte_ids[b] for b in c.encode()]
                     at = i + 1
             out += [known[t] for t in self.backtracked(text[at:])] if at < len(text) else []
-        return np.array(out, "<i4").tobytes()
+        return array("i", out).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, as 32-bit numbers."""
-        return b"".join(map(self.memo.__getitem__, self.stretch.findall(self.prefix + text.replace(" ", SPACE)))) if text else b""
+        if not text:
+            return b""
+        stretch = self.fine if self.joining.isdisjoint(text) else self.coarse
+        return b"".join(map(self.memo.__getitem__, stretch.findall(self.prefix + text.replace(" ", SPACE))))
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids; the space mark that comes before all text is not part of it."""
@@ -216,6 +230,20 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>")
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids, decoded: ``encoded`` and ``decoded`` in one pass over the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = model(path)
+        for batch in batches:
+            found = [np.frombuffer(own.encode(t or ""), "<i4") for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, "<i4")])))
+            yield pa.record_batch([batch.column("doc_id"), ids, pa.array([own.decode(x.tolist()) for x in found], pa.string())], ["doc_id", "ids", "decoded"])
+
+    return only(docs, "doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string")
+
+
 def decoded(rows: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """The rows with a column for the text of their ids (an array; null: none)."""
     rows = rows.drop(into)

@@ -99,7 +99,7 @@ ORACLES["op11_source_divergence"] = divergence.ORACLE
 
 @query
 def op12_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents"), PIECES), PIECES)
+    found = pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

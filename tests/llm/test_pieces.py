@@ -70,5 +70,6 @@ def test_tables(spark, library):
     docs = spark.createDataFrame(rows, "doc_id long, text string, decoded string, ids int").repartition(3)
     found = pieces.decoded(pieces.encoded(docs, PATH), PATH).collect()
     assert sorted((str(r.doc_id), r.ids, r.decoded) for r in found) == sorted((str(i), library.encode(t or ""), library.decode(library.encode(t or ""))) for i, t, *_ in rows)
-    assert pieces.decoded(pieces.encoded(docs.limit(0), PATH), PATH).count() == 0
+    assert sorted((str(r.doc_id), r.ids, r.decoded) for r in pieces.round_trip(docs, PATH).collect()) == sorted((str(r.doc_id), r.ids, r.decoded) for r in found)
+    assert pieces.decoded(pieces.encoded(docs.limit(0), PATH), PATH).count() == 0 == pieces.round_trip(docs.limit(0), PATH).count()
     assert pieces.decoded(spark.createDataFrame([(1, None), (2, [])], "k int, ids array<int>"), PATH).orderBy("k").collect() == [(1, None, ""), (2, [], "")]
