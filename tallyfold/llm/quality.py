@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import only
+from tallyfold.llm.common import only, unused
 
 GRADES = 3
 BUCKETS = 1 << 20
@@ -189,6 +189,9 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose top grade is likely enough. Columns as in docs."""
-    renamed = docs.withColumnsRenamed({n: f"__{n}" for n in ("expected_grade", "p_top", "accepted") if n in docs.columns})
-    out = scored(renamed, fit(sample(docs, labels))).where("accepted").drop("expected_grade", "p_top", "accepted")
-    return out.withColumnsRenamed({f"__{n}": n for n in ("expected_grade", "p_top", "accepted")})
+    names = {}
+    for n in ("expected_grade", "p_top", "accepted"):
+        if n in docs.columns:
+            names[n] = unused(docs, f"__{n}")
+    out = scored(docs.withColumnsRenamed(names), fit(sample(docs, labels))).where("accepted").drop("expected_grade", "p_top", "accepted")
+    return out.withColumnsRenamed({v: k for k, v in names.items()})

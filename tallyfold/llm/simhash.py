@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import byte_texts, only, saved, text_key, unused
+from tallyfold.llm.common import byte_texts, only, removed, saved, text_key, unused
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -122,9 +122,11 @@ def _mask(free: tuple[int, int]) -> int:
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node reachable, for every node of edges (a, b). Large-star and small-star steps in turn; each round
     is written to the shared folder. Rounds grow with the logarithm of the longest path."""
+    spark = edges.sparkSession
     edges = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     state = None
     while True:
+        before = edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -132,6 +134,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.withColumnRenamed("m", "v"))
         edges = saved(small.distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        removed(spark, sorted({f.rpartition("/")[0] for f in before.inputFiles()}))
         if now == state or now[0] == 0:
             break
         state = now

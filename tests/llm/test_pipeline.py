@@ -1,9 +1,11 @@
 """The pipeline on a small corpus with planted cases, and the queries' contracts."""
 
 import random
+import zlib
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from tallyfold.llm import queries
 from tallyfold.llm.tokens import encoder
@@ -56,16 +58,28 @@ def test_each_stage_does_its_work(spark, corpus):
 def test_run_and_contract_columns(spark, corpus):
     folder, docs = corpus
     out = corpus_pipeline.run(spark, folder)
-    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 300
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
+    rows, encode = out.collect(), encoder(queries.TOKENIZER, queries.public_tokenizers.PATTERN)
+    bins = {}
+    for r in rows:
+        assert len(r.ids) == 2 * r.length and zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()) == r.ids_crc32
+        if r.doc_id is not None and r.doc_id < 300:
+            assert (np.frombuffer(r.ids, "<u2") == np.append(encode(docs[r.doc_id]), 2)[r.start : r.start + r.length]).all()
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in bins.values():
+        ends = [0, *[a + n for a, n in sorted(places)]]
+        assert ends[:-1] == [a for a, _ in sorted(places)] and ends[-1] <= 1024
+    assert len(rows) > 300
     want = {
         "op1_benchmark_decontamination": "doc_id,item_id", "op4_pii_sanitisation": "doc_id,n_email,n_ip,n_card,n_phone,base_sha256,spans", "op5_suffix_dedup": "doc_id,n_bytes,n_removed,n_spans,kept_sha256",
         "op6_best_fit_packing": "doc_id,piece,start,length,ids_crc32,sequence_id,offset", "op7_simhash_near_dedup": "doc_id,fingerprint,component_id", "op8_language_identification": "doc_id,held_out,lang_pred,score",
         "op9_quality_rules": "doc_id,n_words,word_chars,n_symbols,n_dup_lines,n_repeat_words,base_failed,kept", "op2_ordinal_quality": "doc_id", "op10_token_counts": "doc_id",
+        "op11_source_divergence": "lang,source,part,item,value,rank", "op12_sentencepiece_round_trip": "doc_id,n_tokens,ids_sha256,decoded_sha256",
     }
     rows = spark.read.parquet(f"{folder}/documents.parquet").count()
     for name, columns in want.items():
         found = queries.QUERIES[name](spark, folder)
         assert set(columns.split(",")) <= set(found.columns)
         n = found.count()
-        assert n == rows or name in ("op1_benchmark_decontamination", "op6_best_fit_packing") and n >= 5
+        assert n == rows or name in ("op1_benchmark_decontamination", "op6_best_fit_packing", "op11_source_divergence") and n >= 5
     assert {r.doc_id for r in queries.QUERIES["op1_benchmark_decontamination"](spark, folder).collect()} == {4000 + i for i in range(5)}
