@@ -1,5 +1,7 @@
 """Aggregations and scores."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from catalog import query
@@ -115,44 +117,53 @@ def d10(spark, d):
     return review.split_scores(t.preds, t.cells)["macro"].withColumn("macro_auc", r9("macro_auc"))
 
 
-def draws_sql(universe: str, n_boot: int, strata: str = "", seed: int = SEED, unit: str = "uid") -> str:
-    """CTEs idx(strata, unit, i, n) and w(strata, b, unit, w) with the same hash draws as the library."""
+def mixed_sql(columns: str, units: str, n_boot: int) -> str:
+    """CTE z3(columns, b, u): a uniform number for each of a table's rows (hash h) and replicates, by the library's 64-bit mix."""
+    mod = "18446744073709551616::UHUGEINT"
+    return f"""
+z0 AS (SELECT {columns}, b, ((h::UHUGEINT + (b + 1)::UHUGEINT * 11400714819323198485::UHUGEINT) % {mod})::UBIGINT AS z FROM {units}, (SELECT unnest(range({n_boot})) AS b)),
+z1 AS (SELECT {columns}, b, ((xor(z, z >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % {mod})::UBIGINT AS z FROM z0),
+z2 AS (SELECT {columns}, b, ((xor(z, z >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % {mod})::UBIGINT AS z FROM z1),
+z3 AS (SELECT {columns}, b, (xor(z, z >> 31) >> 11)::DOUBLE * 1.1102230246251565e-16 AS u FROM z2)"""
+
+
+def exact_sql(universe: str, n_boot: int, strata: str = "", seed: int = SEED, unit: str = "uid") -> str:
+    """CTEs idx(strata, unit, i, n) and w(strata, b, unit, w): the library's exact multinomial weights, Poisson counts and further draws."""
     s = f"{strata}, " if strata else ""
     part = f"PARTITION BY {strata}" if strata else ""
-    tag = "|| " + strata + " || ':' " if strata else ""
-    on = f"d.{strata} = x.{strata} AND " if strata else ""
+    tag = f"|| {strata} || ':' " if strata else ""
+    on = f"f.{strata} = x.{strata} AND " if strata else ""
     pick = f"x.{strata}, " if strata else ""
+    terms = ["1", *[f"m ** {k} / {math.factorial(k)}" for k in range(1, 12)]]
+    steps = ", ".join(f"exp(-m) * ({' + '.join(terms[: k + 1])}) AS c{k}" for k in range(12))
+    count = " + ".join(f"(u >= c{k})::INT" for k in range(12))
+    cuts = ", ".join(f"c{k}" for k in range(12))
     return f"""
 idx AS (SELECT {s}{unit}, row_number() OVER ({part} ORDER BY {unit}) - 1 AS i, count(*) OVER ({part}) AS n FROM (SELECT DISTINCT {s}{unit} FROM {universe})),
-draws AS (SELECT {s}b, {sql_h(f"'{seed}:' {tag} || b || ':' || i")} % n AS i, count(*) AS w FROM idx, (SELECT unnest(range({n_boot})) AS b) GROUP BY ALL),
-w AS (SELECT {pick}x.{unit}, d.b, d.w FROM draws d JOIN idx x ON {on}d.i = x.i)"""
+means AS (SELECT {s}{unit}, n, greatest(0::DOUBLE, 1 - 7::DOUBLE / sqrt(n)) AS m, {sql_h(f"'{seed}:' {tag}|| {unit}")} AS h FROM idx),
+units AS (SELECT {s}{unit}, n, h, {steps} FROM means),{mixed_sql(f"{s}{unit}, n, {cuts}", "units", n_boot)},
+base AS (SELECT {s}{unit}, n, b, {count} AS w FROM z3),
+lacking AS (SELECT {s}b, max(n) AS n, max(n) - sum(w) AS d FROM base GROUP BY {s}b),
+fill AS (SELECT {s}b, {sql_h(f"'{seed}:' {tag}|| 'draw:' || b || ':' || k")} % n AS i, count(*) AS w FROM (SELECT *, unnest(range(d::BIGINT)) AS k FROM lacking) GROUP BY ALL),
+w AS (SELECT {s}{unit}, b, sum(w)::DOUBLE AS w FROM (SELECT {s}{unit}, b, w FROM base WHERE w > 0 UNION ALL SELECT {pick}x.{unit}, f.b, f.w FROM fill f JOIN idx x ON {on}f.i = x.i) GROUP BY ALL)"""
 
 
 def poisson_sql(universe: str, n_boot: int, unit: list[str], seed: int = SEED) -> str:
     """CTE w(unit, b, w) with the library's Poisson weights: a 64-bit mix of the unit's hash and the replicate."""
     u = ", ".join(unit)
     label = " || ':' || ".join(f"{c}::VARCHAR" for c in unit)
-    mod = "18446744073709551616::UHUGEINT"
     steps = " + ".join(f"(u >= {float(c)!r}e0::DOUBLE)::INT" for c in poisson.CDF)
     return f"""
-units AS (SELECT {u}, {sql_h(f"'{seed}:' || {label}")} AS h FROM (SELECT DISTINCT {u} FROM {universe})),
-z0 AS (SELECT {u}, b, ((h::UHUGEINT + (b + 1)::UHUGEINT * 11400714819323198485::UHUGEINT) % {mod})::UBIGINT AS z FROM units, (SELECT unnest(range({n_boot})) AS b)),
-z1 AS (SELECT {u}, b, ((xor(z, z >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % {mod})::UBIGINT AS z FROM z0),
-z2 AS (SELECT {u}, b, ((xor(z, z >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % {mod})::UBIGINT AS z FROM z1),
-z3 AS (SELECT {u}, b, (xor(z, z >> 31) >> 11)::DOUBLE * 1.1102230246251565e-16 AS u FROM z2),
+units AS (SELECT {u}, {sql_h(f"'{seed}:' || {label}")} AS h FROM (SELECT DISTINCT {u} FROM {universe})),{mixed_sql(u, "units", n_boot)},
 w AS (SELECT {u}, b, {steps} AS w FROM z3)"""
 
 
-ONE = "one AS (SELECT uid, target, y, p FROM scored WHERE model = 'm1')"
-
-
-@query("d11_bootstrap_macro", BASE + f", {ONE}," + draws_sql("one", 200, seed=7) + ", rows AS (SELECT b, target, y, p, w FROM one JOIN w USING (uid))," + auc_sql("b, target", "rows", "w") + """
-, m AS (SELECT b, avg(auc) AS m FROM aucs GROUP BY 1)
-SELECT round(avg(m), 9) AS mean, round(quantile_cont(m, 0.025), 9) AS low, round(quantile_cont(m, 0.975), 9) AS high, count(m) AS n_boot FROM m""")
+@query("d11_bootstrap_macro", BASE + "," + exact_sql("scored", 2000, seed=7) + ", rows AS (SELECT model, b, target, y, p, w FROM scored JOIN w USING (uid))," + auc_sql("model, b, target", "rows", "w") + """
+, m AS (SELECT model, b, avg(auc) AS m FROM aucs GROUP BY 1, 2)
+SELECT model, round(avg(m), 9) AS mean, round(quantile_cont(m, 0.025), 9) AS low, round(quantile_cont(m, 0.975), 9) AS high, count(m) AS n_boot FROM m GROUP BY 1""")
 def d11(spark, d):
-    rows = Tables(spark, d).scored.where("model = 'm1'")
-    out = bootstrap.bootstrap_macro(rows, 200, 7)
-    return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
+    out = bootstrap.bootstrap_macro(Tables(spark, d).scored, 2000, 7, by=["model"])
+    return out.select("model", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
 PAIRED_ROWS = """
@@ -169,9 +180,9 @@ SELECT pt.split, round(delta, 9) AS delta, round(lo, 9) AS ci_low, round(hi, 9)
 FROM pt JOIN ci USING (split)"""
 
 
-@query("d12_paired_delta", BASE + ", two AS (SELECT * FROM scored WHERE model IN ('m1', 'm2'))," + draws_sql("two", 60, "split") + PAIRED_ROWS + PAIRED_END)
+@query("d12_paired_delta", BASE + ", two AS (SELECT * FROM scored WHERE model IN ('m1', 'm2'))," + exact_sql("two", 2000, "split") + PAIRED_ROWS + PAIRED_END)
 def d12(spark, d):
-    out = bootstrap.paired_delta(Tables(spark, d).scored, "m1", "m2", 60, SEED, ["split"])
+    out = bootstrap.paired_delta(Tables(spark, d).scored, "m1", "m2", 2000, SEED, ["split"])
     return out.select("split", *[r9(c).alias(c) for c in ("delta", "ci_low", "ci_high")], "n_boot", "n_paired")
 
 
@@ -215,14 +226,14 @@ def _two_folds(t):
     return t.scored.where("split = 'weak' AND model IN ('m1', 'm2')").join(f, "uid")
 
 
-@query("d15_group_bootstrap_delta", BASE + f", {GROUPED}," + draws_sql("two", 40, "fold", unit="group_id") + """
+@query("d15_group_bootstrap_delta", BASE + f", {GROUPED}," + exact_sql("two", 2000, "fold", unit="group_id") + """
 , rows AS (SELECT two.fold, b, model, target, y, p, w FROM two JOIN w ON two.group_id = w.group_id AND two.fold = w.fold),
 """ + auc_sql("fold, b, model, target", "rows", "w") + """
 , dd AS (SELECT b, fold, target, max(auc) FILTER (model = 'm1') - max(auc) FILTER (model = 'm2') AS dl FROM aucs GROUP BY 1, 2, 3),
 kept AS (SELECT b, avg(dl) AS delta FROM dd GROUP BY 1 HAVING count(dl) = (SELECT count(*) FROM (SELECT DISTINCT fold, target FROM two)))
 SELECT round(avg(delta), 9) AS mean, round(quantile_cont(delta, 0.025), 9) AS low, round(quantile_cont(delta, 0.975), 9) AS high, count(*) AS n_boot FROM kept""")
 def d15(spark, d):
-    out = bootstrap.group_bootstrap_delta(_two_folds(Tables(spark, d)), "m1", "m2", 40, SEED)
+    out = bootstrap.group_bootstrap_delta(_two_folds(Tables(spark, d)), "m1", "m2", 2000, SEED)
     return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
@@ -237,26 +248,26 @@ def d15_poisson(spark, d):
     return out.select(*[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
-@query("d15_group_bootstrap_auc", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid) WHERE s.model = 'm1')," + draws_sql("one", 40, "target", unit="group_id") + """
-, rows AS (SELECT one.target, b, y, p, w FROM one JOIN w ON one.group_id = w.group_id AND one.target = w.target),
-""" + auc_sql("b, target", "rows", "w") + """
-SELECT target, round(avg(auc), 9) AS mean, round(quantile_cont(auc, 0.025), 9) AS low, round(quantile_cont(auc, 0.975), 9) AS high, count(auc) AS n_boot FROM aucs WHERE auc IS NOT NULL GROUP BY 1""")
+@query("d15_group_bootstrap_auc", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid))," + exact_sql("one", 2000, "target", unit="group_id") + """
+, rows AS (SELECT one.model, one.target, b, y, p, w FROM one JOIN w ON one.group_id = w.group_id AND one.target = w.target),
+""" + auc_sql("model, b, target", "rows", "w") + """
+SELECT model, target, round(avg(auc), 9) AS mean, round(quantile_cont(auc, 0.025), 9) AS low, round(quantile_cont(auc, 0.975), 9) AS high, count(auc) AS n_boot FROM aucs WHERE auc IS NOT NULL GROUP BY 1, 2""")
 def d15_auc(spark, d):
     t = Tables(spark, d)
-    rows = t.scored.where("model = 'm1'").join(t.folds.select("uid", "group_id"), "uid")
-    out = bootstrap.group_bootstrap_auc(rows, 40, SEED)
-    return out.select("target", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
+    rows = t.scored.join(t.folds.select("uid", "group_id"), "uid")
+    out = bootstrap.group_bootstrap_auc(rows, 2000, SEED, by=["model"])
+    return out.select("model", "target", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
-@query("d15_group_bootstrap_auc_poisson", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid) WHERE s.model = 'm1')," + poisson_sql("one", 2000, ["target", "group_id"]) + """
-, rows AS (SELECT one.target, b, y, p, w FROM one JOIN w ON one.group_id = w.group_id AND one.target = w.target),
-""" + auc_sql("b, target", "rows", "w") + """
-SELECT target, round(avg(auc), 9) AS mean, round(quantile_cont(auc, 0.025), 9) AS low, round(quantile_cont(auc, 0.975), 9) AS high, count(auc) AS n_boot FROM aucs WHERE auc IS NOT NULL GROUP BY 1""")
+@query("d15_group_bootstrap_auc_poisson", BASE + ", one AS (SELECT s.*, f.group_id FROM scored s JOIN folds f USING (uid))," + poisson_sql("one", 2000, ["target", "group_id"]) + """
+, rows AS (SELECT one.model, one.target, b, y, p, w FROM one JOIN w ON one.group_id = w.group_id AND one.target = w.target),
+""" + auc_sql("model, b, target", "rows", "w") + """
+SELECT model, target, round(avg(auc), 9) AS mean, round(quantile_cont(auc, 0.025), 9) AS low, round(quantile_cont(auc, 0.975), 9) AS high, count(auc) AS n_boot FROM aucs WHERE auc IS NOT NULL GROUP BY 1, 2""")
 def d15_auc_poisson(spark, d):
     t = Tables(spark, d)
-    rows = t.scored.where("model = 'm1'").join(t.folds.select("uid", "group_id"), "uid")
-    out = bootstrap.group_bootstrap_auc(rows, 2000, SEED, method="poisson")
-    return out.select("target", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
+    rows = t.scored.join(t.folds.select("uid", "group_id"), "uid")
+    out = bootstrap.group_bootstrap_auc(rows, 2000, SEED, by=["model"], method="poisson")
+    return out.select("model", "target", *[r9(c).alias(c) for c in ("mean", "low", "high")], "n_boot")
 
 
 @query("d16_weighted_auc", BASE + ", ww AS (SELECT s.*, CASE WHEN c.weight = 0.15 THEN 3 ELSE 5 END AS w FROM scored s JOIN cells c USING (uid, target))," + auc_sql("model, target", "ww", "w") + """
@@ -622,14 +633,14 @@ POOLED = """pooled AS (SELECT s.uid, s.target, s.y, s.p, CASE WHEN s.model IN ('
   WHERE s.split = 'weak' AND ((f.fold = 0 AND s.model IN ('m1', 'm2')) OR (f.fold = 1 AND s.model IN ('m3', 'm4'))))"""
 
 
-@query("d40_pooled_two_fold_delta", BASE + f", {POOLED}," + draws_sql("pooled", 40) + ", rows AS (SELECT b, model, target, y, p, w FROM pooled JOIN w USING (uid))," + auc_sql("b, model, target", "rows", "w") + """
+@query("d40_pooled_two_fold_delta", BASE + f", {POOLED}," + exact_sql("pooled", 2000) + ", rows AS (SELECT b, model, target, y, p, w FROM pooled JOIN w USING (uid))," + auc_sql("b, model, target", "rows", "w") + """
 , dl AS (SELECT b, avg(auc) FILTER (model = 'new') - avg(auc) FILTER (model = 'old') AS delta FROM aucs GROUP BY 1)
 SELECT round(quantile_cont(delta, 0.025), 9) AS ci_low, round(quantile_cont(delta, 0.975), 9) AS ci_high, count(delta) AS n_boot, (SELECT count(DISTINCT uid) FROM pooled) AS n_paired FROM dl""")
 def d40(spark, d):
     t = Tables(spark, d)
     f = t.folds.select("uid", "fold")
     rows = t.preds.join(f, "uid").where("(fold = 0 AND model IN ('m1', 'm2')) OR (fold = 1 AND model IN ('m3', 'm4'))").drop("fold")
-    out = review.second_fold_review(rows, t.cells, {"0": ("m1", "m2"), "1": ("m3", "m4")}, 40, SEED)["delta"]
+    out = review.second_fold_review(rows, t.cells, {"0": ("m1", "m2"), "1": ("m3", "m4")}, 2000, SEED)["delta"]
     return out.select(r9("ci_low").alias("ci_low"), r9("ci_high").alias("ci_high"), "n_boot", "n_paired")
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.aggregates import AUC_SQL, auc_sql
+from catalog.aggregates import AUC_SQL, PAIRED_END, PAIRED_ROWS, auc_sql, exact_sql
 from catalog.base import BASE, SEED, SLOTS, TARGETS, Tables, h, r9, sql_h
 from catalog.joins import COVERED, covered
 from catalog.ordered import DEAL, GSPLIT, HBASE, SLICE_SQL, unique_headers
@@ -14,6 +14,7 @@ from tallyfold.operators import contracts, labels, series
 from tallyfold.plans import folds as fold_plans
 from tallyfold.plans import labels as label_plans
 from tallyfold.plans import review
+from tallyfold.scale import attach
 
 
 @query("p1_canonical_report", BASE + f", {ENV_SQL} " + """
@@ -91,9 +92,9 @@ def p7(spark, d):
 
 
 @query("p8_review_decision", BASE + f", {COVERED} " + """
-, rv AS (SELECT c.*, l.y FROM cov c JOIN folds f USING (uid) JOIN cells l USING (uid, target) WHERE l.mask > 0 AND model IN ('m1', 'm2') AND fold = 2 AND gold_split <> 'eval' AND c.uid IN (SELECT uid FROM cov WHERE model = 'm2')),
-k AS (SELECT DISTINCT model, target FROM rv), a AS (SELECT k.*, (SELECT sum(CASE WHEN x.p > z.p THEN 1.0 WHEN x.p = z.p THEN 0.5 ELSE 0 END)::DOUBLE / count(*) FROM rv x, rv z WHERE x.model = k.model AND z.model = k.model AND x.target = k.target AND z.target = k.target AND x.y = 1 AND z.y = 0) AS auc FROM k)
-SELECT 'weak' AS split, round(avg(auc) FILTER (model = 'm1') - avg(auc) FILTER (model = 'm2'), 9) AS delta FROM a""")
+, two AS (SELECT c.uid, c.target, c.model, c.p, l.y, 'weak' AS split FROM cov c JOIN folds f USING (uid) JOIN cells l USING (uid, target) WHERE l.mask > 0 AND model IN ('m1', 'm2') AND fold = 2 AND gold_split <> 'eval' AND c.uid IN (SELECT uid FROM cov WHERE model = 'm2')),
+""" + exact_sql("two", 2000, "split") + PAIRED_ROWS + PAIRED_END.replace("SELECT pt.split,", ", fin AS (SELECT pt.split,", 1) + """)
+SELECT *, CASE WHEN n_paired > 0 AND delta >= 0.002 AND ci_low > 0 THEN 'passes_this_fold_only' ELSE 'not_supported' END AS status FROM fin""")
 def p8(spark, d):
     t = Tables(spark, d)
     f = t.folds.select("uid", "fold", "gold_split")
@@ -103,8 +104,8 @@ def p8(spark, d):
     full = t.preds.join(f, "uid").where("model IN ('m1', 'm2')").where(ev)
     p = p.where(~ev).unionByName(full).withColumn("split", F.when(ev, "gold").otherwise("weak")).select("model", "split", "uid", "target", "p")
     rule = {"split": "weak", "min_delta": 0.002, "ci95_lower_gt": 0.0}
-    out = review.review_model(p, t.cells, t.folds, "2", TARGETS, new="m1", old="m2", rule=rule, n_boot=30, seed=SEED)["decision"]
-    return out.select("split", r9("delta").alias("delta"))
+    out = review.review_model(p, t.cells, t.folds, "2", TARGETS, new="m1", old="m2", rule=rule, seed=SEED)["decision"]
+    return out.select("split", *[r9(c).alias(c) for c in ("delta", "ci_low", "ci_high")], "n_boot", "n_paired", "status")
 
 
 @query("p9_source_audit_pearson", BASE + """
@@ -137,13 +138,29 @@ def p10(spark, d):
     return out.select("target", "uid", r9("burden").alias("burden"), r9("reference_rank").alias("reference_rank"), "long_report")
 
 
-@query("p11_two_fold_deltas", BASE + ", sf AS (SELECT s.*, f.fold::VARCHAR AS fold FROM scored s JOIN folds f USING (uid) WHERE fold IN (0, 1) AND split = 'weak')," + auc_sql("fold, model, target", "sf") + """
-SELECT fold, round(avg(d), 9) AS delta FROM (SELECT fold, target, max(auc) FILTER (model = 'm1') - max(auc) FILTER (model = 'm2') AS d FROM aucs GROUP BY 1, 2) GROUP BY 1""")
+TWO_FOLDS = """two AS (SELECT s.*, f.fold::VARCHAR AS fold, f.group_id, t.n_chars > 2000 AS long FROM scored s JOIN folds f USING (uid) JOIN train t USING (uid) WHERE f.fold IN (0, 1) AND s.split = 'weak' AND s.model IN ('m1', 'm2') AND s.y IN (0, 1))"""
+
+
+@query("p11_two_fold_deltas", BASE + f", {TWO_FOLDS}, inside AS (SELECT * FROM two WHERE long)," + exact_sql("two", 2000, "fold", unit="group_id") + """
+, rows AS (SELECT two.fold, b, model, target, y, p, w FROM two JOIN w ON two.group_id = w.group_id AND two.fold = w.fold),
+pairs AS (SELECT 'all' AS part, * FROM two UNION ALL SELECT 'inside', * FROM inside),
+point AS (SELECT part, fold, model, target, (SELECT sum(CASE WHEN a.p > z.p THEN 1.0 WHEN a.p = z.p THEN 0.5 ELSE 0 END)::DOUBLE / count(*) FROM pairs a, pairs z WHERE a.part = k.part AND z.part = k.part AND a.fold = k.fold AND z.fold = k.fold
+  AND a.model = k.model AND z.model = k.model AND a.target = k.target AND z.target = k.target AND a.y = 1 AND z.y = 0) AS auc FROM (SELECT DISTINCT part, fold, model, target FROM pairs) k),
+per AS (SELECT part, fold, avg(d) AS d FROM (SELECT part, fold, target, max(auc) FILTER (model = 'm1') - max(auc) FILTER (model = 'm2') AS d FROM point GROUP BY 1, 2, 3) GROUP BY 1, 2),
+""" + auc_sql("fold, b, model, target", "rows", "w") + """
+, dd AS (SELECT b, fold, target, max(auc) FILTER (model = 'm1') - max(auc) FILTER (model = 'm2') AS dl FROM aucs GROUP BY 1, 2, 3),
+kept AS (SELECT b, avg(dl) AS delta FROM dd GROUP BY 1 HAVING count(dl) = (SELECT count(*) FROM (SELECT DISTINCT fold, target FROM two))),
+ci AS (SELECT quantile_cont(delta, 0.025) AS lo, quantile_cont(delta, 0.975) AS hi, count(*) AS n_boot FROM kept)
+SELECT fold, round(d, 9) AS delta, round((SELECT d FROM per i WHERE i.part = 'inside' AND i.fold = per.fold), 9) AS secondary, round(lo, 9) AS ci_low, round(hi, 9) AS ci_high, n_boot,
+  (SELECT bool_and(CASE part WHEN 'all' THEN d > 0 ELSE coalesce(d >= 0, false) END) FROM per) AND lo > 0 AND n_boot >= 1900 AS passed
+FROM per, ci WHERE part = 'all'""")
 def p11(spark, d):
     t = Tables(spark, d)
     f = t.folds.where("fold IN (0, 1)").select("uid", F.col("fold").cast("string").alias("fold"), "group_id")
-    out = review.two_fold_review(t.scored.where("split = 'weak'").join(f, "uid"), "m1", "m2", 20, SEED)["per_fold"]
-    return out.select("fold", r9("delta").alias("delta"))
+    rows = t.scored.where("split = 'weak'").join(f, "uid").join(t.train.select("uid", "n_chars"), "uid")
+    out = review.two_fold_review(rows, "m1", "m2", seed=SEED, secondary=F.col("n_chars") > 2000, strict=False)
+    decided = attach(out["per_fold"], out["decision"].select("ci_low", "ci_high", "n_boot", "passed"))
+    return decided.select("fold", *[r9(c).alias(c) for c in ("delta", "secondary", "ci_low", "ci_high")], "n_boot", "passed")
 
 
 @query("p12_blend_screen", BASE + """

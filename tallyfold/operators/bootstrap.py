@@ -1,10 +1,7 @@
 """Bootstrap intervals as replicate weights.
 
-A replicate that draws n units with replacement is the vector of how often each
-unit was drawn. Draw k of replicate b picks unit ``hash(seed, b, k) mod n``, so the
-counts are an exact multinomial sample that any engine can repeat. Every unit row
-stands in for one draw, so making the draws is an explode over replicates and the
-counts are one grouped sum; no replicate is a driver loop.
+A replicate that draws n units with replacement is the vector of how often each unit was drawn. ``multinomial`` makes these vectors
+exactly, ``poisson`` approximately; either way the scored rows are range partitioned by score once and no replicate is a driver loop.
 """
 
 from __future__ import annotations
@@ -14,10 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import uniform60
-from tallyfold.operators import poisson
+from tallyfold.operators import multinomial, poisson
 from tallyfold.operators.auc import target_auc
-from tallyfold.scale import attach, col, cols, ordinal_rank, pin
+from tallyfold.scale import attach, col, cols, join_on, ordinal_rank, pin
 
 
 def index_units(units: DataFrame, unit: str, strata: Sequence[str] = ()) -> DataFrame:
@@ -27,21 +23,18 @@ def index_units(units: DataFrame, unit: str, strata: Sequence[str] = ()) -> Data
     return ordinal_rank(distinct, strata, [col(unit)], "idx", size="n").withColumn("idx", F.col("idx") - 1)
 
 
-def replicate_weights(indexed: DataFrame, unit: str, n_boot: int, seed: int, strata: Sequence[str] = ()) -> DataFrame:
-    """(strata, unit, b, w): times unit was drawn in replicate b; undrawn units have no row."""
-    strata = list(strata)
-    label = [col(s).cast("string") for s in strata]
-    draws = indexed.select(*cols(strata), "idx", "n", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("b"))
-    h = uniform60(seed, *label, F.col("b").cast("string"), F.col("idx").cast("string"))
-    counts = draws.select(*cols(strata), "b", F.pmod(h, F.col("n")).alias("idx")).groupBy(
-        *cols(strata), "b", "idx").agg(F.count(F.lit(1)).alias("w"))
-    return counts.join(indexed.select(*cols(strata), unit, "idx"), [*strata, "idx"]).drop("idx")
-
+def replicates(scored: DataFrame, keys: Sequence[str], n_boot: int, seed: int, unit: Sequence[str], universe: DataFrame,
+               strata: Sequence[str], method: str) -> DataFrame:
+    """(keys, b, n_pos, n_neg, auc) of every replicate; units are drawn from those of ``universe``, in each of ``strata`` for itself.
 
-def replicate_auc(scored: DataFrame, weights: DataFrame, unit: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Weighted AUC per (b, keys); a replicate without both classes is null."""
-    drawn = scored.join(weights, list(unit))
-    return target_auc(drawn, ["b", *keys], weight="w")
+    ``unit`` names what is drawn within the strata. Exact draws are the same for all keys of a stratum."""
+    own = [*strata, *unit]
+    if method == "poisson":
+        return poisson.replicate_auc(scored, keys, n_boot, seed, [*unit] if unit == ["uid"] else own)
+    if method != "multinomial":
+        raise ValueError(f"unknown method {method!r}")
+    drawn = multinomial.drawn_units(index_units(universe, unit[0], strata), own, strata, n_boot, seed)
+    return poisson.replicate_auc(scored, keys, n_boot, seed, own, drawn)
 
 
 def interval(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -53,50 +46,43 @@ def interval(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_boot"))
 
 
-def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, method: str = "multinomial") -> DataFrame:
-    """Study bootstrap of the macro AUC of one model: (uid, target, y, p) -> mean, low, high, n_boot.
+def bootstrap_macro(scored: DataFrame, n_boot: int = 200, seed: int = 0, *, by: Sequence[str] = (), method: str = "multinomial") -> DataFrame:
+    """Study bootstrap of the macro AUC: (by, uid, target, y, p) -> by, mean, low, high, n_boot. All of ``by`` share their draws.
 
-    ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
+    ``method="poisson"`` draws independent weights instead of exact counts.
     """
-    if method == "poisson":
-        per = poisson.replicate_auc(scored, ["target"], n_boot, seed)
-        return interval(per.groupBy("b").agg(F.avg("auc").alias("macro")), [], "macro")
-    scored = pin(scored.select("uid", "target", "y", "p"))
-    rows = scored.where(col("y").isNotNull())
-    indexed = index_units(scored, "uid")
-    weights = replicate_weights(indexed, "uid", n_boot, seed)
-    per = replicate_auc(rows, weights, ["uid"], ["target"])
-    return interval(per.groupBy("b").agg(F.avg("auc").alias("macro")), [], "macro")
+    by = list(by)
+    scored = pin(scored.select(*cols(by), "uid", "target", "y", "p"))
+    per = replicates(scored, [*by, "target"], n_boot, seed, ["uid"], scored, [], method)
+    return interval(per.groupBy(*cols(by), "b").agg(F.avg("auc").alias("macro")), by, "macro")
 
 
 def paired_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed: int = 2026,
-                 strata: Sequence[str] = (), *, method: str = "multinomial") -> DataFrame:
+                 strata: Sequence[str] = (), *, method: str = "multinomial", expected: DataFrame | None = None) -> DataFrame:
     """Macro AUC difference of two models on the same draws, per stratum.
 
-    ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
+    ``method="poisson"`` draws independent weights instead of exact counts.
 
     ``scored`` is (strata, uid, target, y, model, p) with a row for both models.
     Returns delta, ci_low, ci_high, the three rounded to 5 digits, n_boot and n_paired.
+    A stratum of ``expected`` without a pair has a null delta and interval, and n_boot and n_paired of 0.
     """
     strata = list(strata)
     both = pin(scored.where(col("model").isin(new, old)).select(*cols(strata), "uid", "target", "y", "model", "p"))
     point = _macro_delta(target_auc(both, [*strata, "model", "target"]), strata, new, old)
-    indexed = index_units(both, "uid", strata)
-    if method == "poisson":
-        per = poisson.replicate_auc(both, [*strata, "model", "target"], n_boot, seed)
-    else:
-        weights = replicate_weights(indexed, "uid", n_boot, seed, strata)
-        per = replicate_auc(both.where(col("y").isNotNull()), weights, [*strata, "uid"], [*strata, "model", "target"])
+    per = replicates(both, [*strata, "model", "target"], n_boot, seed, ["uid"], both, strata, method)
     deltas = _macro_delta(per, [*strata, "b"], new, old)
     ci = interval(deltas, strata, "delta").drop("mean")
-    sizes = indexed.groupBy(*cols(strata)).agg(F.count(F.lit(1)).alias("n_paired"))
+    sizes = both.groupBy(*cols(strata)).agg(F.countDistinct("uid").alias("n_paired"))
     out = point
     for side in (ci, sizes):
-        out = out.join(side, strata, "left") if strata else attach(out, side)
+        out = join_on(out, side, strata, "left") if strata else attach(out, side)
+    if expected is not None:
+        out = join_on(expected.select(*cols(strata)).distinct(), out, strata, "left")
     return out.select(
         *cols(strata), "delta", F.col("low").alias("ci_low"), F.col("high").alias("ci_high"),
         F.round("delta", 5).alias("delta_5"), F.round("low", 5).alias("ci_low_5"), F.round("high", 5).alias("ci_high_5"),
-        F.coalesce("n_boot", F.lit(0)).alias("n_boot"), "n_paired")
+        F.coalesce("n_boot", F.lit(0)).alias("n_boot"), F.coalesce("n_paired", F.lit(0)).alias("n_paired"))
 
 
 def _macro_delta(per: DataFrame, keys: Sequence[str], new: str, old: str) -> DataFrame:
@@ -110,7 +96,7 @@ def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2
                           groups: DataFrame | None = None, method: str = "multinomial") -> DataFrame:
     """Resample whole groups inside each fold and average the per (fold, target) deltas.
 
-    ``method="poisson"`` draws independent weights instead of exact counts and shuffles no draws.
+    ``method="poisson"`` draws independent weights instead of exact counts.
 
     ``scored`` is (fold, group_id, uid, target, y, model, p). A replicate counts only
     when every (fold, target) keeps both classes. ``groups`` is the (fold, group_id)
@@ -118,12 +104,8 @@ def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2
     """
     both = pin(scored.where(col("model").isin(new, old) & col("y").isin(0.0, 1.0)).select(
         "fold", "group_id", "target", "y", "model", "p"))
-    if method == "poisson":
-        per = poisson.replicate_auc(both, ["fold", "target", "model"], n_boot, seed, ["fold", "group_id"])
-    else:
-        indexed = index_units(both if groups is None else groups, "group_id", ["fold"])
-        weights = replicate_weights(indexed, "group_id", n_boot, seed, ["fold"])
-        per = replicate_auc(both, weights, ["fold", "group_id"], ["fold", "target", "model"])
+    universe = both if groups is None else groups
+    per = replicates(both, ["fold", "target", "model"], n_boot, seed, ["group_id"], universe, ["fold"], method)
     strata = both.select("fold", "target").distinct().agg(F.count(F.lit(1)).alias("n_strata"))
     pairs = per.groupBy("b", "fold", "target").agg(
         F.max(F.when(col("model") == new, F.col("auc"))).alias("__new"),
@@ -135,14 +117,10 @@ def group_bootstrap_delta(scored: DataFrame, new: str, old: str, n_boot: int = 2
     return interval(kept, [], "delta")
 
 
-def group_bootstrap_auc(scored: DataFrame, n_boot: int = 2000, seed: int = 2026, *,
+def group_bootstrap_auc(scored: DataFrame, n_boot: int = 2000, seed: int = 2026, *, by: Sequence[str] = (),
                         method: str = "multinomial") -> DataFrame:
-    """Per target: interval of the AUC when whole groups are resampled; ``method`` as in ``paired_delta``."""
-    rows = pin(scored.where(col("y").isin(0.0, 1.0)).select("target", "group_id", "y", "p"))
-    if method == "poisson":
-        per = poisson.replicate_auc(rows, ["target"], n_boot, seed, ["target", "group_id"])
-    else:
-        indexed = index_units(rows, "group_id", ["target"])
-        weights = replicate_weights(indexed, "group_id", n_boot, seed, ["target"])
-        per = replicate_auc(rows, weights, ["target", "group_id"], ["target"])
-    return interval(per, ["target"], "auc")
+    """Per (by, target): interval of the AUC when whole groups of a target are resampled, the same ones for all of ``by``."""
+    by = list(by)
+    rows = pin(scored.where(col("y").isin(0.0, 1.0)).select(*cols(by), "target", "group_id", "y", "p"))
+    per = replicates(rows, [*by, "target"], n_boot, seed, ["group_id"], rows, ["target"], method)
+    return interval(per, [*by, "target"], "auc")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators import agreement, auc, bootstrap, contracts, dominance, ranks
@@ -34,11 +34,11 @@ def split_scores(preds: DataFrame, cells: DataFrame, keys: Sequence[str] = ("mod
 
 
 def review_model(preds: DataFrame, cells: DataFrame, folds: DataFrame, outer: str, targets: Sequence[str], *, new: str, old: str,
-                 rule: dict, n_boot: int = 2000, seed: int = 2026, strict: bool = True) -> dict[str, DataFrame]:
+                 rule: dict, n_boot: int = 2000, seed: int = 2026, strict: bool = True, method: str = "multinomial") -> dict[str, DataFrame]:
     """Contract checks, split scores, paired deltas with intervals and the declared rule.
 
     ``preds`` is long (model, split, uid, target, p). Gold pairs must be complete; weak pairs use the
-    intersection unless the rule asks for complete ones.
+    intersection unless the rule asks for complete ones. A split without a pair has a null delta and is not supported.
     """
     mine = to_wide(preds.where(col("model") == new), ["uid", "split"], targets)
     if strict:
@@ -51,13 +51,14 @@ def review_model(preds: DataFrame, cells: DataFrame, folds: DataFrame, outer: st
         contracts.require(contracts.incomplete_pairs(a, b, keys, splits), "paired predictions")
     paired = a.join(b.select(*keys), keys, "left_semi").unionByName(b.join(a.select(*keys), keys, "left_semi"))
     scored = score_long(paired, cells)
-    delta = bootstrap.paired_delta(scored, new, old, n_boot, seed, ["split"])
+    delta = bootstrap.paired_delta(scored, new, old, n_boot, seed, ["split"], method=method, expected=a.select("split"))
     status = contracts.rule_status(F.col("n_paired"), F.col("delta"), F.col("ci_low"), rule["min_delta"], rule["ci95_lower_gt"])
     return {
         **split_scores(preds, cells),
         "per_target_delta": auc.auc_delta(scored, new, old, ["split", "target"]),
         "delta": delta,
-        "decision": delta.where(F.col("split") == rule["split"]).select("split", "delta", "ci_low", status.alias("status")),
+        "decision": delta.where(F.col("split") == rule["split"]).select(
+            "split", "delta", "ci_low", "ci_high", "n_boot", "n_paired", status.alias("status")),
     }
 
 
@@ -80,13 +81,26 @@ def second_fold_review(preds: DataFrame, cells: DataFrame, pairs: dict[str, tupl
     return {"overlap": overlap, "delta": bootstrap.paired_delta(scored, "new", "old", n_boot, seed, method=method)}
 
 
-def two_fold_review(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed: int = 2026,
-                    groups: DataFrame | None = None, method: str = "multinomial") -> dict[str, DataFrame]:
-    """Per-fold deltas, group bootstrap inside folds and the all-folds rule: (fold, group_id, uid, target, y, model, p)."""
+def two_fold_review(scored: DataFrame, new: str, old: str, n_boot: int = 2000, seed: int = 2026, groups: DataFrame | None = None,
+                    method: str = "multinomial", secondary: Column | None = None, min_valid: float = 0.95, strict: bool = True) -> dict[str, DataFrame]:
+    """Per-fold deltas, group bootstrap inside folds and the all-folds rule: (fold, group_id, uid, target, y, model, p).
+
+    ``secondary`` marks the rows of a subgroup whose delta must not be negative in any fold. Fewer valid replicates than the share
+    ``min_valid`` of ``n_boot`` are an error if ``strict``, and never pass.
+    """
     per = auc.auc_delta(scored, new, old, ["fold", "target"])
     fold_delta = per.groupBy("fold").agg(F.avg("delta").alias("delta"))
+    if secondary is not None:
+        inside = auc.auc_delta(scored.where(secondary), new, old, ["fold", "target"]).groupBy("fold").agg(F.avg("delta").alias("secondary"))
+        fold_delta = fold_delta.join(inside, "fold", "left")
     ci = bootstrap.group_bootstrap_delta(scored, new, old, n_boot, seed, groups=groups, method=method)
-    return {"per_target": per, "per_fold": fold_delta, "ci": ci, "decision": contracts.all_folds_positive(fold_delta, ci)}
+    few = ci.where(F.col("n_boot") < min_valid * n_boot).select(F.lit("too_few_valid_replicates").alias("check"), F.col("n_boot").cast("string").alias("key"))
+    if strict:
+        contracts.require(few, "bootstrap")
+    decision = contracts.all_folds_positive(fold_delta, ci, secondary=None if secondary is None else "secondary")
+    decision = attach(decision, ci.select(F.col("high").alias("ci_high"), "n_boot"))
+    decision = decision.withColumn("passed", F.col("passed") & (F.col("n_boot") >= min_valid * n_boot))
+    return {"per_target": per, "per_fold": fold_delta, "ci": ci, "decision": decision}
 
 
 def ranking_diagnostic(preds: DataFrame, cells: DataFrame, reference: str, components: Sequence[str], companion: dict[str, str],

@@ -18,17 +18,6 @@ def test_paired_bootstrap_extremes(spark):
     assert (r.delta, r.ci_low, r.ci_high, r.n_boot, r.n_paired) == (1.0, 1.0, 1.0, 25, 40)
 
 
-def test_replicate_weights_are_multinomial(spark):
-    units = spark.createDataFrame([(f"u{i:03d}",) for i in range(30)], "uid string")
-    idx = bootstrap.index_units(units, "uid")
-    w = bootstrap.replicate_weights(idx, "uid", 50, 1).collect()
-    total = {}
-    for r in w:
-        total[r.b] = total.get(r.b, 0) + r.w
-    assert total == {b: 30 for b in range(50)}
-    assert len({r.uid for r in w}) == 30
-
-
 def preds(spark, rows):
     return spark.createDataFrame(rows, "uid string, split string, a double, b double")
 
