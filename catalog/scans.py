@@ -13,12 +13,11 @@ from tallyfold.scale import fresh_path
 from tallyfold.sources import readers, writers
 
 
-@query("a1_csv_scan", BASE + """SELECT uid, quality, toxic, n_chars::VARCHAR AS n_chars, length(replace(report, chr(13), '')) AS report_len FROM train""")
+@query("a1_csv_scan", BASE + """SELECT uid, quality, toxic, n_chars::VARCHAR AS n_chars, length(report) AS report_len, sha256(report) AS report_sha256 FROM train""")
 def a1(spark, d):
-    """Round trip through a header CSV whose report cells hold newlines and quotes. Carriage returns are dropped
-    on both sides because the CSV reader normalises line ends inside quotes."""
+    """Round trip through a header CSV whose report cells hold newlines, carriage returns and quotes."""
     path = fresh_path(spark, "csv")
-    t = Tables(spark, d).train.select("uid", F.regexp_replace("report", "\r", "").alias("report"), "quality", "toxic", F.col("n_chars").cast("string").alias("n_chars"))
+    t = Tables(spark, d).train.select("uid", "report", "quality", "toxic", F.col("n_chars").cast("string").alias("n_chars"))
     t.write.option("header", True).option("escape", '"').option("quoteAll", True).option("nullValue", "\u0001").option("emptyValue", "").option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode("overwrite").csv(path)
     back = readers.csv_strings(spark, path, ["uid", "report", "quality", "toxic", "n_chars"])
@@ -26,7 +25,8 @@ def a1(spark, d):
     def cell(c):
         return F.when(F.col(c) == "\u0001", F.lit(None)).otherwise(F.coalesce(c, F.lit(""))).alias(c)
 
-    return back.select("uid", cell("quality"), cell("toxic"), "n_chars", F.length("report").cast("long").alias("report_len"))
+    back = back.select("uid", cell("quality"), cell("toxic"), "n_chars", cell("report"))
+    return back.select("uid", "quality", "toxic", "n_chars", F.length("report").cast("long").alias("report_len"), F.sha2("report", 256).alias("report_sha256"))
 
 
 @query("a2_checked_series_scan", BASE + "SELECT plane, count(*) AS n FROM series GROUP BY 1")

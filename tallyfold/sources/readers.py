@@ -10,16 +10,26 @@ from pyspark.sql import types as T
 
 from tallyfold import schemas
 from tallyfold.functions.predicates import parse_number, safe_id
-from tallyfold.operators.contracts import require, require_columns
+from tallyfold.operators.contracts import ContractError, require, require_columns
 from tallyfold.scale import col, cols
-
-
-def csv_strings(spark: SparkSession, path: str, columns: Sequence[str], *, multi_line: bool = True) -> DataFrame:
-    """Header CSV as text columns by name. Quoted newlines need whole-file splits; turn
-    ``multi_line`` off for large files that have none, so that Spark may split them."""
-    return (
-        spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("encoding", "UTF-8")
-        .option("enforceSchema", False).schema(schemas.all_strings(columns)).csv(path))
+from tallyfold.sources.records import csv_records
+
+
+def csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Header CSV as text columns by name; cells may hold line breaks in quotes, and one file is read in many tasks.
+
+    Every file must have the header of the first. Carriage returns in quotes stay. An empty cell without quotes and one that a short
+    record lacks are null; lines without anything are no records."""
+    names = csv_header(spark, path)
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ContractError(f"missing columns: {missing}")
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    parsed = csv_records(spark, path).where("text <> ''").withColumn("r", F.from_csv("text", schema, {"escape": '"', "multiLine": "true"}))
+    header = F.array(*[F.coalesce(F.regexp_replace(f"r.c{i}", "^\ufeff", ""), F.lit("")) for i in range(len(names))])
+    same = F.when(header == F.array(*[F.lit(n) for n in names]), F.lit(False)).otherwise(F.raise_error(F.concat(F.lit("another header in "), "file")))
+    rows = parsed.where(F.when((F.col("block") == 0) & (F.col("record") == 1), same.cast("boolean")).otherwise(F.lit(True)))
+    return rows.select(*[F.col(f"r.c{names.index(c)}").alias(c) for c in columns])
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:

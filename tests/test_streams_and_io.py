@@ -140,6 +140,38 @@ def test_sinks_and_readers(spark, tmp_path):
         numeric_export(df, ["uid", "report"])
 
 
+def test_csv_records_over_many_blocks(spark, tmp_path):
+    import csv
+    import io
+
+    rng = random.Random(8)
+    cells = ["", "plain", 'say "hi"', "a,b", "two\nlines", "crlf\r\nin quotes\r\n\r\nand\rmore", '"', '""\n"', "é日本\n" * 40, "x" * 300, " padded "]
+    (tmp_path / "f").mkdir()
+    want = []
+    for name, end in (("a", "\n"), ("b", "\r\n")):
+        rows = [[f"{name}{i}", rng.choice(cells), rng.choice(cells)] for i in range(60)]
+        out = io.StringIO(newline="")
+        csv.writer(out, lineterminator=end, quoting=csv.QUOTE_ALL).writerows([["uid", "report", "odd name"], *rows])
+        (tmp_path / "f" / f"{name}.csv").write_text(out.getvalue() + end, newline="")
+        want += rows
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("60", "700", "1000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            back = readers.csv_strings(spark, str(tmp_path / "f"), ["uid", "odd name", "report"])
+            got = [(r[0], r[1] or "", r[2] or "") for r in back.collect()]
+            assert sorted(got) == sorted((u, b, a) for u, a, b in want)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    (tmp_path / "f" / "c.csv").write_text("uid,other,odd name\n1,2,3\n")
+    with pytest.raises(Exception, match="another header"):
+        readers.csv_strings(spark, str(tmp_path / "f"), ["uid"]).collect()
+    with pytest.raises(ContractError):
+        readers.csv_strings(spark, str(tmp_path / "f"), ["absent"])
+
+
 def test_keys_are_never_forgotten(spark, tmp_path):
     schema = "kernel string, status string, ts timestamp"
     days = [dt.datetime(2024, 1, d, 12) for d in range(1, 8)]
