@@ -264,3 +264,25 @@ def p17_series(spark, d):
     return out.select("vec_id", F.aggregate("q", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
 
 
+@query("p17_center_slices", f"""WITH {VEC}, hd AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY (vec_id * 7919) % 100003, vec_id) - 1 AS position, count(*) OVER (PARTITION BY label) AS n FROM v),
+ce AS (SELECT label, n, k AS center, CASE WHEN n >= 3 THEN greatest(1.0, least(n - 2, (0.15::DOUBLE + (0.85::DOUBLE - 0.15::DOUBLE) * k / 3) * (n - 1))) ELSE (0.15::DOUBLE + (0.85::DOUBLE - 0.15::DOUBLE) * k / 3) * (n - 1) END AS x FROM (SELECT DISTINCT label, n FROM hd), range(4) r(k)),
+cells AS (SELECT label, center, j AS neighbour, greatest(0, least(n - 1, round_even(x, 0)::INT + j - 1)) AS position FROM ce, range(3) r(j)),
+used AS (SELECT label, position, string_agg(center || '-' || neighbour, ' ' ORDER BY center, neighbour) AS places FROM cells GROUP BY 1, 2),
+px AS (SELECT h.label, h.vec_id, h.n, h.position, u.places, (h.vec_id % 3 = 0) AS bare, unnest(h.vals) AS x, generate_subscripts(h.vals, 1) - 1 AS i FROM hd h JOIN used u ON h.label = u.label AND h.position = u.position),
+fx AS (SELECT *, CASE WHEN vec_id % 5 = 0 THEN max(y) OVER (PARTITION BY vec_id) - y ELSE y END AS z FROM (SELECT *, x * 2.0::DOUBLE - 0.5::DOUBLE AS y FROM px)),
+cr AS (SELECT * FROM fx WHERE bare OR (i // 8 >= 1 AND i // 8 < 7)),
+wi AS (SELECT label, quantile_cont(z, 0.005) AS lo, quantile_cont(z, 0.995) AS hi FROM cr GROUP BY 1)
+SELECT label, vec_id, 'instance_number_fallback' AS mode, n::BIGINT AS n_slices, position::INT AS position, places, CASE WHEN bare THEN 'missing_spacing_square_fallback' ELSE 'pixel_spacing_mm' END AS crop_mode, count(*) AS pixels,
+  sum(floor(greatest(0, least(255, (greatest(lo, least(hi, z)) - lo) / (hi - lo) * 255)))::INT)::BIGINT AS total FROM cr JOIN wi USING (label) GROUP BY ALL""")
+def p17_centers(spark, d):
+    """Four centers a series: slices in order of instance, triplets, crops of 8 x 8 pixels, a window per series."""
+    v = vec(Tables(spark, d)).withColumns({"study": F.lit("s"), "series": F.col("label").cast("string"), "path": F.lpad(F.col("vec_id").cast("string"), 12, "0")})
+    headers = v.select("study", "series", "path", ((F.col("vec_id") * 7919) % 100003).alias("instance"), *[F.lit(None).cast("array<double>").alias(c) for c in ("iop", "ipp")])
+    slices = v.select(
+        "study", "series", "path", F.lit(8).alias("rows"), F.lit(8).alias("cols"), F.when(F.col("vec_id") % 3 != 0, F.array(F.lit(25.0), F.lit(20.0))).alias("spacing"),
+        F.lit(2.0).alias("slope"), F.lit(-0.5).alias("intercept"), F.when(F.col("vec_id") % 5 == 0, "MONOCHROME1").alias("photometric"), "values")
+    out = series.center_slices(headers, slices, 4, intensity="series")
+    places = F.array_join(F.transform("places", lambda p: F.concat_ws("-", p["center"].cast("string"), p["neighbour"].cast("string"))), " ")
+    return out.select(
+        F.col("series").cast("int").alias("label"), F.col("path").cast("long").alias("vec_id"), "mode", F.col("n_slices").cast("long").alias("n_slices"), F.col("position").cast("int").alias("position"),
+        places.alias("places"), F.col("crop.mode").alias("crop_mode"), F.size("q").cast("long").alias("pixels"), F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))

@@ -18,8 +18,9 @@ from tallyfold.functions.arrays import (
     to_unit,
     with_window,
 )
-from tallyfold.functions.geometry import PLANES, dominant_plane, dot3, projection, slice_normal
+from tallyfold.functions.geometry import PLANES, crop_box, dominant_plane, dot3, projection, slice_normal
 from tallyfold.operators.extraction import first_rows
+from tallyfold.operators.radix import array_quantiles
 from tallyfold.scale import cols, exact_quantiles, ordinal_rank, pin
 
 KEY = ("study", "series")
@@ -184,10 +185,9 @@ def series_plan(series: DataFrame, headers: DataFrame, slots: Sequence[tuple[str
 
 
 def series_window(slices: DataFrame, values: str = "values", low: float = 0.5, high: float = 99.5) -> DataFrame:
-    """(study, series, lo, hi): one intensity window over all pixels of a series."""
+    """(study, series, lo, hi): one intensity window over all pixels of a series; pixels never become rows."""
     g = list(KEY)
-    flat = slices.select(*g, F.explode(values).alias("v"))
-    q = exact_quantiles(flat, g, "v", {"lo": low / 100, "hi": high / 100})
+    q = array_quantiles(slices.select(*g, values), g, values, {"lo": low / 100, "hi": high / 100})
     ends = slices.groupBy(*g).agg(F.min(F.array_min(values)).alias("mn"), F.max(F.array_max(values)).alias("mx"))
     flat_window = F.col("hi") <= F.col("lo")
     return q.join(ends, g).select(
@@ -195,10 +195,13 @@ def series_window(slices: DataFrame, values: str = "values", low: float = 0.5, h
         F.when(flat_window, F.col("mx") + F.lit(1e-6)).otherwise(F.col("hi")).alias("hi"))
 
 
-def slice_values(slices: DataFrame, intensity: str = "slice") -> DataFrame:
-    """Rescale, invert, scale to [0, 1] per slice or per series, and quantise to 0..255."""
-    fixed = slices.withColumn("values", invert_monochrome(
-        rescale(F.col("values"), F.col("slope"), F.col("intercept")), F.col("photometric")))
+def fixed_values() -> Column:
+    """Stored values with slope and intercept, dark on bright turned."""
+    return invert_monochrome(rescale(F.col("values"), F.col("slope"), F.col("intercept")), F.col("photometric"))
+
+
+def quantised(fixed: DataFrame, intensity: str) -> DataFrame:
+    """Add ``q``: values scaled to 0..255 by each slice's own window or by its series' window."""
     if intensity == "slice":
         return fixed.withColumn("q", encode_uint8(to_unit(percentile_clip(F.col("values")))))
     if intensity != "series":
@@ -206,3 +209,38 @@ def slice_values(slices: DataFrame, intensity: str = "slice") -> DataFrame:
     windows = series_window(fixed)
     return fixed.join(windows, list(KEY)).withColumn(
         "q", encode_uint8(with_window(F.col("values"), F.col("lo"), F.col("hi")))).drop("lo", "hi")
+
+
+def slice_values(slices: DataFrame, intensity: str = "slice") -> DataFrame:
+    """Rescale, invert, scale to [0, 1] per slice or per series, and quantise to 0..255."""
+    return quantised(slices.withColumn("values", fixed_values()), intensity)
+
+
+def cropped(values: Column, cols_: Column, box: Column) -> Column:
+    """The part of a row-major array that lies in a crop box."""
+    width = (box["c1"] - box["c0"]).cast("int")
+    rows = F.sequence(box["r0"], box["r1"] - 1)
+    return F.flatten(F.transform(rows, lambda r: F.slice(values, (r * cols_ + box["c0"] + 1).cast("int"), width)))
+
+
+def center_slices(headers: DataFrame, slices: DataFrame, n_centers: int, *, strategy: str = "interior", lower: float = 0.15, upper: float = 0.85,
+                  crop_mm: float = 160.0, intensity: str = "slice") -> DataFrame:
+    """The slices around a series' centers, ordered, cropped, scaled and quantised: one row per slice that is used.
+
+    ``headers`` is (study, series, path, instance, iop, ipp), ``slices`` (study, series, path, rows, cols, spacing, slope, intercept,
+    photometric, values in row order). Returns study, series, path, mode, n_slices, position, places (array of center, neighbour: which
+    of the triplets' cells the slice fills), crop and q. Only used slices are rescaled, and a series' window is taken over their crops.
+    A used slice without pixels is an error of the input and has a null q.
+    """
+    g = list(KEY)
+    modes = pin(slice_modes(headers))
+    ordered = order_slices(headers, modes).select(*g, "path", "position")
+    triplets = neighbour_triplets(series_centers(F.col("n"), n_centers, strategy=strategy, lower=lower, upper=upper), F.col("n"))
+    cells = modes.select(*g, "mode", F.col("n").alias("n_slices"), F.posexplode(triplets).alias("center", "triplet")).select(
+        *g, "mode", "n_slices", "center", F.posexplode("triplet").alias("neighbour", "position"))
+    used = cells.groupBy(*g, "mode", "n_slices", "position").agg(F.array_sort(F.collect_list(F.struct("center", "neighbour"))).alias("places"))
+    named = pin(used.join(ordered, [*g, "position"]))  # at most 3 rows a center, read by the window and by the result
+    box = crop_box(F.col("rows"), F.col("cols"), F.col("spacing"), crop_mm)
+    pixels = slices.join(named.select(*g, "path"), [*g, "path"], "left_semi").withColumn("crop", box)
+    fixed = pixels.withColumn("values", cropped(fixed_values(), F.col("cols"), F.col("crop"))).select(*g, "path", "crop", "values")
+    return named.join(quantised(fixed, intensity).select(*g, "path", "crop", "q"), [*g, "path"], "left")
