@@ -6,7 +6,7 @@ from catalog import query
 from catalog.aggregates import AUC_SQL, PAIRED_END, PAIRED_ROWS, auc_sql, exact_sql
 from catalog.base import BASE, SEED, SLOTS, TARGETS, Tables, h, r9, sql_h
 from catalog.joins import COVERED, covered
-from catalog.ordered import DEAL, GSPLIT, HBASE, SLICE_SQL, unique_headers
+from catalog.ordered import DEAL, GSPLIT, HBASE, RBASE, SLICE_SQL, unique_headers
 from catalog.scalars import UNIT, VEC, vec
 from catalog.scans import ENV_SQL, envelopes
 from tallyfold.functions.hashing import resume_key
@@ -48,7 +48,7 @@ def p2_bad(spark, d):
     return labels.numeric_label_violations(labels.tag_envelopes(envelopes(Tables(spark, d))))
 
 
-@query("p3_make_folds", BASE + f", {DEAL}, {GSPLIT} " + """
+@query("p3_make_folds", RBASE + f", {DEAL}, {GSPLIT} " + """
 SELECT f.uid, d.fold, f.is_gold, coalesce(g.gold_split, 'weak') AS gold_split, f.group_id FROM folds f JOIN dealt d USING (group_id) LEFT JOIN gs g ON g.uid = f.uid""")
 def p3(spark, d):
     return fold_plans.make_folds(Tables(spark, d).train, TARGETS, n_folds=5, seed=SEED)["folds"]

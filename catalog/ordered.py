@@ -184,13 +184,30 @@ def e15(spark, d):
     return Tables(spark, d).raw("documents").select("doc_id", F.array_join(t, ",").alias("triplets"))
 
 
+def _dealing(s: int, start: str) -> str:
+    """CTEs of one part of the dealing (1: groups with gold): heavy groups one by one, the others where prefix sums level the folds."""
+    least = f"list_position(g{s}.loads, list_min(g{s}.loads))"
+    return f"""
+g{s}(i, loads, fold) AS (SELECT 0::BIGINT, {start}, -1::BIGINT UNION ALL
+  SELECT hv.i, list_transform(g{s}.loads, lambda x, j: x + CASE WHEN j = {least} THEN hv.w ELSE 0 END), {least} - 1 FROM g{s} JOIN hv ON hv.s = {s} AND hv.i = g{s}.i + 1),
+e{s} AS (SELECT loads, (SELECT coalesce(sum(w), 0)::BIGINT FROM lt WHERE s = {s}) AS l FROM g{s} ORDER BY i DESC LIMIT 1),
+p{s} AS (SELECT loads, list_min(list_transform(range(1, 6), lambda j: {{'v': (l + list_sum(list_sort(loads)[1:j]))::DOUBLE / j, 'j': j::BIGINT, 'p': (l + list_sum(list_sort(loads)[1:j]))::BIGINT}})) AS t FROM e{s}),
+b{s} AS (SELECT t.j AS j, list_transform(range(1, 6), lambda k: list_sum(list_transform(loads[1:k], lambda x: greatest(0, t.p - t.j * x)))) AS bounds FROM p{s}),
+d{s} AS (SELECT hv.group_id, hv.size, g{s}.fold::INT AS fold FROM hv JOIN g{s} ON hv.i = g{s}.i WHERE hv.s = {s}
+  UNION ALL SELECT group_id, size, least(4, len(list_filter(bounds, lambda x: before * j >= x)))::INT FROM lt, b{s} WHERE s = {s})"""
+
+
 DEAL = f"""un AS (SELECT g.uid, g.group_id, f.is_gold FROM grouped g JOIN folds f USING (uid)),
-gr AS (SELECT group_id, count(*) AS size, max(is_gold::INT) AS stratum, {sql_h(f"'{SEED}:' || group_id")} AS hh FROM un GROUP BY 1),
-rk AS (SELECT group_id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY size DESC, hh, group_id) - 1 AS i FROM gr),
-dealt AS (SELECT group_id, CASE WHEN (i // 5) % 2 = 0 THEN i % 5 ELSE 4 - i % 5 END::INT AS fold FROM rk)"""
+wt AS (SELECT *, (gold > 0)::INT AS s, CASE WHEN gold > 0 THEN gold ELSE size END AS w FROM (SELECT group_id, count(*) AS size, sum(is_gold::INT)::BIGINT AS gold, {sql_h(f"'{SEED}:' || group_id")} AS hh FROM un GROUP BY 1)),
+sized AS (SELECT *, sum(w) OVER (PARTITION BY s) AS total FROM wt),
+hv AS (SELECT group_id, s, w, size, row_number() OVER (PARTITION BY s ORDER BY w DESC, hh, group_id) AS i FROM sized WHERE w * 20 > total),
+lt AS (SELECT group_id, s, w, size, (sum(w) OVER (PARTITION BY s ORDER BY hh, group_id) - w)::BIGINT AS before FROM sized WHERE w * 20 <= total),{_dealing(1, "[0, 0, 0, 0, 0]::BIGINT[]")},
+{_dealing(0, "(SELECT list_transform(range(5), lambda k: coalesce(list_sum(list_transform(list_filter(list({'f': fold, 'n': size}), lambda x: x.f = k), lambda x: x.n)), 0)::BIGINT) FROM d1)")},
+dealt AS (SELECT group_id, fold FROM d1 UNION ALL SELECT group_id, fold FROM d0)"""
+RBASE = BASE.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-@query("e16_group_folds", BASE + f", {DEAL} SELECT group_id, fold FROM dealt")
+@query("e16_group_folds", RBASE + f", {DEAL} SELECT group_id, fold FROM dealt")
 def e16(spark, d):
     t = Tables(spark, d)
     return folds.deal_folds(t.folds.select("uid", "group_id", "is_gold"), 5, SEED)

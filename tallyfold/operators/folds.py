@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyfold.functions.hashing import sha256_text, uniform60
 from tallyfold.functions.predicates import strip
 from tallyfold.operators.extraction import first_rows
-from tallyfold.scale import attach, col, cols, ordinal_rank
+from tallyfold.scale import attach, col, cols, join_on, ordinal_rank, pin, prefix_sums
 
 HISTORIC_EVAL = "A_historic_eval"
 FORMER_TRAIN = "B_former_train"
@@ -44,19 +44,55 @@ def leakage_groups(df: DataFrame, uid: str, text: str) -> DataFrame:
         "uid", F.when(F.col("__n").isNotNull(), F.col("__key")).otherwise(F.col("uid")).alias("group_id"))
 
 
-def deal_folds(units: DataFrame, n_folds: int, seed: int) -> DataFrame:
-    """(group_id, fold): whole groups dealt back and forth over the folds, gold groups first among themselves.
+def _greedy(loads: list[int], weights: Sequence[int]) -> list[int]:
+    """Fold of each weight, in turn the least loaded one; ``loads`` grows along."""
+    out = []
+    for w in weights:
+        fold = loads.index(min(loads))
+        loads[fold] += w
+        out.append(fold)
+    return out
 
-    ``units`` is (uid, group_id, is_gold). Groups are ordered by size, then by a seeded
-    hash; the same seed always gives the same folds whatever the row order.
+
+def _poured(loads: Sequence[int], amount: int) -> list[tuple[int, int]]:
+    """Bounds (numerator, denominator) up to which a stream of ``amount`` goes to each fold so that loads become level."""
+    by_load = sorted(loads)
+    _, j, top = min(((amount + sum(by_load[:j])) / j, j, amount + sum(by_load[:j])) for j in range(1, len(loads) + 1))
+    bounds, total = [], 0
+    for x in loads:
+        total += max(0, top - j * x)
+        bounds.append((total, j))
+    return bounds
+
+
+def deal_folds(units: DataFrame, n_folds: int, seed: int, heavy: int = 4) -> DataFrame:
+    """(group_id, fold): whole groups, so that gold rows, then all rows, are as even over the folds as the largest groups allow.
+
+    ``units`` is (uid, group_id, is_gold). Groups with gold are placed first, by their gold rows, the others by their rows on top of what
+    lies in each fold. In either part a group above the ``heavy * n_folds``-th part is heavy, so there are fewer than that many; they go
+    to the least loaded fold, largest first. The others stand in a row by a seeded hash that is cut where prefix sums level the folds.
+    The same seed gives the same folds whatever the row order.
     """
-    groups = units.groupBy("group_id").agg(
-        F.count(F.lit(1)).alias("size"), F.max(F.col("is_gold").cast("int")).alias("stratum"))
-    groups = groups.withColumn("__h", uniform60(seed, F.col("group_id")))
-    ranked = ordinal_rank(groups, ["stratum"], [F.col("size").desc(), F.col("__h"), F.col("group_id")], "__k")
-    i = F.col("__k") - 1
-    lap, seat = F.floor(i / n_folds), F.pmod(i, F.lit(n_folds))
-    return ranked.select("group_id", F.when(lap % 2 == 0, seat).otherwise(n_folds - 1 - seat).cast("int").alias("fold"))
+    spark = units.sparkSession
+    gold = F.col("is_gold").cast("int")
+    groups = units.groupBy("group_id").agg(F.count(F.lit(1)).alias("size"), F.coalesce(F.sum(gold), F.lit(0)).alias("gold"))
+    groups = pin(groups.withColumns({"h": uniform60(seed, F.col("group_id")), "weight": F.when(F.col("gold") > 0, F.col("gold")).otherwise(F.col("size"))}))
+    parts, loads = [], [0] * n_folds
+    for with_gold in (True, False):
+        own = groups.where((F.col("gold") > 0) == F.lit(with_gold))
+        total = own.agg(F.sum("weight")).first()[0] or 0
+        large = F.col("weight") * heavy * n_folds > total
+        first = own.where(large).orderBy(F.col("weight").desc(), "h", "group_id").select("group_id", "weight").collect()  # < heavy * n_folds
+        here = list(loads)
+        placed = spark.createDataFrame(list(zip([r.group_id for r in first], _greedy(here, [r.weight for r in first]), strict=True)), groups.select("group_id", F.lit(0).alias("fold")).schema)
+        rest = prefix_sums(own.where(~large), [], [F.col("h"), F.col("group_id")], ["weight"])
+        fold = sum([(F.col("weight_before") * F.lit(j) >= F.lit(bound)).cast("int") for bound, j in _poured(here, total - sum(r.weight for r in first))], F.lit(0))
+        dealt = pin(placed.unionByName(rest.select("group_id", F.least(fold, F.lit(n_folds - 1)).cast("int").alias("fold"))))
+        parts.append(dealt)
+        if with_gold:
+            rows = {r.fold: r.rows for r in join_on(dealt, own.select("group_id", "size"), ["group_id"]).groupBy("fold").agg(F.sum("size").alias("rows")).collect()}
+            loads = [rows.get(f, 0) for f in range(n_folds)]
+    return parts[0].unionByName(parts[1])
 
 
 def split_gold(units: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -112,10 +148,23 @@ def training_pool(folds: DataFrame, cells: DataFrame, outer: str, exclude: Seque
     return trainable(folds).where(_outside(outer, exclude)).join(observed, "uid", "left_semi").select("uid")
 
 
-def soft_training_pool(folds: DataFrame, soft: DataFrame, outer: str, exclude: Sequence[str] = ()) -> DataFrame:
-    """Same over a soft-label table (uid, target, p): at least one non-null soft target."""
+def soft_training_pool(folds: DataFrame, soft: DataFrame, outer: str, exclude: Sequence[str] = (), *, strict: bool = False) -> DataFrame:
+    """Same over a soft-label table (uid, target, p): at least one non-null soft target.
+
+    ``strict`` makes an empty pool, a group with rows in several folds and a soft target outside [0, 1] or given twice an error."""
+    from tallyfold.operators import contracts
+
+    if strict:
+        repeated = soft.groupBy("uid", "target").agg(F.count(F.lit(1)).alias("n"), F.max(~F.coalesce(F.col("p").between(0, 1), F.lit(True))).alias("off")).where("n > 1 OR off")
+        contracts.require(contracts.group_integrity(folds), "fold table")
+        contracts.require(repeated, "repeated or invalid soft label")
     filled = soft.where(F.col("p").isNotNull()).select("uid").distinct()
-    return trainable(folds).where(_outside(outer, exclude)).join(filled, "uid", "left_semi").select("uid")
+    pool = trainable(folds).where(_outside(outer, exclude)).join(filled, "uid", "left_semi").select("uid")
+    if strict:
+        pool = pin(pool)
+        if pool.isEmpty():
+            raise contracts.ContractError("empty soft-label training pool")
+    return pool
 
 
 def outer_roles(folds: DataFrame, outer: str) -> DataFrame:

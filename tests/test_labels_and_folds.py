@@ -188,3 +188,41 @@ def test_state_labels_keep_minus_one_out(spark):
     assert got["criterion_positive"] == (1.0, 1.0, 0.25) and got["borderline_negative_hint"] == (0.0, 1.0, 0.15)
     assert all(got[s] == (None, 0.0, 0.0) for s in ("uncertain", "not_mentioned", None, "odd"))
     assert labels.label_table_violations(spark.createDataFrame([("u", "t", -1.0, 1.0)], "uid string, target string, y double, mask double")).count() == 1
+
+
+def dealt(spark, sizes, n_folds=5, gold=()):
+    """Rows per fold and gold rows per fold of groups of these sizes; gold: index of the group -> its gold rows."""
+    gold = dict(gold)
+    rows = [(f"u{g}-{i}", f"g{g}", i < gold.get(g, 0)) for g, n in enumerate(sizes) for i in range(n)]
+    units = spark.createDataFrame(rows, "uid string, group_id string, is_gold boolean")
+    found = folds.deal_folds(units.repartition(3), n_folds, 7).collect()
+    assert sorted(r.group_id for r in found) == sorted(f"g{g}" for g in range(len(sizes))) and {r.fold for r in found} <= set(range(n_folds))
+    at = {r.group_id: r.fold for r in found}
+    return [sum(n for g, n in enumerate(sizes) if at[f"g{g}"] == f) for f in range(n_folds)], [sum(gold.get(g, 0) for g in range(len(sizes)) if at[f"g{g}"] == f) for f in range(n_folds)]
+
+
+def test_a_dominating_group_leaves_the_other_folds_even(spark):
+    sizes = [400] + [1 + (7 * i) % 5 for i in range(260)]
+    rows, _ = dealt(spark, sizes)
+    rest = sorted(rows)
+    assert max(rest) == 400 and max(rest[:4]) - min(rest[:4]) <= 5  # an even fifth would be 236
+    # with gold in the large group: its rows count where the others are placed, and gold is even for itself
+    rows, gold = dealt(spark, sizes, gold={0: 1, **{i: 1 for i in range(1, 41)}})
+    rest = sorted(rows)
+    assert sorted(gold) == [8, 8, 8, 8, 9] and max(rest) <= 400 + 40 and max(rest[:4]) - min(rest[:4]) <= 5
+    # two large groups, and groups of one size
+    rows, _ = dealt(spark, [300, 300] + [1] * 100)
+    assert sorted(rows) == [33, 33, 34, 300, 300]
+    assert sorted(dealt(spark, [2] * 50)[0]) == [20] * 5 and sorted(dealt(spark, [5])[0]) == [0, 0, 0, 0, 5]
+
+
+def test_an_empty_or_invalid_soft_pool_is_an_error(spark):
+    table = spark.createDataFrame([("a", 0, "weak", "a"), ("b", 1, "weak", "b"), ("c", 1, "eval", "c")], "uid string, fold int, gold_split string, group_id string")
+    soft = lambda rows: spark.createDataFrame(rows, "uid string, target string, p double")
+    assert [r.uid for r in folds.soft_training_pool(table, soft([("a", "t", 0.5), ("b", "t", None)]), "1", strict=True).collect()] == ["a"]
+    assert folds.soft_training_pool(table, soft([("b", "t", 0.5)]), "1").count() == 0
+    for rows in ([("b", "t", 0.5)], [("a", "t", 1.5)], [("a", "t", 0.5), ("a", "t", 0.5)], [("a", "t", None)]):
+        with pytest.raises(contracts.ContractError):
+            folds.soft_training_pool(table, soft(rows), "1", strict=True)
+    with pytest.raises(contracts.ContractError):
+        folds.soft_training_pool(table.union(spark.createDataFrame([("d", 2, "weak", "a")], table.schema)), soft([("a", "t", 0.5)]), "1", strict=True)
