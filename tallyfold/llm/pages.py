@@ -16,7 +16,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,6 +38,9 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 LISTS = frozenset("ul ol dl table select menu".split())
 #: Tags that stand in running text; unknown ones of them weigh little.
 TEXT_TAGS = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 br hr blockquote pre figcaption".split())
+#: Elements with a weight of their own; all others share one.
+KNOWN = RAW | VOID | INLINE | OTHER_PARTS | CLOSES_P | TEXT_TAGS | LISTS | frozenset("html body div span li dt dd tr td th tbody thead tfoot caption summary label legend math svg".split())
+OTHER_TAG = "other tag"
 CONTAINERS = ("article", "main")
 #: Words of a class, id or role that tell other parts of a page.
 HINTS = frozenset(
@@ -84,13 +87,20 @@ def tokens(page: str) -> list[Token]:
     skip = -1  # the height of the stack at the part that is left out
     links = containers = 0
     at, end, last = 0, len(page), page.rfind(">")
-    opened: Counter = Counter()
+    # heights of the open elements by name, of those that are not inline, and of lists: no search goes through the stack
+    opened: dict[str, list[int]] = defaultdict(list)
+    blocks: list[int] = []
+    lists: list[int] = []
 
     def pop_to(height: int) -> None:
         nonlocal skip, links, containers
         while len(stack) > height:
             name = stack.pop()
-            opened[name] -= 1
+            opened[name].pop()
+            if name not in INLINE:
+                blocks.pop()
+            if name in LISTS:
+                lists.pop()
             if skip == len(stack):
                 skip = -1
                 out.append(("part", 0, ""))
@@ -118,21 +128,21 @@ def tokens(page: str) -> list[Token]:
         name, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
             if opened[name]:
-                height = len(stack) - 1 - stack[::-1].index(name)
+                height = opened[name][-1]
                 # inline elements don't close blocks, and nothing in a part closes what is around it but blocks
-                if not (name in INLINE and any(x not in INLINE for x in stack[height:])):
+                if not (name in INLINE and blocks and blocks[-1] >= height):
                     pop_to(height)
             if skip < 0:
                 out.append(("tag", 0, "/" + name))
             continue
         if name in CLOSES_P and opened["p"]:
-            height = len(stack) - 1 - stack[::-1].index("p")
-            if all(x in INLINE for x in stack[height + 1 :]):
+            height = opened["p"][-1]
+            if blocks[-1] <= height:  # only inline elements are open in it
                 pop_to(height)
         for sibling in SIBLINGS.get(name, ()):
             if opened[sibling]:
-                height = len(stack) - 1 - stack[::-1].index(sibling)
-                if not any(x in LISTS for x in stack[height + 1 :]):
+                height = opened[sibling][-1]
+                if not (lists and lists[-1] > height):
                     pop_to(height)
         if name in RAW:
             close = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
@@ -155,8 +165,12 @@ def tokens(page: str) -> list[Token]:
             if name in CONTAINERS:
                 containers += 1
                 out.append(("open", 0, name))
+        opened[name].append(len(stack))
+        if name not in INLINE:
+            blocks.append(len(stack))
+        if name in LISTS:
+            lists.append(len(stack))
         stack.append(name)
-        opened[name] += 1
     pop_to(0)
     return out
 
@@ -164,7 +178,7 @@ def tokens(page: str) -> list[Token]:
 def region(found: list[Token], weights: dict[str, float]) -> tuple[int, int]:
     """The slice of the highest total; of equals the first and longest."""
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    word, link, part, unknown = weights["word"], weights["link word"], weights.get("part", -4.0), -2.0
+    word, link, part, unknown = weights["word"], weights["link word"], weights.get("part", -4.0), weights.get(OTHER_TAG, -2.0)
     get = weights.get
     for i, (kind, n, text) in enumerate(found):
         if kind == "text":
@@ -229,7 +243,7 @@ def label_counts(page: str) -> Counter | None:
     b = next((i for i, t in enumerate(found) if t[0] == "close"), len(found))
     out: Counter = Counter()
     for i, (kind, n, text) in enumerate(found):
-        name = {"text": "word", "link": "link word", "tag": text, "part": "part"}.get(kind)
+        name = {"text": "word", "link": "link word", "tag": text if text.strip("/") in KNOWN else OTHER_TAG, "part": "part"}.get(kind)
         if name and text.strip("/") not in CONTAINERS:
             out[name, a < i < b] += n if kind in ("text", "link") else 1
     return out
@@ -261,8 +275,7 @@ def fitted(pages: DataFrame, rows: int = SAMPLE_PAGES) -> dict[str, float]:
         yield pa.record_batch([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.bool_()), pa.array(list(total.values()), pa.int64())], ["name", "inside", "n"])
 
     sample = only(pages, "page_id", "html").join(F.broadcast(chosen), F.col("page_id").eqNullSafe(F.col("chosen_id"))).select("html")  # at most SAMPLE_PAGES ids
-    # element names are a page's own: the most frequent ones are enough, the rest have the weight of unknown tags
-    counted = sample.mapInArrow(run, "name string, inside boolean, n long").groupBy("name", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name", "inside").limit(1_000)
+    counted = sample.mapInArrow(run, "name string, inside boolean, n long").groupBy("name", "inside").agg(F.sum("n").alias("n"))  # names are those of KNOWN
     return weights_of({(r.name, r.inside): r.n for r in counted.collect()})
 
 

@@ -17,3 +17,24 @@ def test_all_grams_and_bytes_are_kept(spark):
     assert all(trees.seen[b] for b in "αбγ".encode())
     found = {r.doc_id: r.lang_pred for r in language.identified(docs).collect()}
     assert all(found[i] == x for i, _, x in rows)
+
+
+def test_deeply_nested_pages_are_read_in_linear_time():
+    import time
+
+    from tallyfold.llm import pages
+
+    for unit, end in (("<div>", "</div>"), ("<ul><li>", "</li></ul>"), ("<p><b><i>", "")):
+        times = []
+        for n in (10_000, 40_000):
+            start = time.perf_counter()
+            assert pages.main_text(unit * n + "some words of text here " * 9 + end * n, pages.FIXED_WEIGHTS).startswith("some words")
+            times.append(time.perf_counter() - start)
+        assert times[1] < 12 * times[0] + 0.5  # square growth would be 16 times
+
+
+def test_unknown_elements_share_one_weight():
+    from tallyfold.llm import pages
+
+    counts = pages.label_counts("<body><x-a>out</x-a><article><p>in words</p><x-b>more</x-b></article></body>")
+    assert {k for k, _ in counts} == {"word", "body", "/body", "p", "/p", pages.OTHER_TAG}
