@@ -419,12 +419,12 @@ def d28_masked(spark, d):
 
 
 @query("d29_calibration", BASE + """
-, c AS (SELECT target, count(y) AS n, avg(y) AS prev, avg(p) AS pm, stddev_pop(p) AS sd FROM scored WHERE model = 'm1' AND split = 'gold' GROUP BY 1)
-SELECT target, CASE WHEN n >= 8 THEN 'ok' ELSE 'insufficient_gold' END AS status, n, round(prev, 9) AS gold_prevalence, round(pm, 9) AS pred_mean,
+, c AS (SELECT model, target, count(y) AS n, avg(y) AS prev, avg(p) AS pm, stddev_pop(p) AS sd FROM scored WHERE split = 'gold' GROUP BY 1, 2)
+SELECT model, target, CASE WHEN n >= 8 THEN 'ok' ELSE 'insufficient_gold' END AS status, n, round(prev, 9) AS gold_prevalence, round(pm, 9) AS pred_mean,
   round(n / (n + 8.0::DOUBLE) * pm + (1 - n / (n + 8.0::DOUBLE)) * prev, 9) AS shrunk_mean, round(sd, 9) AS spread, sd < 1e-4 AS collapsed FROM c""")
 def d29(spark, d):
-    out = calibration.calibrate_from_gold(Tables(spark, d).scored.where("model = 'm1' AND split = 'gold'"))
-    return out.select("target", "status", "n", *[r9(c).alias(c) for c in ("gold_prevalence", "pred_mean", "shrunk_mean", "spread")], "collapsed")
+    out = calibration.calibrate_from_gold(Tables(spark, d).scored.where("split = 'gold'"), ["model", "target"])
+    return out.select("model", "target", "status", "n", *[r9(c).alias(c) for c in ("gold_prevalence", "pred_mean", "shrunk_mean", "spread")], "collapsed")
 
 
 @query("d30_masked_bce", BASE + """

@@ -82,13 +82,28 @@ TEACH = f"""tp AS (SELECT CASE fold WHEN 0 THEN 't0' ELSE 't1' END AS teacher, u
 @query("p7_pseudo_labels", BASE + f", {TEACH} " + """
 SELECT tp.uid, tp.target, round(CASE WHEN s.p IS NULL THEN tp.p ELSE 0.4::DOUBLE * s.p + 0.6::DOUBLE * tp.p END, 6) AS p FROM tp LEFT JOIN (SELECT * FROM sources WHERE source = 's1') s USING (uid, target)""")
 def p7(spark, d):
+    return _pseudo(spark, d)["cells"]
+
+
+def _pseudo(spark, d):
     t = Tables(spark, d)
     f = t.folds.where("NOT is_gold AND fold IN (0, 1)").select("uid", "fold")
     preds = t.preds.join(f, "uid").where("(fold = 0 AND model = 'm1') OR (fold = 1 AND model = 'm2')").select(
         F.when(F.col("fold") == 0, "t0").otherwise("t1").alias("teacher"), "uid", "target", "p")
     teachers = spark.createDataFrame([("t0", "0", ["4"]), ("t1", "1", ["4"])], "teacher string, fold string, excluded array<string>")
     train = t.folds.where("fold IN (2, 3)").select(F.lit("t0").alias("teacher"), "uid")
-    return label_plans.pseudo_labels(preds, teachers, train, t.sources.where("source = 's1'"), t.folds, alpha=0.4, blind_to="4")["cells"]
+    return label_plans.pseudo_labels(preds, teachers, train, t.sources.where("source = 's1'"), t.folds, alpha=0.4, blind_to="4")
+
+
+@query("p7_pseudo_coverage", BASE + f", {TEACH}, " + """b AS (SELECT * FROM sources WHERE source = 's1'), r AS (
+  SELECT (SELECT count(DISTINCT uid) FROM tp) AS n_rows, (SELECT count(DISTINCT uid) FROM tp WHERE uid NOT IN (SELECT uid FROM b)) AS rows_without_base,
+    '0,1' AS folds_covered, (SELECT count(*) FROM tp JOIN b USING (uid, target) WHERE b.p IS NOT NULL) AS cells_with_base)
+SELECT teacher, substr(teacher, 2) AS held_out_fold, '4' AS excluded_folds, count(DISTINCT uid) AS teacher_rows, any_value(r.n_rows) AS n_rows, any_value(rows_without_base) AS rows_without_base, any_value(folds_covered) AS folds_covered, any_value(cells_with_base) AS cells_with_base
+FROM tp, r GROUP BY 1""")
+def p7_coverage(spark, d):
+    out = _pseudo(spark, d)
+    rows = attach(out["provenance"].withColumnRenamed("n_rows", "teacher_rows"), out["report"])
+    return rows.withColumns({c: F.array_join(c, ",") for c in ("excluded_folds", "folds_covered")})
 
 
 @query("p8_review_decision", BASE + f", {COVERED} " + """
@@ -118,11 +133,16 @@ def p9(spark, d):
     return out
 
 
-@query("p9_source_audit_policies", BASE + ", pol AS (SELECT uid, target, CASE state WHEN 'criterion_positive' THEN 1.0 WHEN 'explicit_negative' THEN 0.0 WHEN 'borderline_negative_hint' THEN 0.5 WHEN 'uncertain' THEN 0.5 WHEN 'not_mentioned' THEN 0.25 END::DOUBLE AS p, y FROM states JOIN gold USING (uid, target) WHERE state IS NOT NULL AND y IN (0, 1))," + auc_sql("target", "pol") + """
-SELECT 'borderline_half' AS policy, target, n AS n_scored, round(auc, 4) AS auc FROM aucs""")
+POLICY_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS policy, uid, target, CASE state " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in table.items()) + " END::DOUBLE AS p, y FROM states JOIN gold USING (uid, target) WHERE y IN (0, 1)"
+    for name, table in labels.POLICIES.items())
+
+
+@query("p9_source_audit_policies", BASE + f", every AS ({POLICY_SQL}), pol AS (SELECT * FROM every WHERE p IS NOT NULL)," + auc_sql("policy, target", "pol") + """
+SELECT policy, target, n AS n_scored, round(auc, 4) AS auc FROM aucs""")
 def p9_policies(spark, d):
     t = Tables(spark, d)
-    return label_plans.audit_sources(t.states, t.sources, t.gold, "s1")["policies"].where("policy = 'borderline_half'")
+    return label_plans.audit_sources(t.states, t.sources, t.gold, "s1")["policies"]
 
 
 @query("p10_ranking_cases", BASE + """
@@ -138,6 +158,16 @@ def p10(spark, d):
     return out.select("target", "uid", r9("burden").alias("burden"), r9("reference_rank").alias("reference_rank"), "long_report")
 
 
+@query("p10_quality_strata", BASE + """, one AS (SELECT s.*, f.flag, f.value FROM scored s JOIN (
+  SELECT uid, 'long_report' AS flag, (n_chars > 2000)::VARCHAR AS value FROM train UNION ALL SELECT uid, 'odd_site', (site IN ('src1', 'src3'))::VARCHAR FROM train) f USING (uid) WHERE model = 'm1' AND y IN (0, 1)),""" + auc_sql("target, flag, value", "one") + """
+SELECT target, flag, value, n, n_pos, n_neg, round(auc, 9) AS auc FROM aucs""")
+def p10_strata(spark, d):
+    t = Tables(spark, d)
+    quality = t.train.select("uid", (F.col("n_chars") > 2000).alias("long_report"), F.col("site").isin("src1", "src3").alias("odd_site"))
+    out = review.ranking_diagnostic(t.preds, t.cells, "m1", ["m2", "m3"], {"quality": "toxic", "toxic": "quality"}, quality)["quality_strata"]
+    return out.select("target", "flag", "value", "n", "n_pos", "n_neg", r9("auc").alias("auc"))
+
+
 TWO_FOLDS = """two AS (SELECT s.*, f.fold::VARCHAR AS fold, f.group_id, t.n_chars > 2000 AS long FROM scored s JOIN folds f USING (uid) JOIN train t USING (uid) WHERE f.fold IN (0, 1) AND s.split = 'weak' AND s.model IN ('m1', 'm2') AND s.y IN (0, 1))"""
 
 

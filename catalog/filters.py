@@ -20,10 +20,10 @@ def b2(spark, d):
     return Tables(spark, d).train.select("uid", P.all_nonempty(TARGETS).alias("is_gold"))
 
 
-@query("b3_wide_to_long", BASE + "SELECT uid, target, p FROM preds WHERE model = 'm2'")
+@query("b3_wide_to_long", BASE + "SELECT model, uid, target, p FROM preds")
 def b3(spark, d):
-    wide = to_wide(Tables(spark, d).preds.where("model = 'm2'"), ["uid"], TARGETS)
-    return to_long(wide, ["uid"], TARGETS)
+    wide = to_wide(Tables(spark, d).preds, ["model", "uid"], TARGETS)
+    return to_long(wide, ["model", "uid"], TARGETS)
 
 
 @query("b3_long_to_wide", BASE + "SELECT model, uid, max(p) FILTER (target = 'quality') AS quality, max(p) FILTER (target = 'toxic') AS toxic FROM preds GROUP BY 1, 2")

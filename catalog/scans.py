@@ -2,6 +2,7 @@
 
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog import query
 from catalog.base import BASE, TARGETS, Tables, h, sql_h
@@ -44,19 +45,18 @@ def a2_unsafe(spark, d):
 
 
 @query("a3_json_lines_scan", BASE + """
-SELECT uid, target, p FROM sources WHERE source = 's1'""")
+SELECT source, uid, target, p FROM sources""")
 def a3(spark, d):
     path = fresh_path(spark, "jsonl")
     t = Tables(spark, d)
-    soft = to_map(t.sources.where("source = 's1'"), ["uid"], "p", "soft_targets").withColumnRenamed("uid", "StudyInstanceUID")
-    writers.write_json_lines(soft, path, "StudyInstanceUID", ["StudyInstanceUID", "soft_targets"])
-    back = readers.json_lines(spark, path, schemas.SOFT_LABELS).where("StudyInstanceUID IS NOT NULL")
-    return back.select(F.col("StudyInstanceUID").alias("uid"), F.explode("soft_targets").alias("target", "p"))
+    soft = to_map(t.sources, ["source", "uid"], "p", "soft_targets").withColumnRenamed("uid", "StudyInstanceUID")
+    writers.write_json_lines(soft, path, "StudyInstanceUID", ["StudyInstanceUID", "soft_targets", "source"])
+    back = readers.json_lines(spark, path, T.StructType([*schemas.SOFT_LABELS.fields, T.StructField("source", T.StringType())])).where("StudyInstanceUID IS NOT NULL")
+    return back.select("source", F.col("StudyInstanceUID").alias("uid"), F.explode("soft_targets").alias("target", "p"))
 
 
 @query("a3_json_text_scan", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def a3_text(spark, d):
-    from pyspark.sql import types as T
     rows = Tables(spark, d).raw("events").select("event_id", "props")
     return readers.json_text(rows, "props", T.StructType([T.StructField("k", T.LongType())])).select("event_id", "k")
 
@@ -72,11 +72,10 @@ def a4(spark, d):
 
 
 @query("a5_json_lines_sink", BASE + """
-SELECT uid AS key, '{"p":' || p::VARCHAR || ',"target":"' || target || '","uid":"' || uid || '"}' AS line FROM preds WHERE model = 'm1'""")
+SELECT uid AS key, '{"model":"' || model || '","p":' || p::VARCHAR || ',"target":"' || target || '","uid":"' || uid || '"}' AS line FROM preds""")
 def a5(spark, d):
     path = fresh_path(spark, "lines")
-    rows = Tables(spark, d).preds.where("model = 'm1'")
-    writers.write_json_lines(rows, path, "uid", ["uid", "target", "p"])
+    writers.write_json_lines(Tables(spark, d).preds, path, "uid", ["model", "uid", "target", "p"])
     return spark.read.text(path).select(F.get_json_object("value", "$.uid").alias("key"), F.col("value").alias("line"))
 
 

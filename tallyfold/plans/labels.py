@@ -48,12 +48,22 @@ def pseudo_labels(predictions: DataFrame, teachers: DataFrame, training: DataFra
                   alpha: float, blind_to: str | None = None, strict: bool = True) -> dict[str, DataFrame]:
     """Teacher predictions on their held-out folds mixed with a base table.
 
-    ``predictions`` is (teacher, uid, target, p). Leakage rules are checked first.
+    ``predictions`` is (teacher, uid, target, p). Leakage rules are checked first. ``provenance`` has each teacher's held-out and
+    excluded folds and number of ids, ``report`` one row: ids, those without a base label, folds covered and cells from the base.
     """
     bad = softlabels.pseudo_label_violations(teachers, predictions, training, folds, blind_to)
     if strict:
         contracts.require(bad, "pseudo labels")
-    return {"cells": softlabels.teacher_base_mix(predictions, base, alpha), "violations": bad}
+    per_teacher = predictions.groupBy("teacher").agg(F.count_distinct("uid").alias("n_rows"))
+    provenance = teachers.join(per_teacher, "teacher", "left").select(
+        "teacher", F.col("fold").alias("held_out_fold"), F.col("excluded").alias("excluded_folds"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    ids = predictions.groupBy("uid").agg(F.min("teacher").alias("teacher"))
+    marked = ids.join(base.select("uid").distinct().withColumn("__base", F.lit(True)), "uid", "left").join(teachers.select("teacher", "fold"), "teacher")
+    cells = predictions.select("uid", "target").join(base.where(F.col("p").isNotNull()).select("uid", "target"), ["uid", "target"], "left_semi")
+    report = attach(marked.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("__base").isNull()).alias("rows_without_base"),
+        F.array_sort(F.collect_set("fold")).alias("folds_covered")), cells.agg(F.count(F.lit(1)).alias("cells_with_base")))
+    return {"cells": softlabels.teacher_base_mix(predictions, base, alpha), "violations": bad, "provenance": provenance, "report": report}
 
 
 def audit_sources(states: DataFrame, sources: DataFrame, gold: DataFrame, reference: str) -> dict[str, DataFrame]:

@@ -113,8 +113,12 @@ def ranking_diagnostic(preds: DataFrame, cells: DataFrame, reference: str, compo
         "model", [reference, *components]).agg(F.first("p"))
     burden = auc.case_burden(ref)
     ranked = ranks.normalized_ranks(burden, ["target"], "p", "reference_rank")
+    strata = None
     if quality is not None:
         ranked = ranked.join(quality, "uid", "left")
+        flags = [c for c in quality.columns if c != "uid"]
+        flagged = ref.join(quality, "uid", "left").select(*ref.columns, F.explode(F.array(*[F.struct(F.lit(c).alias("flag"), col(c).cast("string").alias("value")) for c in flags])).alias("f"))
+        strata = auc.subgroup_auc(flagged.select(*ref.columns, "f.*"), "value", ["target", "flag"])
     out = {
         "pairs": auc.pair_summary(ref),
         "components": dominance.component_comparison(wide, ["target"], reference, components),
@@ -122,6 +126,8 @@ def ranking_diagnostic(preds: DataFrame, cells: DataFrame, reference: str, compo
         "strata": auc.subgroup_auc(with_c, "companion"),
         "cases": ranked,
     }
+    if strata is not None:
+        out["quality_strata"] = strata
     if groups is not None:
         out["group_ci"] = bootstrap.group_bootstrap_auc(ref.join(groups.select("uid", "group_id"), "uid"), n_boot)
     return out
