@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.base import BASE, TARGETS, Tables, h, r9, sql_h
-from catalog.scans import ENV_SQL, digest_sql, envelopes, fingerprint_sql
+from catalog.scans import ENV_SQL, digest_sql, envelopes, fingerprint_sql, row_digest_sql
 from tallyfold.functions import arrays, geometry, hashing, predicates, text
 from tallyfold.operators import calibration, extraction, labels, ranks, series
 
@@ -19,6 +19,19 @@ def h2(spark, d):
     return hashing.table_fingerprint(Tables(spark, d).raw("orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
+@query("h2_differing_ranges", f"""
+WITH a AS (SELECT substr({row_digest_sql(["o_orderkey", "o_custkey", "o_orderstatus"])}, 1, 2) AS range, o_orderkey FROM orders),
+b AS (SELECT substr({row_digest_sql(["o_orderkey", "o_custkey", "o_orderstatus"])}, 1, 2) AS range, o_orderkey FROM (SELECT o_orderkey, o_custkey + (o_orderkey % 997 = 1)::INT AS o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 1009 <> 5)),
+diff AS (SELECT range FROM ((SELECT range, o_orderkey FROM a EXCEPT SELECT range, o_orderkey FROM b) UNION (SELECT range, o_orderkey FROM b EXCEPT SELECT range, o_orderkey FROM a))
+  UNION SELECT range FROM a JOIN b USING (range, o_orderkey) WHERE o_orderkey % 997 = 1)
+SELECT range, (SELECT count(*) FROM a WHERE a.range = diff.range) AS n_left, (SELECT count(*) FROM b WHERE b.range = diff.range) AS n_right FROM diff""")
+def h2_ranges(spark, d):
+    """Two versions of a table: some cells changed, some rows missing."""
+    o = Tables(spark, d).raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    other = o.where("o_orderkey % 1009 <> 5").withColumn("o_custkey", F.col("o_custkey") + (F.col("o_orderkey") % 997 == 1).cast("int"))
+    return hashing.differing_ranges(o, other, ["o_orderkey", "o_custkey", "o_orderstatus"])
+
+
 @query("h2_id_list_fingerprint", BASE + "SELECT fold, count(*) AS n_ids, " + digest_sql(["uid"]) + " AS ids_sha256 FROM folds GROUP BY 1")
 def h2_ids(spark, d):
     return hashing.id_list_fingerprint(Tables(spark, d).folds, "uid", ["fold"])

@@ -105,9 +105,13 @@ def a8(spark, d):
     return spark.read.parquet(path).groupBy("fold", "gold_split").agg(F.count(F.lit(1)).alias("n"))
 
 
+def row_digest_sql(columns: list[str]) -> str:
+    return "sha256(" + " || ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in columns) + ")"
+
+
 def digest_sql(columns: list[str]) -> str:
     """Aggregate over the rows of a FROM clause: the library's fingerprint of these columns."""
-    row = "sha256(" + " || chr(31) || ".join(f"coalesce({c}::VARCHAR, chr(0))" for c in columns) + ")"
+    row = row_digest_sql(columns)
     sums = " || ':' || ".join(f"coalesce(sum(('0x' || substr({row}, {i}, 16))::UBIGINT), 0)::VARCHAR" for i in (1, 17, 33, 49))
     return f"sha256(count(*)::VARCHAR || ':' || {sums})"
 
@@ -137,12 +141,15 @@ def a10(spark, d):
     return manifest.reason_counts(manifest.file_integrity(rows.where("k <> 0").select("path", "size", "sha256"), promised))
 
 
-@query("a10_stored_file_hashes", BASE + "SELECT count(*) > 0 AS any_file, true AS all_hashed FROM train")
+@query("a10_stored_file_hashes", BASE + """
+SELECT site, octet_length(encode(body))::BIGINT AS size, sha256(body) AS sha256 FROM (SELECT site, string_agg(uid || ' ' || n_chars, chr(10) ORDER BY uid) || chr(10) AS body FROM train GROUP BY 1)""")
 def a10_files(spark, d):
+    """A text file per site, whose bytes SQL can build too."""
     path = fresh_path(spark, "files")
-    Tables(spark, d).preds.write.mode("overwrite").parquet(path)
-    f = readers.file_hashes(spark, path, "*.parquet")
-    return f.agg((F.count(F.lit(1)) > 0).alias("any_file"), F.bool_and(F.length("sha256") == 64).alias("all_hashed"))
+    lines = Tables(spark, d).train.select("site", "uid", F.concat_ws(" ", "uid", F.col("n_chars").cast("string")).alias("value"))
+    lines.repartition("site").sortWithinPartitions("site", "uid").select("site", "value").write.partitionBy("site").text(path)
+    f = readers.file_hashes(spark, path, "*.txt")
+    return f.select(F.regexp_extract("path", "site=([^/]+)/", 1).alias("site"), "size", "sha256")
 
 
 ENV_SQL = f"""env AS (SELECT uid, {sql_h("'env:' || uid")} % 20 AS k, CASE WHEN {sql_h("'env:' || uid")} % 20 = 0 THEN 'uid_mismatch' WHEN {sql_h("'env:' || uid")} % 20 = 1 THEN 'uid_missing'

@@ -38,6 +38,12 @@ def resume_key(uid: Column, report: Column, model: Column, revision: Column, pro
     })
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """sha256 of a row's cells, each with its length in front, so that no two rows of different cells hash the same bytes."""
+    cells = [F.coalesce(F.concat(F.length(col(c).cast("string")).cast("string"), F.lit(":"), col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.sha2(F.concat(*cells), 256)
+
+
 def table_fingerprint(df: DataFrame, columns: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """Order-independent content hash of a table, or of each group: (group, n_rows, fingerprint).
 
@@ -45,12 +51,27 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str], group: Sequence[str
     count and sums are hashed. A repeated row counts as often as it occurs. Sums merge on the
     map side, so no rows are moved and nothing is collected, however long the table is.
     """
-    row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(col(c).cast("string"), F.lit("\x00")) for c in columns]), 256)
-    words = [F.conv(F.substring("h", i, 16), 16, 10).cast("decimal(20,0)") for i in (1, 17, 33, 49)]
+    return _summed(df.select(*cols(group), row_digest(columns).alias("h")), group)
+
+
+def _summed(hashed: DataFrame, group: Sequence[str]) -> DataFrame:
+    words = [F.conv(F.substring("h", i, 16), 16, 10).cast("decimal(28,0)") for i in (1, 17, 33, 49)]  # sums have 38 digits
     sums = [F.coalesce(F.sum(w), F.lit(0)).cast("string") for w in words]
     n = F.count(F.lit(1))
-    return df.select(*cols(group), row.alias("h")).groupBy(*cols(group)).agg(
-        n.alias("n_rows"), F.sha2(F.concat_ws(":", n.cast("string"), *sums), 256).alias("fingerprint"))
+    return hashed.groupBy(*cols(group)).agg(n.alias("n_rows"), F.sha2(F.concat_ws(":", n.cast("string"), *sums), 256).alias("fingerprint"))
+
+
+def range_fingerprints(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
+    """(range, n_rows, fingerprint) of the rows whose digests begin with the same hexadecimal digits: 16 ** digits ranges at most."""
+    hashed = df.select(row_digest(columns).alias("h"))
+    return _summed(hashed.select(F.substring("h", 1, digits).alias("range"), "h"), ["range"])
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
+    """(range, n_left, n_right) where two tables differ; what they hold there is found by filtering both on the range."""
+    a, b = (range_fingerprints(x, columns, digits).withColumnsRenamed({"n_rows": f"n_{side}", "fingerprint": side}) for x, side in ((left, "left"), (right, "right")))
+    both = a.join(b, "range", "full_outer").where(~F.col("left").eqNullSafe(F.col("right")))
+    return both.select("range", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("n_left", "n_right")])
 
 
 def id_list_fingerprint(df: DataFrame, id_col: str, group: Sequence[str] = ()) -> DataFrame:

@@ -168,6 +168,18 @@ def test_fingerprints_ignore_order_and_count_repeats(spark):
     assert table_fingerprint(df.where("g > 9"), ["g", "uid"]).first().n_rows == 0
 
 
+def test_cells_do_not_run_together_and_ranges_show_what_differs(spark):
+    from tallyfold.functions.hashing import differing_ranges
+
+    rows = [[("a", "b")], [("ab", "")], [("", "ab")], [("a\x1fb", "")], [("a", None)], [(None, "a")], [("a", "\x00")], [("-", "")], [(None, "")], [("1:a", None)]]
+    found = {table_fingerprint(spark.createDataFrame(r, "x string, y string"), ["x", "y"]).first().fingerprint for r in rows}
+    assert len(found) == len(rows)
+    df = spark.range(3000).selectExpr("id", "id % 7 AS v")
+    assert differing_ranges(df, df.repartition(3), ["id", "v"]).count() == 0
+    out = differing_ranges(df, df.where("id <> 17").union(spark.createDataFrame([(17, 99), (5, 5)], "id long, v long")), ["id", "v"]).collect()
+    assert 1 <= len(out) <= 3 and sum(r.n_right - r.n_left for r in out) == 1
+
+
 def test_linear_head_of_many_targets(spark):
     pooled = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [0.0, -1.0])], "uid string, pooled array<double>")
     head = spark.createDataFrame([(f"t{i}", [i / 50, 0.5], -0.1) for i in range(60)], "target string, weights array<double>, bias double")
