@@ -14,7 +14,6 @@ language by name. An empty table gives an empty result. Columns other than doc_i
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.common import byte_texts, only
 
-LETTER = re.compile(r"[^\W\d_]")
 ORDER = 3
 #: Bytes that are handled at once.
 CHUNK = 1 << 20
@@ -186,7 +184,7 @@ def predicted(docs: DataFrame, trees: Trees | None) -> DataFrame:
         trees = Trees(**model.value) if model.value else None
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            judged = [i for i, t in enumerate(texts) if t and trees and LETTER.search(t)]
+            judged = [i for i, t in enumerate(texts) if t and trees and any(map(str.isalpha, t))]  # categories L, not the numbers that look like letters
             names, scores = ["und"] * len(texts), np.zeros(len(texts))
             data = [texts[i].encode("utf-8", "surrogatepass") for i in judged]
             for part in chunks(data):

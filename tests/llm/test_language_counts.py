@@ -38,3 +38,9 @@ def test_unknown_elements_share_one_weight():
 
     counts = pages.label_counts("<body><x-a>out</x-a><article><p>in words</p><x-b>more</x-b></article></body>")
     assert {k for k, _ in counts} == {"word", "body", "/body", "p", "/p", pages.OTHER_TAG}
+
+
+def test_numbers_that_look_like_letters_are_none(spark):
+    rows = [(i, "some plain words of a text", "en") for i in range(20)] + [(100 + i, t, None) for i, t in enumerate(("²", "½ Ⅷ 3", "12 _ -", "x²", "ª"))]
+    found = {r.doc_id: r.lang_pred for r in language.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect() if r.doc_id >= 100}
+    assert found == {100: "und", 101: "und", 102: "und", 103: "en", 104: "en"}
