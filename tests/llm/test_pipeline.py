@@ -81,5 +81,5 @@ def test_run_and_contract_columns(spark, corpus):
         found = queries.QUERIES[name](spark, folder)
         assert set(columns.split(",")) <= set(found.columns)
         n = found.count()
-        assert n == rows or name in ("op1_benchmark_decontamination", "op6_best_fit_packing", "op11_source_divergence") and n >= 5
+        assert n == rows or name in ("op1_benchmark_decontamination", "op6_best_fit_packing") and n >= 5 or name == "op11_source_divergence" and n == 0  # one source
     assert {r.doc_id for r in queries.QUERIES["op1_benchmark_decontamination"](spark, folder).collect()} == {4000 + i for i in range(5)}
