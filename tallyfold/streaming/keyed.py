@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -150,24 +151,20 @@ class Breaker(StatefulProcessor):
         self.handle = handle
         long = T.LongType()
         self.counts = handle.getValueState("counts", T.StructType([T.StructField("attempted", long), T.StructField("rejected", long), T.StructField("tripped", T.BooleanType())]))
-        self.waiting = handle.getMapState(
-            "waiting", T.StructType([T.StructField("micros", long), T.StructField("attempt", self.attempt_type)]), T.StructType([T.StructField("rejected", long)]))
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("micros", long), T.StructField("attempt", self.attempt_type), T.StructField("rejected", long)]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         attempted, bad, tripped = tuple(self.counts.get()) if self.counts.exists() else (0, 0, False)
         found = list(tuples(rows))
         if tripped:
             return
-        earliest = None
-        for row in found:
-            ts, attempt, rejected = (row[i] for i in self.at)
-            if ts is None or attempt is None:
-                continue
-            micros = int((ts - EPOCH) // dt.timedelta(microseconds=1))
-            self.waiting.updateValue((micros, attempt), (int(bool(rejected)),))
-            earliest = micros if earliest is None else min(earliest, micros)
-        if earliest is not None and not any(t <= earliest // 1000 + 1 for t in self.handle.listTimers()):
-            self.handle.registerTimer(earliest // 1000 + 1)
+        rows = [[row[i] for i in self.at] for row in found]
+        more = [(int((ts - EPOCH) // dt.timedelta(microseconds=1)), attempt, int(bool(rejected))) for ts, attempt, rejected in rows if ts is not None and attempt is not None]
+        if more:
+            self.waiting.appendList(more)  # one call a batch
+            earliest = min(more)[0] // 1000 + 1
+            if not any(t <= earliest for t in self.handle.listTimers()):
+                self.handle.registerTimer(earliest)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -175,18 +172,22 @@ class Breaker(StatefulProcessor):
         if tripped:
             return
         now = timerValues.getCurrentWatermarkInMs()
-        held = sorted((tuple(k), tuple(v)[0]) for k, v in self.waiting.iterator())
-        for (micros, attempt), rejected in held:
-            if micros // 1000 >= now:
-                self.handle.registerTimer(micros // 1000 + 1)
-                break
+        held = sorted(tuple(x) for x in self.waiting.get())
+        ready = bisect_left(held, now * 1000, key=lambda x: x[0])
+        last = None
+        for micros, attempt, rejected in held[:ready]:
+            if (micros, attempt) == last:  # a repeat of the attempt before
+                continue
+            last = micros, attempt
             attempted, bad = attempted + 1, bad + rejected
             if attempted >= self.minimum and bad / attempted > self.limit:
                 tripped = True
-                self.waiting.clear()
                 yield frame([(*key, attempt, attempted, bad)], self.out)
                 break
-            self.waiting.removeKey((micros, attempt))
+        self.waiting.clear()
+        if not tripped and held[ready:]:
+            self.waiting.put(held[ready:])
+            self.handle.registerTimer(held[ready][0] // 1000 + 1)
         self.counts.update((attempted, bad, tripped))
 
     def close(self) -> None:
